@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 PIECE_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
 WORD_PATTERN = r"[\p{L}\p{N}]+"
 WORD_START = r"^[\p{L}\p{N}]"
+WORD_CHAR = r"[\p{L}\p{N}]"
 NON_WORD_CHAR = r"[^\p{L}\p{N}]"
 
 SCRIPT_PATTERN = r"(?is)<script[^>]*>.*?</script>"
@@ -53,7 +54,9 @@ def markup_to_text(fragment: Column) -> Column:
 
 
 def starts_with_word(text: Column) -> Column:
-    return text.rlike(WORD_START)
+    """True when the first character is a letter or digit. Tests one character: an
+    anchored ``rlike`` still scans the whole string with Java's ``find``."""
+    return F.substring(text, 1, 1).rlike(WORD_CHAR)
 
 
 def words(text: Column) -> Column:

@@ -24,8 +24,8 @@ def text_pieces(texts: DataFrame, id_col: str = "wid", text_col: str = "text",
          .repartition("id"))
     # Pieces alternate word / separator, so a word's rank among words is pos // 2 when
     # the text starts with a word and (pos - 1) // 2 otherwise: no second window.
-    shift = F.when(tx.starts_with_word(F.col("text")), 0).otherwise(1)
-    p = t.select("id", shift.alias("shift"), F.posexplode(tx.pieces(F.col("text"))).alias("pos", "piece"))
+    t = t.select("id", "text", F.when(tx.starts_with_word(F.col("text")), 0).otherwise(1).alias("shift"))
+    p = t.select("id", "shift", F.posexplode(tx.pieces(F.col("text"))).alias("pos", "piece"))
     w = Window.partitionBy("id").orderBy("pos")
     is_word = tx.starts_with_word(F.col("piece"))
     cols = [

@@ -23,38 +23,54 @@ from linkstats.operators import tokens as tk
 from linkstats.sources import articles as src_articles
 from linkstats.sources import pages as pg
 from linkstats.sources import stopwords as sw
+from linkstats.session import ensure_checkpoint_dir, spread_small_scan
 
 CONTEXT_TOP_K = 10
 
 
 class Tables:
-    """Lazy handles on the driver tables and the adapter relations of one sf folder."""
+    """Handles on the driver tables of one sf folder and the adapter relations.
+
+    The page table (one html parse per page) is checkpointed once per instance and every
+    page-derived relation reads it, as the reference persists its parsed corpus.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._pt: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     @property
-    def pages(self) -> DataFrame:
-        return self.table("pages")
+    def pt(self) -> DataFrame:
+        if self._pt is None:
+            ensure_checkpoint_dir(self.spark)
+            pages = spread_small_scan(self.table("pages"), "page_id")
+            self._pt = pg.page_table(pages).checkpoint(eager=True)
+        return self._pt
 
     def articles(self) -> DataFrame:
-        return pg.articles(self.pages)
+        return pg.articles(self.pt)
 
     def links(self) -> DataFrame:
-        return pg.links(self.pages)
+        return pg.links(self.pt)
 
     def typed(self) -> DataFrame:
-        return pg.typed_pages(self.pages)
+        return pg.typed_pages(self.pt)
+
+    def titles(self) -> DataFrame:
+        return pg.titles(self.pt)
+
+    def paragraphs(self) -> DataFrame:
+        return pg.paragraphs(self.pt)
 
     def link_facts(self) -> DataFrame:
         return ex.link_facts(self.typed())
 
     def redirects(self) -> DataFrame:
-        return pg.redirects(self.links())
+        return ex.redirect_edges(self.typed())
 
     def resolved(self) -> DataFrame:
         return rd.resolve(self.redirects())
@@ -64,19 +80,19 @@ class Tables:
         return self.articles().where(F.length("text") > 0).select("wid", "text")
 
     def documents(self) -> DataFrame:
-        return self.table("documents").select(F.col("doc_id").alias("wid"), "text")
+        docs = spread_small_scan(self.table("documents"), "doc_id")
+        return docs.select(F.col("doc_id").alias("wid"), "text")
 
     def anchor_spots(self) -> DataFrame:
         """All spots of the anchor dictionary in article text: (wid, sf, offset)."""
         return sp.spot_surface_forms(self.texts(), self.links().select("sf"))
 
     def title_spots_in_paragraphs(self) -> DataFrame:
-        paras = pg.paragraphs(self.pages)
-        d = sp.build_dictionary(pg.titles(self.pages).select("sf"))
-        return sp.spot(paras, d, id_col="para_key", text_col="para")
+        d = sp.build_dictionary(self.titles().select("sf"))
+        return sp.spot(self.paragraphs(), d, id_col="para_key", text_col="para")
 
     def uri_paragraphs(self) -> DataFrame:
-        titles = pg.titles(self.pages).select("uri", sp.entry_key(F.col("sf")).alias("key"))
+        titles = self.titles().select("uri", sp.entry_key(F.col("sf")).alias("key"))
         s = self.title_spots_in_paragraphs().select("para_key", "key").distinct()
         return s.join(titles, "key").select("uri", "para_key").distinct()
 
@@ -154,7 +170,7 @@ def spot_single(t: Tables) -> DataFrame:
 
 def spot_multi(t: Tables) -> DataFrame:
     """Three-word heading dictionary spotted in every page text."""
-    return sp.spot_surface_forms(t.texts(), pg.titles(t.pages).select("sf"))
+    return sp.spot_surface_forms(t.texts(), t.titles().select("sf"))
 
 
 def spot_linked(t: Tables) -> DataFrame:
@@ -224,19 +240,19 @@ def uri_paragraphs(t: Tables) -> DataFrame:
 
 
 def stem_vocabulary(t: Tables) -> DataFrame:
-    return cx.stem_vocabulary(pg.paragraphs(t.pages))
+    return cx.stem_vocabulary(t.paragraphs())
 
 
 def token_counts(t: Tables) -> DataFrame:
-    return cx.token_counts(t.uri_paragraphs(), pg.paragraphs(t.pages), sw.default_stop_words(t.spark))
+    return cx.token_counts(t.uri_paragraphs(), t.paragraphs(), sw.default_stop_words(t.spark))
 
 
 def context_vectors(t: Tables) -> DataFrame:
-    return cx.context_vectors(t.uri_paragraphs(), pg.paragraphs(t.pages), sw.default_stop_words(t.spark))
+    return cx.context_vectors(t.uri_paragraphs(), t.paragraphs(), sw.default_stop_words(t.spark))
 
 
 def context_vectors_topk(t: Tables) -> DataFrame:
-    return cx.context_vectors(t.uri_paragraphs(), pg.paragraphs(t.pages), sw.default_stop_words(t.spark),
+    return cx.context_vectors(t.uri_paragraphs(), t.paragraphs(), sw.default_stop_words(t.spark),
                               top_k=CONTEXT_TOP_K)
 
 
@@ -247,7 +263,7 @@ def rewrite_text(t: Tables) -> DataFrame:
 
 
 def uri_normalize(t: Tables) -> DataFrame:
-    ids = (t.pages.select(F.col("url").alias("id"))
+    ids = (t.table("pages").select(F.col("url").alias("id"))
            .unionByName(t.links().select(F.col("uri").alias("id"))).distinct())
     return ids.select("id", ur.resource_uri(F.col("id")).alias("resource_uri"),
                       ur.wiki_url(F.col("id")).alias("wiki_url"))
@@ -282,7 +298,7 @@ def dq_annotated_total(t: Tables) -> DataFrame:
 
 def dq_spot_offsets(t: Tables) -> DataFrame:
     texts = t.texts()
-    spots = t.anchor_spots().unionByName(sp.spot_surface_forms(texts, pg.titles(t.pages).select("sf")))
+    spots = t.anchor_spots().unionByName(sp.spot_surface_forms(texts, t.titles().select("sf")))
     return qa.spot_offsets(spots, texts)
 
 

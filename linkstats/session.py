@@ -54,6 +54,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread ``df`` by ``key`` over the default parallelism when its scan yields
+    fewer partitions than that (a file with one row group is one task). Large inputs
+    already have many splits and are returned untouched, so this never adds a shuffle
+    at scale; below it the shuffled data is bounded by one under-split scan."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_LIMIT_CONF, str(DEFAULT_BROADCAST_LIMIT)))
 

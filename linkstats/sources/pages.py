@@ -2,6 +2,7 @@
 
 Every definition here has a twin in the DuckDB oracle (``linkstats/plans/oracle.py``).
 
+    page_table(wid, url, h1, text, links, paras)   one parse of the html, reused by all
     articles(wid, text, h1)            page text without markup
     links(wid, pos, uri, sf, start, end)
     redirects(src, dst)                a redirect graph derived from the link ids
@@ -26,16 +27,7 @@ TITLE_WORDS = 3
 
 
 def page_bodies(pages: DataFrame) -> DataFrame:
-    return pages.select(F.col("page_id").alias("wid"), tx.drop_scripts(F.col("html")).alias("body"))
-
-
-def articles(pages: DataFrame) -> DataFrame:
-    b = page_bodies(pages)
-    return b.select(
-        "wid",
-        tx.markup_to_text(F.col("body")).alias("text"),
-        tx.markup_to_text(F.regexp_extract("body", tx.H1_PATTERN, 1)).alias("h1"),
-    )
+    return pages.select(F.col("page_id").alias("wid"), "url", tx.drop_scripts(F.col("html")).alias("body"))
 
 
 def _link_array(body) -> F.Column:
@@ -51,10 +43,33 @@ def _link_array(body) -> F.Column:
     return F.transform(F.arrays_zip(uris.alias("uris"), sfs.alias("sfs")), to_link)
 
 
-def links(pages: DataFrame) -> DataFrame:
-    """One row per anchor ``<a href="/X">Y</a>``: uri = X, sf = Y (narrow, no shuffle)."""
+def _paragraph_array(body) -> F.Column:
+    marked = F.regexp_replace(body, tx.P_OPEN_PATTERN, "</p><p>")
+    raw = F.regexp_extract_all(marked, tx.lit_re(tx.PARAGRAPH_PATTERN), 1)
+    return F.filter(F.transform(raw, tx.markup_to_text), lambda p: p != "")
+
+
+def page_table(pages: DataFrame) -> DataFrame:
+    """Everything the jobs need from a page, from one pass over its html (narrow):
+    (wid, url, h1, text, links array<description, end, id, start>, paras array<string>)."""
     b = page_bodies(pages)
-    return (b.select("wid", F.posexplode(_link_array(F.col("body"))).alias("pos", "l"))
+    return b.select(
+        F.col("wid").cast("long").alias("wid"), "url",
+        tx.markup_to_text(F.regexp_extract("body", tx.H1_PATTERN, 1)).alias("h1"),
+        tx.markup_to_text(F.col("body")).alias("text"),
+        _link_array(F.col("body")).alias("links"),
+        _paragraph_array(F.col("body")).alias("paras"),
+    )
+
+
+def articles(pt: DataFrame) -> DataFrame:
+    """(wid, text, h1) from the page table."""
+    return pt.select("wid", "text", "h1")
+
+
+def links(pt: DataFrame) -> DataFrame:
+    """One row per anchor ``<a href="/X">Y</a>``: uri = X, sf = Y (narrow, no shuffle)."""
+    return (pt.select("wid", F.posexplode("links").alias("pos", "l"))
             .select("wid", F.col("pos").cast("long").alias("pos"),
                     F.col("l.id").alias("uri"), F.col("l.description").alias("sf"),
                     F.col("l.start").alias("start"), F.col("l.end").alias("end")))
@@ -82,38 +97,33 @@ def cyclic_redirects(part: DataFrame) -> DataFrame:
                        ((k * k + 1) % CYCLE_MODULUS).cast("string").alias("dst"))
 
 
-def titles(pages: DataFrame) -> DataFrame:
+def titles(pt: DataFrame) -> DataFrame:
     """Multi-word dictionary: first three words of the page heading -> page url
     without query and fragment."""
-    a = articles(pages).join(pages.select(F.col("page_id").alias("wid"), "url"), "wid")
-    return (a.select(tx.strip_url_query(F.col("url")).alias("uri"),
-                     tx.first_words(F.col("h1"), TITLE_WORDS).alias("sf"))
+    return (pt.select(tx.strip_url_query(F.col("url")).alias("uri"),
+                      tx.first_words(F.col("h1"), TITLE_WORDS).alias("sf"))
             .where(F.col("sf") != ""))
 
 
-def paragraphs(pages: DataFrame) -> DataFrame:
+def paragraphs(pt: DataFrame) -> DataFrame:
     """Distinct paragraph texts keyed by their SHA-256, so later shuffles move keys."""
-    b = page_bodies(pages)
-    marked = F.regexp_replace("body", tx.P_OPEN_PATTERN, "</p><p>")
-    raw = b.select(F.explode(F.regexp_extract_all(marked, tx.lit_re(tx.PARAGRAPH_PATTERN), 1)).alias("raw"))
-    para = raw.select(tx.markup_to_text(F.col("raw")).alias("para")).where(F.col("para") != "")
+    para = pt.select(F.explode("paras").alias("para"))
     return para.select(F.sha2("para", 256).alias("para_key"), "para").dropDuplicates(["para_key"])
 
 
-def typed_pages(pages: DataFrame) -> DataFrame:
+def typed_pages(pt: DataFrame) -> DataFrame:
     """Pages in the article schema: every page as ARTICLE with its links, plus one
     REDIRECT row per derived redirect edge."""
-    b = page_bodies(pages)
-    arts = b.select(
-        F.col("wid").cast("long").alias("wid"),
-        tx.markup_to_text(F.regexp_extract("body", tx.H1_PATTERN, 1)).alias("wikiTitle"),
+    arts = pt.select(
+        "wid",
+        F.col("h1").alias("wikiTitle"),
         F.lit(S.ARTICLE_TYPE).alias("type"),
         F.lit(None).cast("string").alias("redirect"),
-        tx.markup_to_text(F.col("body")).alias("wikiText"),
-        _link_array(F.col("body")).alias("links"),
+        F.col("text").alias("wikiText"),
+        "links",
         F.lit(None).cast(S.ARTICLE["paragraphsLink"].dataType).alias("paragraphsLink"),
     )
-    reds = redirects(links(pages)).select(
+    reds = redirects(links(pt)).select(
         F.lit(None).cast("long").alias("wid"),
         F.col("src").alias("wikiTitle"),
         F.lit(S.REDIRECT_TYPE).alias("type"),
