@@ -42,10 +42,10 @@ def entry_key(sf):
 def build_dictionary(surface_forms: DataFrame, sf_col: str = "sf") -> Dictionary:
     """Distinct token sequences of the surface forms; entries without words are dropped.
 
-    The table is checkpointed (it is read by the size check and by the join) and one
-    aggregate measures it, so the broadcast decision rests on its real size.
+    One aggregate measures the table, so the broadcast decision rests on its real size;
+    the join recomputes it from the (materialised) link table, which is cheap next to
+    the text side.
     """
-    sess.ensure_checkpoint_dir(surface_forms.sparkSession)
     toks = tx.words(F.col(sf_col))
     d = (surface_forms.where(F.col(sf_col).isNotNull())
          .select(toks.alias("toks"))
@@ -53,7 +53,6 @@ def build_dictionary(surface_forms: DataFrame, sf_col: str = "sf") -> Dictionary
          .select(F.array_join("toks", " ").alias("key"), "toks")
          .dropDuplicates(["key"])
          .select("key", "toks", F.size("toks").alias("n"), F.col("toks")[0].alias("first")))
-    d = d.checkpoint(eager=True)
     row = d.agg(F.max("n").alias("max_n"),
                 F.sum(F.octet_length("key") * 2 + F.col("n") * 16 + 64).alias("bytes")).first()
     return Dictionary(d, int(row["max_n"] or 0), int(row["bytes"] or 0))

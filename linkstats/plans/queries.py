@@ -23,7 +23,7 @@ from linkstats.operators import tokens as tk
 from linkstats.sources import articles as src_articles
 from linkstats.sources import pages as pg
 from linkstats.sources import stopwords as sw
-from linkstats.session import ensure_checkpoint_dir, spread_small_scan
+from linkstats.session import ensure_checkpoint_dir, materialize, spread_small_scan
 
 CONTEXT_TOP_K = 10
 
@@ -48,7 +48,7 @@ class Tables:
         if self._pt is None:
             ensure_checkpoint_dir(self.spark)
             pages = spread_small_scan(self.table("pages"), "page_id")
-            self._pt = pg.page_table(pages).checkpoint(eager=True)
+            self._pt = materialize(pg.page_table(pages), "page_table")
         return self._pt
 
     def articles(self) -> DataFrame:
@@ -80,8 +80,8 @@ class Tables:
         return self.articles().where(F.length("text") > 0).select("wid", "text")
 
     def documents(self) -> DataFrame:
-        docs = spread_small_scan(self.table("documents"), "doc_id")
-        return docs.select(F.col("doc_id").alias("wid"), "text")
+        # The tokenizer hash-partitions texts by id itself: no spreading needed here.
+        return self.table("documents").select(F.col("doc_id").alias("wid"), "text")
 
     def anchor_spots(self) -> DataFrame:
         """All spots of the anchor dictionary in article text: (wid, sf, offset)."""

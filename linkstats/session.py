@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the checkpoint folder and read it back.
+
+    Cuts lineage like ``checkpoint()`` but stays columnar: later reads prune columns,
+    push filters and give the planner real file sizes. The folder is the shared one the
+    session names in ``spark.checkpoint.dir``, so the table survives lost executors.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread ``df`` by ``key`` over the default parallelism when its scan yields
     fewer partitions than that (a file with one row group is one task). Large inputs
