@@ -226,6 +226,7 @@ def queries() -> dict[str, str]:
                              "SELECT wid, sf, uri, links, spots, weight FROM lsj")
     q["pair_link_counts"] = _q(["link_facts"], [], """SELECT sf, uri, count(*)::BIGINT AS n FROM link_facts
         WHERE uri IS NOT NULL AND length(uri) > 0 GROUP BY sf, uri""")
+    q["stream_pair_link_counts"] = q["pair_link_counts"]
     q["uri_link_counts"] = _q(["link_facts"], [], """SELECT uri, count(*)::BIGINT AS n FROM link_facts
         WHERE uri IS NOT NULL AND length(uri) > 0 GROUP BY uri""")
     q["pair_counts"] = _q(base_counts, [ANCHOR_SPOTS, RESOLVED, COUNTS], "SELECT sf, uri, n FROM pairs")

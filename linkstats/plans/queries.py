@@ -23,6 +23,7 @@ from linkstats.operators import tokens as tk
 from linkstats.sources import articles as src_articles
 from linkstats.sources import pages as pg
 from linkstats.sources import stopwords as sw
+from linkstats.streaming import link_counts as stream
 from linkstats.session import ensure_checkpoint_dir, materialize, spread_small_scan
 
 CONTEXT_TOP_K = 10
@@ -276,6 +277,13 @@ def quarantine_corrupt(t: Tables) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+# ---- streaming ----------------------------------------------------------------------
+
+def stream_pair_link_counts(t: Tables) -> DataFrame:
+    """pair_link_counts maintained incrementally by a Structured Streaming query."""
+    return stream.stream_pair_link_counts(t.spark, t.sf_dir, "pages.parquet")
+
+
 # ---- data-quality checks ------------------------------------------------------------
 
 def dq_empty_sf(t: Tables) -> DataFrame:
@@ -310,6 +318,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f
     sf_annotated_counts, sf_spotted_counts, total_sf_counts, lowercase_phantoms,
     resolve_redirects, resolved_redirect_map, resolve_link_targets, resolve_redirects_cyclic,
     uri_paragraphs, stem_vocabulary, token_counts, context_vectors, context_vectors_topk,
-    rewrite_text, uri_normalize, quarantine_corrupt,
+    rewrite_text, uri_normalize, quarantine_corrupt, stream_pair_link_counts,
     dq_empty_sf, dq_redirect_count, dq_redirect_terminal, dq_annotated_total, dq_spot_offsets,
 ]}

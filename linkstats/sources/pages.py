@@ -111,10 +111,9 @@ def paragraphs(pt: DataFrame) -> DataFrame:
     return para.select(F.sha2("para", 256).alias("para_key"), "para").dropDuplicates(["para_key"])
 
 
-def typed_pages(pt: DataFrame) -> DataFrame:
-    """Pages in the article schema: every page as ARTICLE with its links, plus one
-    REDIRECT row per derived redirect edge."""
-    arts = pt.select(
+def article_rows(pt: DataFrame) -> DataFrame:
+    """Every page as an ARTICLE row of the article schema (narrow; works on streams)."""
+    return pt.select(
         "wid",
         F.col("h1").alias("wikiTitle"),
         F.lit(S.ARTICLE_TYPE).alias("type"),
@@ -123,6 +122,12 @@ def typed_pages(pt: DataFrame) -> DataFrame:
         "links",
         F.lit(None).cast(S.ARTICLE["paragraphsLink"].dataType).alias("paragraphsLink"),
     )
+
+
+def typed_pages(pt: DataFrame) -> DataFrame:
+    """Pages in the article schema: every page as ARTICLE with its links, plus one
+    REDIRECT row per derived redirect edge."""
+    arts = article_rows(pt)
     reds = redirects(links(pt)).select(
         F.lit(None).cast("long").alias("wid"),
         F.col("src").alias("wikiTitle"),
