@@ -8,7 +8,7 @@ their counts map-side before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkstats.functions import stem as st
@@ -39,38 +39,43 @@ def paragraph_token_counts(paragraphs: DataFrame, stop_words: DataFrame | None =
     return s.groupBy("para_key", "stem").agg(F.count(F.lit(1)).alias("n"))
 
 
-def token_counts(uri_paragraphs: DataFrame, paragraphs: DataFrame, stop_words: DataFrame | None = None,
-                 algorithm: str = "s", lang: str = "en", encode: bool = True) -> DataFrame:
-    """T4: (uri, stem, n) summed over the distinct paragraphs linking to each uri.
-    The uri is encoded to its wiki URL first, so ids that encode alike merge."""
+def _joined_counts(uri_paragraphs: DataFrame, paragraphs: DataFrame, stop_words: DataFrame | None,
+                   algorithm: str, lang: str, encode: bool) -> DataFrame:
+    """(uri, stem, n) from (uri, para_key) LEFT JOIN per-paragraph counts; a uri whose
+    paragraphs keep no token gets one row with a null stem (so it is not lost)."""
     pairs = uri_paragraphs
     if encode:
-        pairs = pairs.select(ur.wiki_url(F.col("uri"), lang).alias("uri"), "para_key").distinct()
+        pairs = pairs.select(ur.wiki_url(F.col("uri"), lang).alias("uri"), "para_key")
+    pairs = pairs.distinct()
     ptc = paragraph_token_counts(paragraphs, stop_words, algorithm)
-    return (pairs.join(ptc, "para_key")
+    return (pairs.join(ptc, "para_key", "left")
             .groupBy("uri", "stem").agg(F.sum("n").cast("long").alias("n")))
 
 
-def render_vectors(counts: DataFrame, uris: DataFrame, top_k: int | None = None) -> DataFrame:
-    """T5: (uri, vector) with vector = "(stem,n),(stem,n),..." by count desc, stem asc;
-    a uri without surviving tokens gets the empty string. ``top_k`` keeps the k
-    strongest stems per uri (a top-k report)."""
+def token_counts(uri_paragraphs: DataFrame, paragraphs: DataFrame, stop_words: DataFrame | None = None,
+                 algorithm: str = "s", lang: str = "en", encode: bool = True) -> DataFrame:
+    """T4: (uri, stem, n) summed over the distinct paragraphs linking to each uri.
+    The uri is encoded to its wiki URL first, so ids that encode alike merge."""
+    return (_joined_counts(uri_paragraphs, paragraphs, stop_words, algorithm, lang, encode)
+            .where(F.col("stem").isNotNull()))
+
+
+def render_vectors(counts: DataFrame, top_k: int | None = None) -> DataFrame:
+    """T5: (uri, vector) with vector = "(stem,n),(stem,n),..." by count desc, stem asc,
+    from (uri, stem, n) rows where a null stem only marks a uri without tokens (empty
+    vector). ``top_k`` keeps the k strongest stems per uri (a top-k report)."""
     c = counts
     if top_k is not None:
-        from pyspark.sql import Window
-        w = Window.partitionBy("uri").orderBy(F.col("n").desc(), F.col("stem"))
-        c = c.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= top_k).drop("_rk")
-    vec = (c.groupBy("uri")
-           .agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), "stem"))).alias("v"))
+        w = Window.partitionBy("uri").orderBy(F.col("stem").isNull(), F.col("n").desc(), F.col("stem"))
+        c = c.withColumn("_rk", F.row_number().over(w)).where((F.col("_rk") <= top_k) | F.col("stem").isNull())
+    entry = F.when(F.col("stem").isNotNull(), F.struct((-F.col("n")).alias("neg"), "stem"))
+    vec = (c.groupBy("uri").agg(F.array_sort(F.collect_list(entry)).alias("v"))
            .select("uri", F.array_join(F.transform("v", lambda x: F.concat(
                F.lit("("), x["stem"], F.lit(","), (-x["neg"]).cast("string"), F.lit(")"))), ",").alias("vector")))
-    return (uris.select("uri").distinct().join(vec, "uri", "left")
-            .select("uri", F.coalesce("vector", F.lit("")).alias("vector")))
+    return vec
 
 
 def context_vectors(uri_paragraphs: DataFrame, paragraphs: DataFrame, stop_words: DataFrame | None = None,
                     algorithm: str = "s", lang: str = "en", top_k: int | None = None) -> DataFrame:
-    """(uri, vector) per linked uri."""
-    counts = token_counts(uri_paragraphs, paragraphs, stop_words, algorithm, lang)
-    uris = uri_paragraphs.select(ur.wiki_url(F.col("uri"), lang).alias("uri"))
-    return render_vectors(counts, uris, top_k)
+    """(uri, vector) per linked uri, in one pass over (uri, para_key) pairs."""
+    return render_vectors(_joined_counts(uri_paragraphs, paragraphs, stop_words, algorithm, lang, True), top_k)

@@ -66,5 +66,5 @@ def uri_paragraphs(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
     p = p.select(F.col("p.paraText").alias("para"), F.col("p.links.id").alias("ids"))
     keyed = p.select(F.sha2("para", 256).alias("para_key"), "para", "ids")
     pairs = keyed.select(F.explode("ids").alias("uri"), "para_key").where(F.col("uri").isNotNull()).distinct()
-    texts = keyed.select("para_key", "para").dropDuplicates(["para_key"])
+    texts = keyed.select("para_key", "para").distinct()
     return pairs, texts

@@ -47,11 +47,12 @@ def build_dictionary(surface_forms: DataFrame, sf_col: str = "sf") -> Dictionary
     the text side.
     """
     toks = tx.words(F.col(sf_col))
+    # Words never contain a blank, so the key splits back into the word array exactly.
     d = (surface_forms.where(F.col(sf_col).isNotNull())
-         .select(toks.alias("toks"))
-         .where(F.size("toks") > 0)
-         .select(F.array_join("toks", " ").alias("key"), "toks")
-         .dropDuplicates(["key"])
+         .select(F.array_join(toks, " ").alias("key"))
+         .where(F.col("key") != "")
+         .distinct()
+         .select("key", F.split("key", " ").alias("toks"))
          .select("key", "toks", F.size("toks").alias("n"), F.col("toks")[0].alias("first")))
     row = d.agg(F.max("n").alias("max_n"),
                 F.sum(F.octet_length("key") * 2 + F.col("n") * 16 + 64).alias("bytes")).first()

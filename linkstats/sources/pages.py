@@ -108,7 +108,7 @@ def titles(pt: DataFrame) -> DataFrame:
 def paragraphs(pt: DataFrame) -> DataFrame:
     """Distinct paragraph texts keyed by their SHA-256, so later shuffles move keys."""
     para = pt.select(F.explode("paras").alias("para"))
-    return para.select(F.sha2("para", 256).alias("para_key"), "para").dropDuplicates(["para_key"])
+    return para.distinct().select(F.sha2("para", 256).alias("para_key"), "para")
 
 
 def article_rows(pt: DataFrame) -> DataFrame:
