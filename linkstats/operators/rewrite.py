@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkstats import session as sess
 from linkstats.functions import uris as ur
 from linkstats.operators import redirects as rd
 
@@ -28,7 +29,6 @@ def splice(texts: DataFrame, replacements: DataFrame, id_col: str = "wid", text_
         prev_end = F.when(i == 0, F.lit(0)).otherwise(F.element_at(r, i)["end"])
         return F.concat(F.substring(t, prev_end + 1, x["offset"] - prev_end), x["repl"])
 
-    last_end = F.element_at(r, -1)["end"]
     rebuilt = F.concat(F.array_join(F.transform(r, segment), ""),
                        F.expr(f"substring(`{text_col}`, element_at(r, -1).`end` + 1)"))
     return j.select(id_col, F.when(r.isNull() | (F.size(r) == 0), t).otherwise(rebuilt).alias(text_col))
@@ -37,8 +37,10 @@ def splice(texts: DataFrame, replacements: DataFrame, id_col: str = "wid", text_
 def rewrite_text(texts: DataFrame, linked_spots: DataFrame, resolved: DataFrame, lang: str = "en",
                  host: str = ur.DEFAULT_RESOURCE_HOST, id_col: str = "wid") -> DataFrame:
     """(wid, text). ``linked_spots``: (wid, sf, offset, uri), non-overlapping;
-    ``resolved``: (title, final) from the redirect resolver."""
-    targets = rd.resolve_targets(linked_spots, resolved, "uri")
+    ``resolved``: (title, final) from the redirect resolver. The spots are read twice
+    (distinct ids for the lookup, then the join back), so they are written once."""
+    spots = sess.materialize(linked_spots, "linked_spots")
+    targets = rd.resolve_targets(spots, resolved, "uri")
     repl = targets.select(
         id_col, "offset", (F.col("offset") + F.length("sf")).alias("end"),
         F.concat(F.lit(" "), ur.resource_uri(F.col("target"), lang, host), F.lit(" ")).alias("repl"))
