@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkstats import session as sess
 from linkstats.functions import stem as st
 from linkstats.functions import text as tx
 from linkstats.functions import uris as ur
@@ -19,20 +20,38 @@ from linkstats.functions import uris as ur
 def stem_vocabulary(texts: DataFrame, text_col: str = "para", algorithm: str = "s") -> DataFrame:
     """T2 at vocabulary level: (token, stem) for every distinct lower-cased word."""
     toks = texts.select(F.explode(tx.words(F.col(text_col))).alias("w")).select(F.lower("w").alias("token")).distinct()
-    return toks.select("token", st.stem(F.col("token"), algorithm).alias("stem"))
+    return st.stem_table(toks, "token", "stem", algorithm).select("token", "stem")
+
+
+def _stem_lookup(tokens: DataFrame, algorithm: str) -> DataFrame:
+    """(token, stem) for distinct tokens. A projection-chain stemmer's output is written
+    once, so joins plan against a plain scan and the chain runs a single time."""
+    out = st.stem_table(tokens, "token", "stem", algorithm).select("token", "stem")
+    return out if algorithm in st.STEMMERS else sess.materialize(out, f"stems_{algorithm}")
 
 
 def stemmed_stop_words(stop_words: DataFrame, algorithm: str = "s") -> DataFrame:
     """Stop words are tokenised and stemmed like the text before comparing."""
-    return (stop_words.select(F.explode(tx.words(F.col("word"))).alias("w"))
-            .select(st.stem(F.col("w"), algorithm).alias("stem")).distinct())
+    toks = stop_words.select(F.explode(tx.words(F.col("word"))).alias("token")).distinct()
+    return _stem_lookup(toks, algorithm).select("stem").distinct()
+
+
+def stemmed_words(words: DataFrame, algorithm: str = "s") -> DataFrame:
+    """(para_key, stem) from (para_key, w). Column stemmers run on every word; the
+    Porter chain runs once per distinct lower-cased word and joins back (the vocabulary
+    is broadcast only when measured under the limit)."""
+    if algorithm in st.STEMMERS:
+        return words.select("para_key", st.stem(F.col("w"), algorithm).alias("stem"))
+    lowered = words.select("para_key", F.lower("w").alias("token"))
+    vocab = _stem_lookup(lowered.select("token").distinct(), algorithm)
+    return lowered.join(sess.checked_broadcast(vocab), "token").select("para_key", "stem")
 
 
 def paragraph_token_counts(paragraphs: DataFrame, stop_words: DataFrame | None = None,
                            algorithm: str = "s") -> DataFrame:
     """(para_key, stem, n) for every distinct paragraph, stop words removed."""
     w = paragraphs.select("para_key", F.explode(tx.words(F.col("para"))).alias("w"))
-    s = w.select("para_key", st.stem(F.col("w"), algorithm).alias("stem"))
+    s = stemmed_words(w, algorithm)
     if stop_words is not None:
         # The stop list is a fixed, small file: broadcasting it is bounded.
         s = s.join(F.broadcast(stemmed_stop_words(stop_words, algorithm)), "stem", "left_anti")

@@ -244,6 +244,16 @@ def stem_vocabulary(t: Tables) -> DataFrame:
     return cx.stem_vocabulary(t.paragraphs())
 
 
+def stem_vocabulary_porter(t: Tables) -> DataFrame:
+    """Porter (1980) stems of every distinct paragraph word."""
+    return cx.stem_vocabulary(t.paragraphs(), algorithm="porter")
+
+
+def context_vectors_porter(t: Tables) -> DataFrame:
+    return cx.context_vectors(t.uri_paragraphs(), t.paragraphs(), sw.default_stop_words(t.spark),
+                              algorithm="porter")
+
+
 def token_counts(t: Tables) -> DataFrame:
     return cx.token_counts(t.uri_paragraphs(), t.paragraphs(), sw.default_stop_words(t.spark))
 
@@ -317,7 +327,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f
     link_spot_join, pair_link_counts, uri_link_counts, pair_counts, uri_counts,
     sf_annotated_counts, sf_spotted_counts, total_sf_counts, lowercase_phantoms,
     resolve_redirects, resolved_redirect_map, resolve_link_targets, resolve_redirects_cyclic,
-    uri_paragraphs, stem_vocabulary, token_counts, context_vectors, context_vectors_topk,
+    uri_paragraphs, stem_vocabulary, stem_vocabulary_porter, token_counts, context_vectors,
+    context_vectors_topk, context_vectors_porter,
     rewrite_text, uri_normalize, quarantine_corrupt, stream_pair_link_counts,
     dq_empty_sf, dq_redirect_count, dq_redirect_terminal, dq_annotated_total, dq_spot_offsets,
 ]}
