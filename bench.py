@@ -34,8 +34,11 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="linkstats-bench-")
     spark = build_session(f"local[{cpus}]", app="linkstats-bench", shuffle_partitions=2 * cpus,
                           extra={"spark.driver.memory": "16g",
-                                 "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
                                  "spark.local.dir": os.path.join(scratch, "local")})
+    # The checkpoint folder comes from the environment's spark.checkpoint.dir; only an
+    # unset one is filled in with a scratch folder.
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))
     times: dict[str, float] = {}
     for name in HEADLINE:
         fn = QUERIES[name]

@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark import StorageLevel
 
 from linkstats import session as sess
 
@@ -41,7 +42,11 @@ def resolve(edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
                    .select("title", "cur", "path", "nxt",
                            F.when(F.col("nxt").isNull(), F.col("cur"))
                            .when(F.array_contains("path", F.col("nxt")), F.col("nxt")).alias("final"))
-                   .checkpoint(eager=True))
+                   .persist(StorageLevel.MEMORY_AND_DISK))
+        # checkpoint(eager) counts then writes; the cache makes the write read, not recompute
+        cached = stepped
+        stepped = stepped.checkpoint(eager=True)
+        cached.unpersist()
         finished.append(stepped.where(F.col("final").isNotNull()).select("title", "final"))
         frontier = (stepped.where(F.col("final").isNull())
                     .select("title", F.col("nxt").alias("cur"), F.array_append("path", F.col("nxt")).alias("path")))

@@ -15,8 +15,9 @@ FIXTURES = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
 def spark():
     scratch = tempfile.mkdtemp(prefix="linkstats-tests-")
     s = build_session("local[4]", app="linkstats-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
-                             "spark.local.dir": os.path.join(scratch, "local")})
+                      extra={"spark.local.dir": os.path.join(scratch, "local")})
+    if not s.sparkContext.getCheckpointDir():  # only when the environment names none
+        s.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))
     yield s
     s.stop()
 
