@@ -32,14 +32,17 @@ CONTEXT_TOP_K = 10
 class Tables:
     """Handles on the driver tables of one sf folder and the adapter relations.
 
-    The page table (one html parse per page) is checkpointed once per instance and every
-    page-derived relation reads it, as the reference persists its parsed corpus.
+    The page table (one html parse per page) is written once per instance and every
+    page-derived relation reads it, as the reference persists its parsed corpus. The
+    paragraphs (another copy of the text) are a separate table, built only by the jobs
+    that read them.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._pt: DataFrame | None = None
+        self._paras: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -49,7 +52,7 @@ class Tables:
         if self._pt is None:
             ensure_checkpoint_dir(self.spark)
             pages = spread_small_scan(self.table("pages"), "page_id")
-            self._pt = materialize(pg.page_table(pages), "page_table")
+            self._pt = materialize(pg.page_table(pages, with_paragraphs=False), "page_table")
         return self._pt
 
     def articles(self) -> DataFrame:
@@ -65,7 +68,11 @@ class Tables:
         return pg.titles(self.pt)
 
     def paragraphs(self) -> DataFrame:
-        return pg.paragraphs(self.pt)
+        if self._paras is None:
+            ensure_checkpoint_dir(self.spark)
+            pages = spread_small_scan(self.table("pages"), "page_id")
+            self._paras = materialize(pg.page_paragraphs(pages), "paragraphs")
+        return self._paras
 
     def link_facts(self) -> DataFrame:
         return ex.link_facts(self.typed())
