@@ -59,24 +59,71 @@ def build_dictionary(surface_forms: DataFrame, sf_col: str = "sf") -> Dictionary
     return Dictionary(d, int(row["max_n"] or 0), int(row["bytes"] or 0))
 
 
-def spot(texts: DataFrame, dictionary: Dictionary, id_col: str = "wid", text_col: str = "text") -> DataFrame:
-    """M1: every occurrence of every dictionary entry at every start: (id, sf, offset, key)."""
+CHUNK_WORDS = 4
+
+
+def _look(p: DataFrame, span: int) -> DataFrame:
+    """Adds ``look``: this piece and the next ``span - 1`` pieces (``lead``, O(1) per row)."""
+    w = Window.partitionBy("id").orderBy("pos")
+    return p.withColumn("look", F.array(F.col("piece"), *[F.lead("piece", k).over(w) for k in range(1, span)]))
+
+
+def _words_of(look, n_words):
+    """The first ``n_words`` words of a look array (words sit at even positions)."""
+    return F.filter(F.slice(look, 1, n_words * 2 - 1), lambda x, i: i % 2 == 0)
+
+
+def spot(texts: DataFrame, dictionary: Dictionary, id_col: str = "wid", text_col: str = "text",
+         chunk_words: int = CHUNK_WORDS) -> DataFrame:
+    """M1: every occurrence of every dictionary entry at every start: (id, sf, offset, key).
+
+    Entries of up to ``chunk_words`` words are checked on the look-ahead of the first
+    word. Longer entries match their first chunk the same way; their later chunks are
+    verified with one equi-join on (id, pos + 2 * chunk_words * j), since pieces strictly
+    alternate word / separator. Per-row work is bounded by ``chunk_words`` whatever the
+    longest entry, and every entry is matched exactly.
+    """
     d = dictionary.join_side
     if dictionary.max_n <= 1:
         p = text_pieces(texts, id_col, text_col).where("is_word")
         m = p.join(d, p["piece"] == d["first"])
         return m.select(F.col("id").alias(id_col), F.col("piece").alias("sf"), "offset", "key")
 
-    span = 2 * dictionary.max_n - 1
-    p = text_pieces(texts, id_col, text_col)
-    w = Window.partitionBy("id").orderBy("pos")
-    look = F.array(F.col("piece"), *[F.lead("piece", k).over(w) for k in range(1, span)])
-    p = p.withColumn("look", look).where("is_word")
+    c = max(1, chunk_words)
+    span = 2 * min(dictionary.max_n, c) - (1 if dictionary.max_n <= c else 0)
+    p = _look(text_pieces(texts, id_col, text_col), span).where("is_word")
     m = p.join(d, p["piece"] == d["first"])
     covered = F.slice("look", 1, F.col("n") * 2 - 1)
-    words_in_span = F.filter(covered, lambda x, i: i % 2 == 0)
-    m = m.where((F.col("n") == 1) | (words_in_span == F.col("toks")))
-    return m.select(F.col("id").alias(id_col), F.array_join(covered, "").alias("sf"), "offset", "key")
+    short = (m.where((F.col("n") <= c) & ((F.col("n") == 1) | (_words_of(F.col("look"), F.col("n")) == F.col("toks"))))
+             .select(F.col("id").alias(id_col), F.array_join(covered, "").alias("sf"), "offset", "key"))
+    if dictionary.max_n <= c:
+        return short
+
+    # Long entries: first chunk on the look-ahead, later chunks by position.
+    cand = (m.where((F.col("n") > c) & (_words_of(F.col("look"), F.lit(c)) == F.slice("toks", 1, c)))
+            .select("id", F.col("pos").alias("pos0"), "offset", "key", "toks", "n",
+                    F.array_join("look", "").alias("part0")))
+    cand = sess.materialize(cand, "spot_candidates")
+    n_chunks = F.ceil(F.col("n") / c).cast("int")
+    need = cand.select("id", "pos0", "offset", "key", "toks", "n", "part0",
+                       F.explode(F.sequence(F.lit(1), n_chunks - 1)).alias("j"))
+    need = need.select("*", (F.col("pos0") + 2 * c * F.col("j")).alias("pos"),
+                       F.slice("toks", F.col("j") * c + 1, c).alias("chunk"))
+    need = sess.checked_broadcast(need)
+    p2 = _look(text_pieces(texts, id_col, text_col), span).where("is_word").select("id", "pos", "look")
+    hit = need.join(p2, ["id", "pos"])
+    last = F.col("j") == n_chunks - 1
+    part = F.when(last, F.array_join(F.slice("look", 1, F.size("chunk") * 2 - 1), "")).otherwise(
+        F.array_join("look", ""))
+    hit = hit.where(_words_of(F.col("look"), F.size("chunk")) == F.col("chunk")).select(
+        "id", "pos0", "offset", "key", "n", "part0", "j", part.alias("part"))
+    full = (hit.groupBy("id", "pos0", "offset", "key", "n", "part0")
+            .agg(F.count(F.lit(1)).alias("_hits"), F.array_sort(F.collect_list(F.struct("j", "part"))).alias("_parts"))
+            .where(F.col("_hits") == n_chunks - 1))
+    long_spots = full.select(F.col("id").alias(id_col),
+                             F.concat("part0", F.array_join(F.transform("_parts", lambda x: x["part"]), "")).alias("sf"),
+                             "offset", "key")
+    return short.unionByName(long_spots)
 
 
 def spot_surface_forms(texts: DataFrame, surface_forms: DataFrame, id_col: str = "wid",

@@ -95,6 +95,9 @@ def test_spot_matches_brute_force(spark, case):
     got = set((r["sf"], r["offset"]) for r in sp.spot_surface_forms(
         df, spark.createDataFrame([(e,) for e in entries], "sf string")).collect())
     assert got == brute_spots(text, entries)
+    d = sp.build_dictionary(spark.createDataFrame([(e,) for e in entries], "sf string"))
+    chunked = set((r["sf"], r["offset"]) for r in sp.spot(df, d, chunk_words=1).collect())
+    assert chunked == brute_spots(text, entries)
 
 
 def test_leftmost_longest(spark):
@@ -112,3 +115,14 @@ def test_spot_linked_last_link_wins(spark):
         "wid long, pos long, sf string, uri string")
     got = rows(sp.spot_linked(texts, links), "wid", "sf", "offset", "uri")
     assert got == [(1, "France", 12, "France"), (1, "Paris", 0, "Paris_B"), (1, "Paris", 20, "Paris_B")]
+
+
+def test_long_entries_by_chunks(spark):
+    texts = ["a b c d e f g h", "a b c d x f g h a b c", "a-b c, d e!f g h."]
+    entries = ["a b c d e f g h", "a b c d e", "b c d", "c d e f g", "a b c d x f g h a b c", "f g h"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "wid long, text string")
+    d = sp.build_dictionary(spark.createDataFrame([(e,) for e in entries], "sf string"))
+    want = sorted((i, sf, off) for i, t in enumerate(texts) for sf, off in brute_spots(t, entries))
+    for chunk in (2, 3, 4, 20):
+        got = rows(sp.spot(df, d, chunk_words=chunk).select("wid", "sf", "offset"))
+        assert got == want, chunk
