@@ -33,14 +33,6 @@ def clean_markup(c):
     return c
 
 
-def _link_parts(piece):
-    inner = F.regexp_extract(piece, r"^\[\[(.*)\]\]$", 1)
-    has_pipe = F.instr(inner, "|") > 0
-    target = F.when(has_pipe, F.substring_index(inner, "|", 1)).otherwise(inner)
-    anchor = F.when(has_pipe, F.expr("substring(inner_, instr(inner_, '|') + 1)")).otherwise(inner)
-    return inner, target, anchor
-
-
 def plain_of(c):
     """Markup without links: anchors (or targets) in place of ``[[...]]``."""
     c = F.regexp_replace(c, r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1")
