@@ -59,7 +59,9 @@ def parse_markup(df: DataFrame, markup_col: str = "markup", id_col: str = "wid")
     base = base.withColumn("paragraphsLink", _paragraphs(F.col("_clean")))
     exploded = base.select(*keep, "paragraphsLink",
                            F.posexplode_outer(F.regexp_extract_all("_clean", F.lit(PIECE_PATTERN), 0)).alias("pos", "piece"))
-    is_link = F.col("piece").rlike(r"^\[\[[^\[\]]*\]\]$")
+    # Only the link alternative of PIECE_PATTERN yields a piece that starts with "[["
+    # (an unclosed "[[" splits into single "[" pieces), so no anchored regex is needed.
+    is_link = F.col("piece").startswith("[[")
     exploded = exploded.withColumn("inner_", F.regexp_extract("piece", r"^\[\[(.*)\]\]$", 1))
     has_pipe = F.instr("inner_", "|") > 0
     target = F.trim(F.when(has_pipe, F.substring_index("inner_", "|", 1)).otherwise(F.col("inner_")))

@@ -77,3 +77,12 @@ def test_driver_contract(spark):
     df = E.entry(spark)
     assert set(df.columns) == {"sf", "uri", "n"}
     assert df.count() > 0
+
+
+def test_markup_with_unclosed_brackets(spark):
+    from linkstats.sources import wikitext as wt
+    df = spark.createDataFrame([(1, "a [[b c and [[x|y]] end [[z]]")], "wid long, markup string")
+    r = wt.parse_markup(df).first()
+    assert r["plain"] == "a [[b c and y end z"
+    assert [(l["description"], l["id"], r["plain"][l["start"]:l["end"]]) for l in r["links"]] == [
+        ("y", "x", "y"), ("z", "z", "z")]
