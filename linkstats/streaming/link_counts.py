@@ -49,10 +49,11 @@ def streaming_uri_link_counts(pages: DataFrame) -> DataFrame:
     return ct.uri_counts(streaming_link_facts(pages), weight="links")
 
 
-def start(counts: DataFrame, name: str, output_mode: str = "complete", sink: str = "memory",
+def start(counts: DataFrame, name: str, output_mode: str = "update", sink: str = "parquet",
           path: str | None = None, available_now: bool = True) -> StreamingQuery:
     """Start a counts stream. State and progress go under the session's checkpoint folder
-    (shared storage on a cluster), so a restarted query resumes where it stopped."""
+    (shared storage on a cluster), so a restarted query resumes where it stopped.
+    ``update`` mode emits only the counts a micro-batch changed; ``complete`` re-emits all."""
     base = sess.ensure_checkpoint_dir(counts.sparkSession)
     w = (counts.writeStream.outputMode(output_mode).queryName(name)
          .option("checkpointLocation", f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"))
@@ -64,11 +65,23 @@ def start(counts: DataFrame, name: str, output_mode: str = "complete", sink: str
 
 
 def run_to_table(counts: DataFrame, name: str) -> DataFrame:
-    """Drain everything available into an in-memory table and return it as a batch
-    DataFrame (for checks and small reports)."""
-    q = start(counts, name)
+    """Drain everything available and return the final counts as a batch DataFrame.
+
+    Each micro-batch of the complete result is written with ``foreachBatch`` as a Parquet
+    table under the checkpoint folder (executors write, the driver holds nothing); the
+    last batch written is the final table.
+    """
+    base = sess.ensure_checkpoint_dir(counts.sparkSession).rstrip("/")
+    out = f"{base}/streams/{name}-out"
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    q = (counts.writeStream.outputMode("complete").queryName(name)
+         .option("checkpointLocation", f"{base}/streams/{name}-state")
+         .foreachBatch(write_batch).trigger(availableNow=True).start())
     q.awaitTermination()
-    return counts.sparkSession.table(name)
+    return counts.sparkSession.read.parquet(out)
 
 
 def stream_pair_link_counts(spark: SparkSession, folder: str, file_glob: str = "pages.parquet") -> DataFrame:
