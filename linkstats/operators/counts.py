@@ -15,8 +15,12 @@ WEIGHTS = ("occurrences", "links")
 
 
 def link_spot_join(link_facts: DataFrame, spots: DataFrame) -> DataFrame:
-    """J1 over pre-aggregated sides: (wid, sf, uri, links, spots, weight)."""
-    k = link_facts.groupBy("wid", "sf", "uri").agg(F.count(F.lit(1)).alias("links"))
+    """J1 over pre-aggregated sides: (wid, sf, uri, links, spots, weight).
+
+    Link facts are hash-partitioned by (wid, sf) once: the (wid, sf, uri) aggregate and
+    the join on (wid, sf) both reuse that partitioning (one exchange on the link side)."""
+    k = (link_facts.repartition("wid", "sf")
+         .groupBy("wid", "sf", "uri").agg(F.count(F.lit(1)).alias("links")))
     n = spots.groupBy("wid", "sf").agg(F.count(F.lit(1)).alias("spots"))
     j = k.join(n, ["wid", "sf"], "left")
     return j.select("wid", "sf", "uri", "links", F.coalesce("spots", F.lit(0)).alias("spots"),
