@@ -43,6 +43,7 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
         self._pt: DataFrame | None = None
         self._paras: DataFrame | None = None
+        self._ctx: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -55,6 +56,15 @@ class Tables:
             self._pt = materialize(pg.page_table(pages, with_paragraphs=False), "page_table")
         return self._pt
 
+    @property
+    def ctx(self) -> DataFrame:
+        """(wid, url, h1, paras): the narrow parse the context jobs need (no text, links)."""
+        if self._ctx is None:
+            ensure_checkpoint_dir(self.spark)
+            pages = spread_small_scan(self.table("pages"), "page_id")
+            self._ctx = materialize(pg.page_table(pages, with_paragraphs=True, with_text=False), "page_context")
+        return self._ctx
+
     def articles(self) -> DataFrame:
         return pg.articles(self.pt)
 
@@ -65,13 +75,13 @@ class Tables:
         return pg.typed_pages(self.pt)
 
     def titles(self) -> DataFrame:
-        return pg.titles(self.pt)
+        """From the page table when it exists, else from the narrow context parse."""
+        return pg.titles(self._pt if self._pt is not None else self.ctx)
 
     def paragraphs(self) -> DataFrame:
+        """Distinct paragraphs, written once: spotting and token counting both read them."""
         if self._paras is None:
-            ensure_checkpoint_dir(self.spark)
-            pages = spread_small_scan(self.table("pages"), "page_id")
-            self._paras = materialize(pg.page_paragraphs(pages), "paragraphs")
+            self._paras = materialize(pg.paragraphs(self.ctx), "paragraphs")
         return self._paras
 
     def link_facts(self) -> DataFrame:

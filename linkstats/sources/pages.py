@@ -49,27 +49,21 @@ def _paragraph_array(body) -> F.Column:
     return F.filter(F.transform(raw, tx.markup_to_text), lambda p: p != "")
 
 
-def page_table(pages: DataFrame, with_paragraphs: bool = True) -> DataFrame:
+def page_table(pages: DataFrame, with_paragraphs: bool = True, with_text: bool = True) -> DataFrame:
     """Everything the jobs need from a page, from one pass over its html (narrow):
-    (wid, url, h1, text, links array<description, end, id, start>[, paras array<string>])."""
+    (wid, url, h1[, text, links array<description, end, id, start>][, paras array<string>])."""
     b = page_bodies(pages)
     cols = [
         F.col("wid").cast("long").alias("wid"), "url",
         tx.markup_to_text(F.regexp_extract("body", tx.H1_PATTERN, 1)).alias("h1"),
-        tx.markup_to_text(F.col("body")).alias("text"),
-        _link_array(F.col("body")).alias("links"),
     ]
+    if with_text:
+        cols += [tx.markup_to_text(F.col("body")).alias("text"), _link_array(F.col("body")).alias("links")]
     if with_paragraphs:
         cols.append(_paragraph_array(F.col("body")).alias("paras"))
     return b.select(*cols)
 
 
-def page_paragraphs(pages: DataFrame) -> DataFrame:
-    """(para_key, para) straight from the html, for jobs that need only paragraphs."""
-    b = page_bodies(pages)
-    return paragraphs(b.select(_paragraph_array(F.col("body")).alias("paras")))
-
-
 def articles(pt: DataFrame) -> DataFrame:
     """(wid, text, h1) from the page table."""
     return pt.select("wid", "text", "h1")

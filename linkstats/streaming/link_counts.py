@@ -36,7 +36,7 @@ def page_stream(spark: SparkSession, folder: str, file_glob: str | None = None,
 
 def streaming_link_facts(pages: DataFrame) -> DataFrame:
     """(wid, sf, uri) of every new page; narrow, no state."""
-    return ex.link_facts(pg.article_rows(pg.page_table(pages)))
+    return ex.link_facts(pg.article_rows(pg.page_table(pages, with_paragraphs=False)))
 
 
 def streaming_pair_link_counts(pages: DataFrame) -> DataFrame:
