@@ -246,6 +246,7 @@ def queries() -> dict[str, str]:
     q["resolve_link_targets"] = _q(["link_facts", "redirect_edges_u"], [RESOLVED, TARGETS.format(src="link_facts")],
                                    "SELECT l.wid, l.sf, l.uri, t.target FROM link_facts l LEFT JOIN tgt t ON t.u = l.uri")
     q["resolve_redirects_cyclic"] = _q(["cyclic_edges_u"], [RESOLVED_CYCLIC], "SELECT final, title FROM resolved_c")
+    q["resolve_redirects_doubling"] = q["resolve_redirects_cyclic"]
 
     q["uri_paragraphs"] = _q(CONTEXT, [PARA_SPOTS, UP], "SELECT uri, para_key FROM up")
     q["stem_vocabulary"] = _q(["v_paragraphs"], [], f"""SELECT token, {s_stem('token')} AS stem FROM (

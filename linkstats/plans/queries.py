@@ -251,6 +251,11 @@ def resolve_redirects_cyclic(t: Tables) -> DataFrame:
     return rd.resolve_final_first(pg.cyclic_redirects(t.table("part")))
 
 
+def resolve_redirects_doubling(t: Tables) -> DataFrame:
+    """The cyclic graph resolved by pointer doubling (O(log walk) rounds)."""
+    return rd.resolve_doubling(pg.cyclic_redirects(t.table("part"))).select("final", "title")
+
+
 # ---- context vectors ----------------------------------------------------------------
 
 def uri_paragraphs(t: Tables) -> DataFrame:
@@ -344,6 +349,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f
     link_spot_join, pair_link_counts, uri_link_counts, pair_counts, uri_counts,
     sf_annotated_counts, sf_spotted_counts, total_sf_counts, lowercase_phantoms,
     resolve_redirects, resolved_redirect_map, resolve_link_targets, resolve_redirects_cyclic,
+    resolve_redirects_doubling,
     uri_paragraphs, stem_vocabulary, stem_vocabulary_porter, token_counts, context_vectors,
     context_vectors_topk, context_vectors_porter,
     rewrite_text, uri_normalize, quarantine_corrupt, stream_pair_link_counts,
