@@ -230,6 +230,7 @@ def queries() -> dict[str, str]:
     q["uri_link_counts"] = _q(["link_facts"], [], """SELECT uri, count(*)::BIGINT AS n FROM link_facts
         WHERE uri IS NOT NULL AND length(uri) > 0 GROUP BY uri""")
     q["pair_counts"] = _q(base_counts, [ANCHOR_SPOTS, RESOLVED, COUNTS], "SELECT sf, uri, n FROM pairs")
+    q["stats_job_pair_counts"] = q["pair_counts"]
     q["uri_counts"] = _q(base_counts, [ANCHOR_SPOTS, RESOLVED, COUNTS],
                          "SELECT uri, sum(n)::BIGINT AS n FROM pairs GROUP BY uri")
     q["sf_annotated_counts"] = _q(["link_facts"], [], """SELECT sf, count(*)::BIGINT AS annotated FROM link_facts

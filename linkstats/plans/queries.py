@@ -20,6 +20,7 @@ from linkstats.operators import redirects as rd
 from linkstats.operators import rewrite as rw
 from linkstats.operators import spotting as sp
 from linkstats.operators import tokens as tk
+from linkstats.plans import jobs
 from linkstats.sources import articles as src_articles
 from linkstats.sources import pages as pg
 from linkstats.sources import stopwords as sw
@@ -309,6 +310,13 @@ def quarantine_corrupt(t: Tables) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+# ---- end-to-end job ------------------------------------------------------------------
+
+def stats_job_pair_counts(t: Tables) -> DataFrame:
+    """W1 over the pages in the article schema: the job's pair counts table."""
+    return jobs.build_stats(t.typed())["pair_counts"]
+
+
 # ---- streaming ----------------------------------------------------------------------
 
 def stream_pair_link_counts(t: Tables) -> DataFrame:
@@ -352,6 +360,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f
     resolve_redirects_doubling,
     uri_paragraphs, stem_vocabulary, stem_vocabulary_porter, token_counts, context_vectors,
     context_vectors_topk, context_vectors_porter,
-    rewrite_text, uri_normalize, quarantine_corrupt, stream_pair_link_counts,
+    rewrite_text, uri_normalize, quarantine_corrupt, stats_job_pair_counts, stream_pair_link_counts,
     dq_empty_sf, dq_redirect_count, dq_redirect_terminal, dq_annotated_total, dq_spot_offsets,
 ]}
