@@ -230,7 +230,6 @@ def queries() -> dict[str, str]:
     q["uri_link_counts"] = _q(["link_facts"], [], """SELECT uri, count(*)::BIGINT AS n FROM link_facts
         WHERE uri IS NOT NULL AND length(uri) > 0 GROUP BY uri""")
     q["pair_counts"] = _q(base_counts, [ANCHOR_SPOTS, RESOLVED, COUNTS], "SELECT sf, uri, n FROM pairs")
-    q["stats_job_pair_counts"] = q["pair_counts"]
     q["uri_counts"] = _q(base_counts, [ANCHOR_SPOTS, RESOLVED, COUNTS],
                          "SELECT uri, sum(n)::BIGINT AS n FROM pairs GROUP BY uri")
     q["sf_annotated_counts"] = _q(["link_facts"], [], """SELECT sf, count(*)::BIGINT AS annotated FROM link_facts
@@ -294,4 +293,7 @@ def queries() -> dict[str, str]:
         coalesce(sum(CASE WHEN substring(t.text, s."offset" + 1, length(s.sf)) <> s.sf THEN 1 ELSE 0 END), 0)::BIGINT AS n_violations
         FROM (SELECT id, sf, "offset" FROM anchor_spots UNION ALL SELECT id, sf, "offset" FROM title_spots) s
         JOIN texts t ON t.wid = s.id""")
+    q["stats_job_pair_counts"] = q["pair_counts"]
+    q["stats_job_uri_counts"] = q["uri_counts"]
+    q["stats_job_total_sf_counts"] = q["total_sf_counts"]
     return q

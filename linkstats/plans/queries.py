@@ -317,6 +317,14 @@ def stats_job_pair_counts(t: Tables) -> DataFrame:
     return jobs.build_stats(t.typed())["pair_counts"]
 
 
+def stats_job_uri_counts(t: Tables) -> DataFrame:
+    return jobs.build_stats(t.typed())["uri_counts"]
+
+
+def stats_job_total_sf_counts(t: Tables) -> DataFrame:
+    return jobs.build_stats(t.typed())["total_sf_counts"]
+
+
 # ---- streaming ----------------------------------------------------------------------
 
 def stream_pair_link_counts(t: Tables) -> DataFrame:
@@ -360,6 +368,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f
     resolve_redirects_doubling,
     uri_paragraphs, stem_vocabulary, stem_vocabulary_porter, token_counts, context_vectors,
     context_vectors_topk, context_vectors_porter,
-    rewrite_text, uri_normalize, quarantine_corrupt, stats_job_pair_counts, stream_pair_link_counts,
+    rewrite_text, uri_normalize, quarantine_corrupt, stats_job_pair_counts,
+    stats_job_uri_counts, stats_job_total_sf_counts, stream_pair_link_counts,
     dq_empty_sf, dq_redirect_count, dq_redirect_terminal, dq_annotated_total, dq_spot_offsets,
 ]}
