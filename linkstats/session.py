@@ -20,6 +20,7 @@ def build_session(master: str | None = None, app: str = "linkstats",
     master = master or os.environ.get("LINKSTATS_MASTER", "local[*]")
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
