@@ -140,7 +140,9 @@ def leftmost_longest(spots: DataFrame, id_col: str = "wid") -> DataFrame:
     always chosen; the greedy pass only runs inside clusters of overlapping spots, so no
     page is collected whole.
     """
-    s = spots.withColumn("end", F.col("offset") + F.length("sf"))
+    # One hash partitioning by page serves the per-start aggregate, the window and the
+    # per-cluster aggregate (all keyed by the page first).
+    s = spots.repartition(id_col).withColumn("end", F.col("offset") + F.length("sf"))
     cols = [c for c in s.columns if c not in (id_col, "offset")]
     longest = (s.groupBy(id_col, "offset")
                .agg(F.max_by(F.struct(*cols), F.col("end")).alias("s"))
