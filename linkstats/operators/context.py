@@ -65,7 +65,8 @@ def _joined_counts(uri_paragraphs: DataFrame, paragraphs: DataFrame, stop_words:
     pairs = uri_paragraphs
     if encode:
         pairs = pairs.select(ur.wiki_url(F.col("uri"), lang).alias("uri"), "para_key")
-    pairs = pairs.distinct()
+    # Hashed by paragraph once: the distinct and the join on para_key share it.
+    pairs = pairs.repartition("para_key").distinct()
     ptc = paragraph_token_counts(paragraphs, stop_words, algorithm)
     return (pairs.join(ptc, "para_key", "left")
             .groupBy("uri", "stem").agg(F.sum("n").cast("long").alias("n")))
