@@ -41,3 +41,13 @@ def test_restarted_stream_equals_batch(spark):
     # the restart read only the new files: its input is the odd half
     n_odd = pages.where(F.col("page_id") % 2 == 1).count()
     assert sum(p["numInputRows"] for p in q2.recentProgress) == n_odd
+
+
+def test_uri_counts_stream_through_table(spark):
+    pages = spark.read.parquet(PAGES)
+    inbox = tempfile.mkdtemp(prefix="linkstats-inbox-")
+    pages.write.parquet(os.path.join(inbox, "all"))
+    stream = sl.streaming_uri_link_counts(sl.page_stream(spark, os.path.join(inbox, "*")))
+    got = rows(sl.run_to_table(stream, "uri_counts_stream_test"))
+    want = rows(ct.uri_counts(ex.link_facts(pg.article_rows(pg.page_table(pages))), weight="links"))
+    assert got == want
