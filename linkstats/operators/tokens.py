@@ -5,10 +5,11 @@ Offsets are Unicode code points from 0, as Spark's ``length``/``substring`` coun
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkstats.functions import text as tx
+from linkstats.session import materialize
 
 
 def text_pieces(texts: DataFrame, id_col: str = "wid", text_col: str = "text",
@@ -51,18 +52,19 @@ def sf_tokens(surface_forms: DataFrame, sf_col: str = "sf") -> DataFrame:
     return surface_forms.select(F.col(sf_col).alias("sf"), F.explode(tx.words(F.col(sf_col))).alias("token"))
 
 
-def with_dense_ids(df: DataFrame, order_col: str, id_col: str = "token_id") -> DataFrame:
+def with_dense_ids(df: DataFrame, order_col: str | Column, id_col: str = "token_id") -> DataFrame:
     """Attach consecutive ids 1..n in ``order_col`` order without a single-partition window.
 
-    Range-partition and sort, number rows inside each partition, then add the row count
-    of all earlier partitions. The per-partition count table has one row per partition,
-    so broadcasting it is bounded by the partition count, not by the data.
+    Range-partition and sort, number the rows inside each partition, and write them once
+    with their partition and number; the offsets come from that table, so rows and counts
+    cannot disagree. The per-partition count table has one row per partition, so
+    broadcasting it is bounded by the partition count, not by the data.
     """
-    ranged = (df.repartitionByRange(order_col).sortWithinPartitions(order_col)
-              .withColumn("_part", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id()))
     # monotonically_increasing_id = partition index << 33 | row number within partition
-    ranged = ranged.withColumn("_local", F.col("_mono") - F.shiftleft(F.col("_part").cast("long"), 33))
+    ranged = (df.repartitionByRange(order_col).sortWithinPartitions(order_col)
+              .withColumn("_part", F.spark_partition_id().cast("long"))
+              .withColumn("_local", F.monotonically_increasing_id()))
+    ranged = materialize(ranged.withColumn("_local", F.col("_local") - F.shiftleft(F.col("_part"), 33)), "dense_ids")
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_part",
