@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkstats.llm import chat, exact_dedup, html_text, line_dedup, mixing, urls
+from linkstats.llm import chat, decontaminate, exact_dedup, html_text, line_dedup, mixing, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in [
-    line_dedup.op3_line_dedup, exact_dedup.op4_exact_dedup, mixing.op5_mix_sources,
-    chat.op7_chat_format, urls.op8_url_filter, html_text.op9_html_text,
+    toxicity.op1_toxicity, line_dedup.op3_line_dedup, exact_dedup.op4_exact_dedup, mixing.op5_mix_sources,
+    decontaminate.op6_decontaminate,    chat.op7_chat_format, urls.op8_url_filter, html_text.op9_html_text,
 ]}
 
 ORACLE_SQL: dict[str, str] = {

@@ -12,6 +12,8 @@ import pyarrow as pa
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_NOT_ALNUM = np.ones(256, dtype=bool)
+_NOT_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -79,30 +81,38 @@ def blocks(offsets: np.ndarray):
         row = min(end, n)
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word hashes, word offsets by row) of rows laid end to end."""
-    n = len(data)
-    if n == 0:
-        return np.zeros(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64)
-    word = ~_SPACE[data]
-    first = word.copy()
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of every word of rows laid end to end; ``space`` marks the bytes between words."""
+    word = ~space[data]
+    first, last = word.copy(), word.copy()
     first[1:] &= ~word[:-1]
-    starts_of_rows = offsets[:-1][offsets[:-1] < n]
-    first[starts_of_rows] = word[starts_of_rows]
-    last = word.copy()  # the byte is a word's last one
     last[:-1] &= ~word[1:]
+    starts_of_rows = offsets[:-1][offsets[:-1] < len(data)]
+    first[starts_of_rows] = word[starts_of_rows]
     ends_of_rows = offsets[1:][offsets[1:] > 0] - 1
     last[ends_of_rows] = word[ends_of_rows]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(word hashes, word offsets by row) of rows laid end to end."""
+    if len(data) == 0:
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64)
+    start, end = word_spans(data, offsets, space)
     return span_hashes(running_sums(data, _BYTE_LOWER), start, end), np.searchsorted(start, offsets)
 
 
-def word_blocks(column: pa.Array):
+def word_blocks(column: pa.Array, space: np.ndarray = _SPACE):
     """Yields (first row, last row + 1, word hashes, word offsets) for a string column."""
     data, offsets = bytes_of(column)
     for a, b in blocks(offsets):
         part = offsets[a:b + 1]
-        yield a, b, *words_of(data[part[0]:part[-1]], part - part[0])
+        yield a, b, *words_of(data[part[0]:part[-1]], part - part[0], space)
+
+
+def plain_word_blocks(column: pa.Array):
+    """As word_blocks(), with every ASCII character but letters and digits between words."""
+    return word_blocks(column, _NOT_ALNUM)
 
 
 def hash_word(word: str) -> int:
