@@ -34,7 +34,7 @@ from linkstats.session import materialize
 
 MAX_LABELLED, MAX_FEATURES, MAX_SENTENCES, SWAPS = 8_000, 30_000, 20_000, 3
 LENGTHS = (0, 3, 4, 5, 6, 7, 8)  # 0: the whole word
-L1, COUNTERFACTUAL, STEPS = 1e-3, 1.0, 400
+L1, COUNTERFACTUAL, STEPS = 2e-4, 1.0, 400
 # Identity terms, swapped for one another.
 IDENTITY = ["african", "american", "arab", "asian", "atheist", "black", "blind", "buddhist", "catholic", "christian", "deaf",
             "disabled", "elderly", "european", "female", "gay", "heterosexual", "hindu", "homosexual", "immigrant", "jewish",
