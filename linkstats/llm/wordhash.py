@@ -60,6 +60,13 @@ def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
+def gram_hashes(sums: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n bytes from every place, equal to span_hashes(sums, i, i + n)."""
+    places = max(0, len(sums) - n)
+    inverse = powers("inverse", _INVERSE, len(sums))
+    return mix((sums[n:] - sums[:places]) * inverse[:places] + np.uint64(n))
+
+
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, row offsets) of a string column; null counts as empty."""
     if column.null_count:
@@ -72,11 +79,11 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def blocks(offsets: np.ndarray):
-    """Row ranges of about BLOCK_BYTES each, so that working arrays stay small."""
+def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES):
+    """Row ranges of about ``size`` bytes each, so that working arrays stay small."""
     row, n = 0, len(offsets) - 1
     while row < n:
-        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BLOCK_BYTES, side="right")) - 1)
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1)
         yield row, min(end, n)
         row = min(end, n)
 
