@@ -8,17 +8,19 @@ itself under (coordinate, value) pairs of its ``COORDINATES`` MinHash coordinate
 * prefix: two signatures that agree in at least ``MATCHES`` coordinates share one of the
   COORDINATES - MATCHES + 1 rarest pairs of either; only those are posted, rarest first, so
   pairs that are common in the corpus are skipped wherever a signature has rarer ones;
-* merge: lists are merged round by round against pivots instead of all against all. A round
-  takes up to 8**round members of a list, those outside its largest component first, pairs
-  them with the list's members of other components and takes them off the list. Pairs that
-  are connected already are skipped, and a list whose members are all connected is done, so
-  a large group of near copies costs a few passes over it instead of its square;
-* match: of each pair the agreeing coordinates are counted; pairs with at least MATCHES are
-  confirmed on their full sets, 100 * intersection >= 80 * union.
+* merge: a list is first merged as a star: its smallest member against all others. Members
+  that are connected then need no comparison any more, so a large group of near copies costs
+  a pass over it instead of its square. Lists that still hold several components form
+  clusters (lists that share members); in each, the members outside the largest component
+  are compared with all members of similar set size, in blocks of ``BLOCK`` members that a
+  task holds while the outsiders stream past it;
+* match: of each pair of a star the agreeing coordinates are counted, and pairs with at least
+  MATCHES are confirmed on their full sets, 100 * intersection >= 80 * union; in a block the
+  full sets are compared at once, by merging their shingles with those of the block.
 
 At a similarity of 0.8 a pair agrees in 51 of 64 coordinates on average; fewer than 38 agree
-with a probability below 1e-4. Within that, no link is lost: every list runs until its
-members are connected or have all been pivots.
+with a probability below 1e-4. Within that, no link between components is lost: two members
+of a list that end in different components have been compared on their full sets.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; a document
 with a null doc_id is linked with nothing, has a null component_id and is kept; rows that
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkstats.llm import wordhash as wh
@@ -40,7 +42,7 @@ from linkstats.llm.common import map_arrow, same, table
 from linkstats.llm.components import components
 from linkstats.session import checked_broadcast, materialize
 
-COORDINATES, MATCHES, PERCENT = 64, 38, 80
+COORDINATES, MATCHES, PERCENT, BLOCK = 64, 38, 80, 1024
 PREFIX = COORDINATES - MATCHES + 1
 _RNG = np.random.default_rng(4711)
 _A = (_RNG.integers(0, 1 << 31, COORDINATES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -115,51 +117,104 @@ def _postings(nodes: DataFrame) -> DataFrame:
     return own.select("node", "n_shingles", F.explode(taken).alias("t")).select("t.token", "node", "n_shingles").distinct()
 
 
-def _links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """(node, component) of every class that is linked with another, or None."""
-    postings = materialize(_postings(nodes).withColumn("component", F.col("node")), "near_postings")
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+class _Block:
+    """The members of one block, by shingle."""
+
+    def __init__(self, nodes: list[int], components: list[int], texts: list[str], k: int):
+        sets = [shingle_set(t or "", k) for t in texts]
+        self.node, self.component, self.size = np.array(nodes), np.array(components), np.array([len(s) for s in sets])
+        shingle, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.size)
+        order = np.argsort(shingle, kind="stable")
+        self.shingle, self.owner = shingle[order], owner[order]
+
+    def linked(self, own: np.ndarray, component: int, percent: int) -> np.ndarray:
+        """One member of each other component that is linked with the set ``own``."""
+        lo, hi = np.searchsorted(self.shingle, own), np.searchsorted(self.shingle, own, side="right")
+        n = hi - lo
+        at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        common = np.bincount(self.owner[at], minlength=len(self.node))
+        ok = np.flatnonzero((100 * common >= percent * (self.size + len(own) - common)) & (self.component != component))
+        return self.node[ok[np.unique(self.component[ok], return_index=True)[1]]]
+
+
+def _outsiders(k: int, percent: int):
+    """Rows sorted by (cluster, band, block, outside): members first, then the outsiders."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, block = None, ([], [], []), None
+        for batch in batches:
+            a, b = [], []
+            for *key, outside, node, component, text in zip(*(batch.column(c).to_pylist() for c in (
+                    "cluster", "band", "block", "outside", "node", "component", "text"))):
+                if key != now:
+                    now, held, block = key, ([], [], []), None
+                if not outside:
+                    for column, value in zip(held, (node, component, text)):
+                        column.append(value)
+                elif held[0]:
+                    block = block or _Block(*held, k)
+                    links = block.linked(shingle_set(text or "", k), component, percent)
+                    a += [node] * len(links)
+                    b += links.tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_PAIR)
+    return run
+
+
+def _star_links(postings: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): confirmed links of every list's smallest member."""
+    pivots = postings.groupBy("token").agg(F.min(F.struct("node", "n_shingles")).alias("p"))
+    pairs = (postings.hint("merge").join(pivots, "token").where(F.col("node") > F.col("p.node"))
+             .where(100 * F.least("n_shingles", "p.n_shingles") >= percent * F.greatest("n_shingles", "p.n_shingles"))
+             .select(F.col("p.node").alias("a"), F.col("node").alias("b")).distinct())
+    ta = texts.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"), F.col("text").alias("text_a"))
+    tb = texts.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("text").alias("text_b"))
+    both = pairs.join(tb.hint("merge"), "b").join(ta.hint("merge"), "a").select("a", "b", "sig_a", "sig_b", "text_a", "text_b")
+    return materialize(map_arrow(both, _linked(k, percent), "a long, b long"), "near_star")
+
+
+def _outside_links(postings: DataFrame, known: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): links between members of different components in lists that have several."""
+    postings = materialize(postings.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")), "near_postings")
+    lists = (postings.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("b"))
+             .where("low <> high").select("token", "b"))
+    active = materialize(postings.join(lists, "token"), "near_active")
+    clusters = components(active.select(F.col("node").alias("a"), "b")).withColumnRenamed("component", "cluster")
+    members = active.select("node", "n_shingles", "component").distinct().join(clusters, "node")
+    members = materialize(members.withColumn("band", F.floor(F.log("n_shingles") / F.log(F.lit(100 / percent)))), "near_members")
+    main = (members.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("main")))
+    bands = members.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    inside = members.join(bands, ["cluster", "band"]).select(
+        "cluster", "band", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(False).alias("outside"), "node", "component")
+    out = (members.join(main, "cluster").where("component <> main")
+           .withColumn("band", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])))
+           .join(bands, ["cluster", "band"])
+           .select("cluster", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+                   F.lit(True).alias("outside"), "node", "component"))
+    rows = inside.unionByName(out).join(texts.select("node", "text"), "node")
+    rows = rows.repartition("cluster", "band", "block").sortWithinPartitions("cluster", "band", "block", "outside")
+    return materialize(map_arrow(rows, _outsiders(k, percent), "a long, b long"), "near_outside")
+
+
+def _links(docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, component) of every class that is linked with another."""
+    postings = materialize(_postings(nodes), "near_postings")
     posted = materialize(postings.select("node").distinct(), "near_posted")
     texts = docs.join(checked_broadcast(posted), docs["doc_id"] == posted["node"], "left_semi")
     texts = texts.select(F.col("doc_id").alias("node"), "text").join(nodes.select("node", "sig"), "node")
     texts = materialize(texts, "near_texts")
-    known, round_ = None, 0
-    while True:
-        # Lists that still hold more than one component, and the component that most members have.
-        sizes = postings.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
-        lists = sizes.groupBy("token").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", -F.col("component"))).alias("main"))
-        active = materialize(postings.join(lists.where("parts > 1").select("token", "main"), "token"), "near_active")
-        order = Window.partitionBy("token").orderBy(F.col("component") == F.col("main"), "node")
-        pivots = materialize(active.where("component <> main or main = node").withColumn("place", F.row_number().over(order))
-                             .where(F.col("place") <= 8 ** round_)
-                             .select("token", F.col("node").alias("p"), F.col("n_shingles").alias("p_n"), F.col("component").alias("p_component")),
-                             "near_pivots")
-        if pivots.isEmpty():
-            break
-        pairs = (active.hint("merge").join(pivots, "token").where("component <> p_component")
-                 .where(100 * F.least("n_shingles", "p_n") >= percent * F.greatest("n_shingles", "p_n"))
-                 .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct())
-        ta = texts.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"), F.col("text").alias("text_a"))
-        tb = texts.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("text").alias("text_b"))
-        both = pairs.join(tb.hint("merge"), "b").join(ta.hint("merge"), "a").select("a", "b", "sig_a", "sig_b", "text_a", "text_b")
-        found = materialize(map_arrow(both, _linked(k, percent), "a long, b long"), "near_links")
-        if known is not None:  # between components
-            c = known
-            found = (found.join(c.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
-                     .join(c.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-                     .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-        merged = components(found).withColumnRenamed("node", "old").withColumnRenamed("component", "new")
-        if known is None:
-            known = merged.select(F.col("old").alias("node"), F.col("new").alias("component"))
-        else:
-            moved = known.join(merged, known["component"] == merged["old"], "left").select("node", F.coalesce("new", "component").alias("component"))
-            fresh = merged.join(known, merged["old"] == known["node"], "left_anti").select(F.col("old").alias("node"), F.col("new").alias("component"))
-            known = moved.unionByName(fresh)
-        known = materialize(known, "near_known")
-        rest = active.join(pivots.select("token", F.col("p").alias("node")), ["token", "node"], "left_anti").drop("main", "component")
-        postings = materialize(rest.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-                               .select("token", "node", "n_shingles", "component"), "near_postings")
-        round_ += 1
-    return known
+    known = components(_star_links(postings, texts, k, percent))
+    more = _outside_links(postings, known, texts, k, percent)
+    c = known.select(F.col("node"), F.col("component"))
+    between = (more.join(c.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+               .join(c.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    merged = components(between)
+    moved = (known.join(merged.select(F.col("node").alias("component"), F.col("component").alias("new")), "component", "left")
+             .select("node", F.coalesce("new", "component").alias("component")))
+    return moved.unionByName(merged.join(known.select("node"), "node", "left_anti"))
 
 
 def near_components(docs: DataFrame, k: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,13 +224,9 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = PERCENT, id_col:
     nodes = (signed.where("n_shingles > 0 and doc_id is not null").groupBy("f1", "f2", "n_shingles")
              .agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")))
     nodes = materialize(nodes, "near_nodes")
-    known = _links(docs, nodes, k, percent)
     rows = signed.select("doc_id", "n_shingles", "f1", "f2")
-    if known is None:
-        classes = nodes.select("f1", "f2", "n_shingles", F.col("node").alias("component"))
-    else:
-        classes = (nodes.select("f1", "f2", "n_shingles", "node").join(known, "node", "left")
-                   .select("f1", "f2", "n_shingles", F.coalesce("component", "node").alias("component")))
+    classes = (nodes.select("f1", "f2", "n_shingles", "node").join(_links(docs, nodes, k, percent), "node", "left")
+               .select("f1", "f2", "n_shingles", F.coalesce("component", "node").alias("component")))
     classes = materialize(classes, "near_classes")
     out = rows.join(classes.hint("merge"), ["f1", "f2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
