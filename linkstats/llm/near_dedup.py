@@ -12,8 +12,8 @@ itself under (coordinate, value) pairs of its ``COORDINATES`` MinHash coordinate
   that are connected then need no comparison any more, so a large group of near copies costs
   a pass over it instead of its square. Lists that still hold several components form
   clusters (lists that share members); in each, the members outside the largest component
-  are compared with all members of similar set size, in blocks of ``BLOCK`` members that a
-  task holds while the outsiders stream past it;
+  are compared with all members of similar set size, in blocks of about ``BLOCK`` shingles
+  that a task holds while the outsiders stream past it;
 * match: of each pair of a star the agreeing coordinates are counted, and pairs with at least
   MATCHES are confirmed on their full sets, 100 * intersection >= 80 * union; in a block the
   full sets are compared at once, by merging their shingles with those of the block.
@@ -42,7 +42,7 @@ from linkstats.llm.common import map_arrow, same, table
 from linkstats.llm.components import components
 from linkstats.session import checked_broadcast, materialize
 
-COORDINATES, MATCHES, PERCENT, BLOCK = 64, 38, 80, 1024
+COORDINATES, MATCHES, PERCENT, BLOCK = 64, 38, 80, 1 << 20
 PREFIX = COORDINATES - MATCHES + 1
 _RNG = np.random.default_rng(4711)
 _A = (_RNG.integers(0, 1 << 31, COORDINATES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -185,7 +185,7 @@ def _outside_links(postings: DataFrame, known: DataFrame, texts: DataFrame, k: i
     members = materialize(members.withColumn("band", F.floor(F.log("n_shingles") / F.log(F.lit(100 / percent)))), "near_members")
     main = (members.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("main")))
-    bands = members.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    bands = members.groupBy("cluster", "band").agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("blocks"))
     inside = members.join(bands, ["cluster", "band"]).select(
         "cluster", "band", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(False).alias("outside"), "node", "component")
     out = (members.join(main, "cluster").where("component <> main")
