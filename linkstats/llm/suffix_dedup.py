@@ -95,10 +95,24 @@ def _stretches(step: int):
     return run
 
 
-def _classes(rows: DataFrame) -> DataFrame:
-    """(core, run, n, rid, pos): equal runs as one class with a representative place."""
-    n = F.sum("n") if "n" in rows.columns else F.count(F.lit(1))
-    return rows.groupBy("core", "run").agg(n.alias("n"), F.first("rid").alias("rid"), F.first("pos").alias("pos"))
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of each batch of rows, so that a hot class leaves a task as few rows."""
+    for batch in batches:
+        core, run, rid, pos = (batch.column(c).to_numpy() for c in ("core", "run", "rid", "pos"))
+        order = np.lexsort([run, core])
+        core, run = core[order], run[order]
+        first = np.flatnonzero(np.concatenate([[True], (core[1:] != core[:-1]) | (run[1:] != run[:-1])])[:len(core)])
+        n = np.diff(np.append(first, len(core)))
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (core[first], run[first], n, rid[order][first], pos[order][first])],
+                                         names=["core", "run", "n", "rid", "pos"])
+
+
+def _classes(rows: DataFrame, buckets: int | None = None) -> DataFrame:
+    """(core, run, n, rid, pos): equal runs as one class with a representative place; with
+    ``buckets`` the classes lie by core in so many partitions."""
+    rows = rows if "n" in rows.columns else rows.withColumn("n", F.lit(1).cast("long"))
+    rows = rows.repartition(buckets, "core") if buckets else rows
+    return rows.groupBy("core", "run").agg(F.sum("n").alias("n"), F.first("rid").alias("rid"), F.first("pos").alias("pos"))
 
 
 class SuffixIndex:
@@ -109,9 +123,9 @@ class SuffixIndex:
         self.path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/suffix-index-{uuid.uuid4().hex}"
         self.levels: dict[int, str] = {}
 
-    def _write(self, classes: DataFrame) -> str:
+    def _write(self, rows: DataFrame) -> str:
         name = f"suffix_level_{uuid.uuid4().hex}"
-        (classes.select("core", "run", "n", "rid", "pos").repartition(self.buckets, "core")
+        (_classes(rows, self.buckets).select("core", "run", "n", "rid", "pos")
          .write.format("parquet").bucketBy(self.buckets, "core").sortBy("core", "run")
          .option("path", f"{self.path}/{name}").saveAsTable(name))
         return name
@@ -122,7 +136,7 @@ class SuffixIndex:
 
     def add(self, rows: DataFrame) -> DataFrame:
         """Adds a batch; returns the cores (core) that repeat in it or in an older level."""
-        name = self._write(_classes(rows))
+        name = self._write(map_arrow(rows, _combine, "core long, run long, n long, rid long, pos long"))
         batch = self.spark.table(name)
         cores = batch.groupBy("core").agg(F.sum("n").alias("n"))
         matches = cores.where("n > 1").select("core")
@@ -132,7 +146,7 @@ class SuffixIndex:
         rank = 0
         while rank in self.levels:
             older = self.levels.pop(rank)
-            merged = self._write(_classes(self.spark.table(older).unionByName(self.spark.table(name))))
+            merged = self._write(self.spark.table(older).unionByName(self.spark.table(name)))
             self._drop(older)
             self._drop(name)
             name, rank = merged, rank + 1
@@ -196,7 +210,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if own:
         index.close()
     whole = classes.where("n > 1").select("core", "run")
-    marks = [rows.hint("merge").join(whole, ["core", "run"]).select("rid", "pos")]
+    marks = [rows.join(checked_broadcast(whole), ["core", "run"]).select("rid", "pos")]
     for step in STEPS:
         open_ = materialize(_open(classes), "suffix_open")
         picked = texts.select("rid", "text").join(checked_broadcast(open_), "rid").select("rid", "text", "places")
