@@ -53,8 +53,8 @@ def paragraph_token_counts(paragraphs: DataFrame, stop_words: DataFrame | None =
     w = paragraphs.select("para_key", F.explode(tx.words(F.col("para"))).alias("w"))
     s = stemmed_words(w, algorithm)
     if stop_words is not None:
-        # The stop list is a fixed, small file: broadcasting it is bounded.
-        s = s.join(F.broadcast(stemmed_stop_words(stop_words, algorithm)), "stem", "left_anti")
+        # The stop list is the user's: it is broadcast only after it was measured.
+        s = s.join(sess.checked_broadcast(stemmed_stop_words(stop_words, algorithm)), "stem", "left_anti")
     return s.groupBy("para_key", "stem").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -86,8 +86,10 @@ def render_vectors(counts: DataFrame, top_k: int | None = None) -> DataFrame:
     vector). ``top_k`` keeps the k strongest stems per uri (a top-k report)."""
     c = counts
     if top_k is not None:
-        w = Window.partitionBy("uri").orderBy(F.col("stem").isNull(), F.col("n").desc(), F.col("stem"))
-        c = c.withColumn("_rk", F.row_number().over(w)).where((F.col("_rk") <= top_k) | F.col("stem").isNull())
+        # Marker rows (null stem) pass by the ranking, whose plain rank filter limits groups early.
+        w = Window.partitionBy("uri").orderBy(F.col("n").desc(), F.col("stem"))
+        ranked = c.where(F.col("stem").isNotNull()).withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= top_k)
+        c = ranked.drop("_rk").unionByName(c.where(F.col("stem").isNull()))
     entry = F.when(F.col("stem").isNotNull(), F.struct((-F.col("n")).alias("neg"), "stem"))
     vec = (c.groupBy("uri").agg(F.array_sort(F.collect_list(entry)).alias("v"))
            .select("uri", F.array_join(F.transform("v", lambda x: F.concat(

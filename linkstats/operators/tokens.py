@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkstats.functions import text as tx
-from linkstats.session import materialize
+from linkstats.session import checked_broadcast, materialize
 
 
 def text_pieces(texts: DataFrame, id_col: str = "wid", text_col: str = "text",
@@ -87,7 +87,7 @@ def lookup_tokens(tokens: DataFrame, vocab: DataFrame, token_col: str = "token")
     """P11 lookup: each token gets (token_id, count) from the vocabulary, or the UNKNOWN
     entry (id 0, count 0) when absent."""
     v = vocab.select(F.col("token").alias("_vt"), "token_id", F.col("count").alias("vocab_count"))
-    j = tokens.join(v, tokens[token_col] == v["_vt"], "left")
+    j = tokens.join(checked_broadcast(v), tokens[token_col] == v["_vt"], "left")
     return j.select(*tokens.columns,
                     F.coalesce("token_id", F.lit(0)).cast("long").alias("token_id"),
                     F.coalesce("vocab_count", F.lit(0)).cast("long").alias("vocab_count"))

@@ -52,7 +52,9 @@ def build_stats(articles: DataFrame, stop_words: DataFrame | None = None, lang:
     pairs = ct.pair_counts(lf, spots, resolved, weight)
     uris = ct.uri_counts_from_pairs(pairs)
     if encode_uris:
-        pairs = pairs.withColumn("uri", ur.resource_uri(F.col("uri"), lang, host))
+        # ids that encode alike are one uri: encode, then add up again
+        pairs = (pairs.withColumn("uri", ur.resource_uri(F.col("uri"), lang, host))
+                 .groupBy("sf", "uri").agg(F.sum("n").cast("long").alias("n")))
         uris = ct.uri_counts_from_pairs(pairs)
     totals = ct.total_sf_counts(lf, spots, dedupe_lowercase)
 

@@ -17,8 +17,11 @@ DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 def build_session(master: str | None = None, app: str = "linkstats",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """A session with AQE and skew handling on and the web UI off."""
-    master = master or os.environ.get("LINKSTATS_MASTER", "local[*]")
-    b = (SparkSession.builder.master(master).appName(app)
+    master = master or os.environ.get("LINKSTATS_MASTER")
+    b = SparkSession.builder.appName(app)
+    if master:  # else the submission's own master holds
+        b = b.master(master)
+    b = (b
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.adaptive.enabled", "true")
