@@ -62,11 +62,11 @@ def _cv(w: Column) -> Column:
     """'V' or 'C' per character: a, e, i, o, u are vowels, and y after a consonant."""
     s = F.regexp_replace(w, "[aeiou]", "V")
     plain = F.regexp_replace(s, "[^V]", "C")
-    s = F.regexp_replace(s, "^y", "C")
-    for _ in range(3):  # resolves runs of up to six y's, each depending on the previous
-        s = F.regexp_replace(s, "(?<=[^Vy])y", "V")
-        s = F.regexp_replace(s, "(?<=V)y", "C")
-    return F.when(w.contains("y"), F.regexp_replace(s, "[^V]", "C")).otherwise(plain)
+    s = F.regexp_replace(s, "[^Vy]", "C")
+    s = F.regexp_replace(s, "Cy", "CV")  # the first y of a run after a consonant
+    # What is left of a run stands at the beginning or after a vowel: C, V, C, ... by position.
+    s = F.replace(F.replace(s, F.lit("yy"), F.lit("CV")), F.lit("y"), F.lit("C"))
+    return F.when(w.contains("y"), s).otherwise(plain)
 
 
 def _measure(cv: Column, n) -> Column:

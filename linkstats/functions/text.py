@@ -69,11 +69,5 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, lit_re(PIECE_PATTERN), 0)
 
 
-def first_words(text: Column, n: int) -> Column:
-    """The span of ``text`` from its first word to its n-th word (fewer if it is short)."""
-    pat = r"^[^\p{L}\p{N}]*([\p{L}\p{N}]+(?:[^\p{L}\p{N}]+[\p{L}\p{N}]+){0,%d})" % (n - 1)
-    return F.regexp_extract(text, pat, 1)
-
-
 def strip_url_query(url: Column) -> Column:
     return F.regexp_replace(url, r"[?#].*$", "")

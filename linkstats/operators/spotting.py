@@ -6,9 +6,9 @@ form is the covered text, so ``substring(text, offset + 1, length(sf)) = sf`` ho
 
 Plan shape: texts are hash-partitioned by id once; pieces carry their offset (running
 sum window on that partitioning) and, for multi-word dictionaries, the next pieces via
-``lead`` (constant work per row). Pieces join the dictionary on the first word:
+``lead`` (constant work per row). Keys of the next words join the dictionary by equality:
 a broadcast hash join when the measured dictionary size is under the limit, otherwise
-a shuffled join that AQE splits when one first word is hot.
+a shuffled join that AQE splits when one key is hot.
 """
 
 from __future__ import annotations
@@ -26,9 +26,14 @@ from linkstats.operators.tokens import text_pieces
 @dataclass
 class Dictionary:
     entries: DataFrame      # (key, toks, n, first), one row per distinct token sequence
-    max_n: int              # longest entry in words (0 when empty)
+    lengths: list[int]      # the distinct numbers of words
     size_bytes: int
 
+    @property
+    def max_n(self) -> int:
+        """Words of the longest entry (0 when there is none)."""
+        return max(self.lengths, default=0)
+
     @property
     def join_side(self) -> DataFrame:
         return sess.checked_broadcast(self.entries, self.size_bytes)
@@ -54,76 +59,75 @@ def build_dictionary(surface_forms: DataFrame, sf_col: str = "sf") -> Dictionary
          .distinct()
          .select("key", F.split("key", " ").alias("toks"))
          .select("key", "toks", F.size("toks").alias("n"), F.col("toks")[0].alias("first")))
-    row = d.agg(F.max("n").alias("max_n"),
+    row = d.agg(F.collect_set("n").alias("lengths"),
                 F.sum(F.octet_length("key") * 2 + F.col("n") * 16 + 64).alias("bytes")).first()
-    return Dictionary(d, int(row["max_n"] or 0), int(row["bytes"] or 0))
+    return Dictionary(d, sorted(row["lengths"]), int(row["bytes"] or 0))
 
 
 CHUNK_WORDS = 4
 
 
-def _look(p: DataFrame, span: int) -> DataFrame:
-    """Adds ``look``: this piece and the next ``span - 1`` pieces (``lead``, O(1) per row)."""
-    w = Window.partitionBy("id").orderBy("pos")
-    return p.withColumn("look", F.array(F.col("piece"), *[F.lead("piece", k).over(w) for k in range(1, span)]))
+def _key(look, n_words: int):
+    """The first ``n_words`` words of a look array as a key; null where the text ends before."""
+    return F.concat(*[x for i in range(n_words) for x in (F.lit(" "), look[2 * i])][1:])
 
 
-def _words_of(look, n_words):
-    """The first ``n_words`` words of a look array (words sit at even positions)."""
-    return F.filter(F.slice(look, 1, n_words * 2 - 1), lambda x, i: i % 2 == 0)
+def _looked(texts: DataFrame, id_col: str, text_col: str, n_words: int) -> DataFrame:
+    """Words with ``look``: the pieces from here that ``n_words`` words cover (``lead``, O(1) per row)."""
+    p = text_pieces(texts, id_col, text_col)
+    w = Window.partitionBy("id").orderBy("pos")
+    return p.withColumn("look", F.array(F.col("piece"), *[F.lead("piece", k).over(w) for k in range(1, 2 * n_words - 1)])).where("is_word")
 
 
 def spot(texts: DataFrame, dictionary: Dictionary, id_col: str = "wid", text_col: str = "text",
          chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """M1: every occurrence of every dictionary entry at every start: (id, sf, offset, key).
 
-    Entries of up to ``chunk_words`` words are checked on the look-ahead of the first
-    word. Longer entries match their first chunk the same way; their later chunks are
-    verified with one equi-join on (id, pos + 2 * chunk_words * j), since pieces strictly
-    alternate word / separator. Per-row work is bounded by ``chunk_words`` whatever the
-    longest entry, and every entry is matched exactly.
+    The words of each start are joined with the dictionary by equality of whole keys: one
+    key for each length of up to ``chunk_words`` words that the dictionary has. Of longer
+    entries only the distinct (first ``chunk_words`` words, length) pairs take part, so a
+    start meets a length once, however many entries begin alike; the whole keys of these
+    places are then read from their texts and joined with the entries by equality again.
     """
     d = dictionary.join_side
     if dictionary.max_n <= 1:
         p = text_pieces(texts, id_col, text_col).where("is_word")
-        m = p.join(d, p["piece"] == d["first"])
-        return m.select(F.col("id").alias(id_col), F.col("piece").alias("sf"), "offset", "key")
+        return p.join(d, p["piece"] == d["key"]).select(F.col("id").alias(id_col), F.col("piece").alias("sf"), "offset", "key")
 
     c = max(1, chunk_words)
-    span = 2 * min(dictionary.max_n, c) - (1 if dictionary.max_n <= c else 0)
-    p = _look(text_pieces(texts, id_col, text_col), span).where("is_word")
-    m = p.join(d, p["piece"] == d["first"])
-    covered = F.slice("look", 1, F.col("n") * 2 - 1)
-    short = (m.where((F.col("n") <= c) & ((F.col("n") == 1) | (_words_of(F.col("look"), F.col("n")) == F.col("toks"))))
-             .select(F.col("id").alias(id_col), F.array_join(covered, "").alias("sf"), "offset", "key"))
+    lengths = sorted({min(n, c) for n in dictionary.lengths})
+    p = _looked(texts, id_col, text_col, lengths[-1])
+    keys = F.array(*[_key(F.col("look"), n) for n in lengths])
+    p = p.select("id", "pos", "offset", "look", F.explode(keys).alias("prefix")).where(F.col("prefix").isNotNull())
+    sides = dictionary.entries.select(
+        F.array_join(F.slice("toks", 1, c), " ").alias("prefix"), "n", F.when(F.col("n") <= c, F.col("key")).alias("key")).distinct()
+    m = p.join(sess.checked_broadcast(sides, dictionary.size_bytes), "prefix")
+    covered = F.array_join(F.slice("look", 1, F.col("n") * 2 - 1), "")
+    short = F.col("n") <= c
     if dictionary.max_n <= c:
-        return short
-
-    # Long entries: first chunk on the look-ahead, later chunks by position.
-    cand = (m.where((F.col("n") > c) & (_words_of(F.col("look"), F.lit(c)) == F.slice("toks", 1, c)))
-            .select("id", F.col("pos").alias("pos0"), "offset", "key", "toks", "n",
-                    F.array_join("look", "").alias("part0")))
-    cand = sess.materialize(cand, "spot_candidates")
-    n_chunks = F.ceil(F.col("n") / c).cast("int")
-    need = cand.select("id", "pos0", "offset", "key", "toks", "n", "part0",
-                       F.explode(F.sequence(F.lit(1), n_chunks - 1)).alias("j"))
-    need = need.select("*", (F.col("pos0") + 2 * c * F.col("j")).alias("pos"),
-                       F.slice("toks", F.col("j") * c + 1, c).alias("chunk"))
-    need = sess.checked_broadcast(need)
-    p2 = _look(text_pieces(texts, id_col, text_col), span).where("is_word").select("id", "pos", "look")
-    hit = need.join(p2, ["id", "pos"])
-    last = F.col("j") == n_chunks - 1
-    part = F.when(last, F.array_join(F.slice("look", 1, F.size("chunk") * 2 - 1), "")).otherwise(
-        F.array_join("look", ""))
-    hit = hit.where(_words_of(F.col("look"), F.size("chunk")) == F.col("chunk")).select(
-        "id", "pos0", "offset", "key", "n", "part0", "j", part.alias("part"))
-    full = (hit.groupBy("id", "pos0", "offset", "key", "n", "part0")
-            .agg(F.count(F.lit(1)).alias("_hits"), F.array_sort(F.collect_list(F.struct("j", "part"))).alias("_parts"))
-            .where(F.col("_hits") == n_chunks - 1))
-    long_spots = full.select(F.col("id").alias(id_col),
-                             F.concat("part0", F.array_join(F.transform("_parts", lambda x: x["part"]), "")).alias("sf"),
-                             "offset", "key")
-    return short.unionByName(long_spots)
+        return m.select(F.col("id").alias(id_col), covered.alias("sf"), "offset", "key")
+
+    m = sess.materialize(m.select("id", "pos", "offset", "n", "key", F.when(short, covered).alias("sf")), "spot_prefixes")
+    # The places of one text in one row: as many as it has words times lengths, at most.
+    places = m.where(~short).groupBy("id").agg(F.collect_list(F.struct("pos", "offset", "n")).alias("at"))
+    hit = (texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+           .join(sess.checked_broadcast(places, _places_bytes(m.where(~short))), "id"))
+
+    def whole(ps):
+        return F.transform("at", lambda x: F.struct(
+            x["offset"].alias("offset"), x["n"].alias("n"), F.slice(ps, (x["pos"] + 1).cast("int"), x["n"] * 2 - 1).alias("part")))
+
+    # ``ps`` is bound by a lambda, so a text is split once and not once for each place.
+    found = hit.select("id", F.inline(F.flatten(F.transform(F.array(tx.pieces(F.col("text"))), whole))))
+    found = found.where(F.size("part") == F.col("n") * 2 - 1)  # fewer where the text ends before
+    found = found.select("id", "offset", F.array_join("part", "").alias("sf"),
+                         F.array_join(F.filter("part", lambda x, i: i % 2 == 0), " ").alias("whole"))
+    found = found.join(d, F.col("whole") == d["key"]).select(F.col("id").alias(id_col), "sf", "offset", "key")
+    return m.where(short).select(F.col("id").alias(id_col), "sf", "offset", "key").unionByName(found)
+
+
+def _places_bytes(m: DataFrame) -> int:
+    return m.count() * 96
 
 
 def spot_surface_forms(texts: DataFrame, surface_forms: DataFrame, id_col: str = "wid",

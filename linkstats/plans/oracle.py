@@ -56,6 +56,13 @@ STOP_WORDS = ["the", "and", "of", "to", "a", "in", "is", "it", "that", "for", "o
               "de", "la", "le", "les", "des", "et", "un", "une",
               "que", "el", "los", "las", "y", "en"]
 
+# The page text with the text of every anchor between two noncharacters.
+MARKED = clean("""regexp_replace(body, '<a href="/([^"]*)">([^<]*)</a>',
+    '<a href="/\\1">' || chr(64976) || '\\2' || chr(64977) || '</a>', 'g')""")
+for _a, _b in [("chr(64976) || ' '", "chr(64976)"), ("' ' || chr(64977)", "chr(64977)"),
+               ("chr(64976) || chr(64977) || ' '", "chr(64976) || chr(64977)")]:
+    MARKED = f"replace({MARKED}, {_a}, {_b})"
+
 # ---- adapter CTEs (name -> (dependencies, body)) -------------------------------------
 
 CTES: dict[str, tuple[list[str], str]] = {
@@ -65,14 +72,14 @@ CTES: dict[str, tuple[list[str], str]] = {
     "v_articles": (["bodies"], f"""SELECT wid, {clean('body')} AS text,
         {clean("regexp_extract(body, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} AS h1 FROM bodies"""),
     "texts": (["v_articles"], "SELECT wid, text FROM v_articles WHERE length(text) > 0"),
-    "link_arrays": (["bodies"], """SELECT wid,
+    "link_arrays": (["bodies"], f"""SELECT wid,
         regexp_extract_all(body, '<a href="/([^"]*)">([^<]*)</a>', 1) AS u,
-        regexp_extract_all(body, '<a href="/([^"]*)">([^<]*)</a>', 2) AS s FROM bodies"""),
-    "v_links": (["link_arrays"], f"""SELECT wid, pos, uri, sf,
-        CASE WHEN pos = 0 THEN 0 ELSE pos * 100 END::BIGINT AS start,
-        CASE WHEN pos = 0 THEN 0 ELSE pos * 100 + length(sf) END::BIGINT AS "end"
-        FROM (SELECT wid, pos, uri, {decode('raw_sf')} AS sf FROM (
-              SELECT wid, (generate_subscripts(u, 1) - 1)::BIGINT AS pos, unnest(u) AS uri, unnest(s) AS raw_sf
+        regexp_extract_all(body, '<a href="/([^"]*)">([^<]*)</a>', 2) AS s,
+        string_split({MARKED}, chr(64976)) AS parts FROM bodies"""),
+    "v_links": (["link_arrays"], f"""SELECT wid, pos, uri, {decode('raw_sf')} AS sf, start,
+        (start + length(string_split(parts[pos + 2], chr(64977))[1]))::BIGINT AS "end"
+        FROM (SELECT *, list_sum([length(replace(x, chr(64977), '')) for x in parts[1:pos + 1]])::BIGINT AS start FROM (
+              SELECT wid, parts, (generate_subscripts(u, 1) - 1)::BIGINT AS pos, unnest(u) AS uri, unnest(s) AS raw_sf
               FROM link_arrays))"""),
     "link_facts": (["v_links"], """SELECT wid, sf, uri FROM v_links WHERE NOT (start = 0 AND "end" = 0)"""),
     "redirect_e1": (["v_links"], r"""SELECT uri AS src,
@@ -83,10 +90,8 @@ CTES: dict[str, tuple[list[str], str]] = {
         WHERE src <> dst AND dst <> ''"""),
     "v_cyclic": ([], """SELECT CAST(p_partkey AS VARCHAR) AS src,
         CAST((p_partkey * p_partkey + 1) % 1000 AS VARCHAR) AS dst FROM part"""),
-    "v_titles": (["v_articles", "bodies"], r"""SELECT regexp_replace(b.url, '[?#].*$', '') AS uri,
-        regexp_extract(a.h1, '^[^\p{L}\p{N}]*([\p{L}\p{N}]+(?:[^\p{L}\p{N}]+[\p{L}\p{N}]+){0,2})', 1) AS sf
-        FROM v_articles a JOIN bodies b USING (wid)
-        WHERE regexp_extract(a.h1, '^[^\p{L}\p{N}]*([\p{L}\p{N}]+(?:[^\p{L}\p{N}]+[\p{L}\p{N}]+){0,2})', 1) <> ''"""),
+    "v_titles": (["v_articles", "bodies"], r"""SELECT regexp_replace(b.url, '[?#].*$', '') AS uri, a.h1 AS sf
+        FROM v_articles a JOIN bodies b USING (wid) WHERE regexp_matches(a.h1, '[\p{L}\p{N}]')"""),
     "v_paragraphs": (["bodies"], f"""SELECT DISTINCT sha256(para) AS para_key, para FROM (
         SELECT {clean('raw')} AS para FROM (
           SELECT unnest(regexp_extract_all(regexp_replace(body, '(?i)<p(\\s[^>]*)?>', '</p><p>', 'g'),
@@ -98,32 +103,28 @@ CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
-def pieces_cte(name: str, texts: str, id_col: str = "wid", text_col: str = "text", lookahead: int = 0) -> str:
-    leads = "".join(f", lead(piece, {k}) OVER (PARTITION BY id ORDER BY pos) AS l{k}" for k in range(1, lookahead + 1))
+def pieces_cte(name: str, texts: str, id_col: str = "wid", text_col: str = "text") -> str:
     return f"""{name} AS (SELECT id, pos, piece,
         (coalesce(sum(length(piece)) OVER (PARTITION BY id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS "offset",
-        regexp_matches(piece, '^[\\p{{L}}\\p{{N}}]') AS is_word{leads}
+        regexp_matches(piece, '^[\\p{{L}}\\p{{N}}]') AS is_word
         FROM (SELECT id, (generate_subscripts(p, 1) - 1)::BIGINT AS pos, unnest(p) AS piece
               FROM (SELECT {id_col} AS id, regexp_extract_all({text_col}, '{PIECES}') AS p FROM {texts})))"""
 
 
-def spots_cte(name: str, texts: str, dict_sql: str, max_n: int, id_col: str = "wid", text_col: str = "text") -> str:
-    """Spots of the dictionary (column sf of ``dict_sql``): (id, sf, offset, toks)."""
-    look = 2 * max_n - 2
-    pc = pieces_cte(f"{name}_p", texts, id_col, text_col, look)
-    dict_cte = f"""{name}_d AS (SELECT toks, len(toks) AS n, toks[1] AS first FROM (
+def spots_cte(name: str, texts: str, dict_sql: str, id_col: str = "wid", text_col: str = "text") -> str:
+    """Spots of the dictionary (column sf of ``dict_sql``): (id, sf, offset, toks). Entries of
+    any length: pieces alternate word and separator, so the words of a place are every other
+    piece from there."""
+    return f"""{name}_d AS (SELECT toks, len(toks) AS n, toks[1] AS first FROM (
         SELECT DISTINCT regexp_extract_all(sf, '{W}') AS toks FROM ({dict_sql}) WHERE sf IS NOT NULL)
-        WHERE len(toks) > 0)"""
-    cases_sf, cases_ok = [], []
-    for n in range(1, max_n + 1):
-        parts = ["piece"] + [f"l{k}" for k in range(1, 2 * n - 1)]
-        cases_sf.append(f"WHEN {n} THEN " + " || ".join(parts))
-        wl = ["piece"] + [f"l{k}" for k in range(2, 2 * n - 1, 2)]
-        cases_ok.append(f"(d.n = {n} AND [{', '.join(wl)}] = d.toks)")
-    m = f"""{name} AS (SELECT p.id, CASE d.n {' '.join(cases_sf)} END AS sf, p."offset", d.toks
-        FROM {name}_p p JOIN {name}_d d ON p.piece = d.first
-        WHERE p.is_word AND ({' OR '.join(cases_ok)}))"""
-    return ",\n".join([pc, dict_cte, m])
+        WHERE len(toks) > 0),
+    {name}_t AS (SELECT {id_col} AS id, regexp_extract_all({text_col}, '{PIECES}') AS ps,
+        regexp_extract_all({text_col}, '{W}') AS ws FROM {texts}),
+    {pieces_cte(f"{name}_p", texts, id_col, text_col)},
+    {name}_w AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) AS wpos FROM {name}_p WHERE is_word),
+    {name} AS (SELECT w.id, array_to_string(t.ps[w.pos + 1:w.pos + 2 * d.n - 1], '') AS sf, w."offset", d.toks
+        FROM {name}_w w JOIN {name}_d d ON w.piece = d.first JOIN {name}_t t ON t.id = w.id
+        WHERE t.ws[w.wpos:w.wpos + d.n - 1] = d.toks)"""
 
 
 def recursive_resolve_cte(name: str, edges: str) -> str:
@@ -154,9 +155,9 @@ def with_ctes(needed: list[str], extra: list[str], select: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + select
 
 
-ANCHOR_SPOTS = spots_cte("anchor_spots", "texts", "SELECT sf FROM v_links", 3)
-TITLE_SPOTS = spots_cte("title_spots", "texts", "SELECT sf FROM v_titles", 3)
-PARA_SPOTS = spots_cte("para_spots", "v_paragraphs", "SELECT sf FROM v_titles", 3, "para_key", "para")
+ANCHOR_SPOTS = spots_cte("anchor_spots", "texts", "SELECT sf FROM v_links")
+TITLE_SPOTS = spots_cte("title_spots", "texts", "SELECT sf FROM v_titles")
+PARA_SPOTS = spots_cte("para_spots", "v_paragraphs", "SELECT sf FROM v_titles", "para_key", "para")
 RESOLVED = recursive_resolve_cte("resolved", "redirect_edges_u")
 RESOLVED_CYCLIC = recursive_resolve_cte("resolved_c", "cyclic_edges_u")
 
@@ -216,7 +217,7 @@ def queries() -> dict[str, str]:
     q["tokenize_offsets"] = _q(["documents_t"], [pieces_cte("dp", "documents_t")], """SELECT id AS wid,
         (row_number() OVER (PARTITION BY id ORDER BY pos) - 1)::BIGINT AS tpos, piece AS token, "offset"
         FROM dp WHERE is_word""")
-    q["spot_single"] = _q(["documents_t", "v_links"], [spots_cte("ds", "documents_t", "SELECT sf FROM v_links", 3)],
+    q["spot_single"] = _q(["documents_t", "v_links"], [spots_cte("ds", "documents_t", "SELECT sf FROM v_links")],
                           'SELECT id AS wid, sf, "offset" FROM ds')
     q["spot_multi"] = _q(["texts", "v_titles"], [TITLE_SPOTS], 'SELECT id AS wid, sf, "offset" FROM title_spots')
     q["spot_linked"] = _q(["texts", "v_links"], [ANCHOR_SPOTS, SFMAP], 'SELECT wid, sf, "offset", uri FROM linked')

@@ -111,7 +111,7 @@ class Tables:
         return sp.spot(self.paragraphs(), d, id_col="para_key", text_col="para")
 
     def uri_paragraphs(self) -> DataFrame:
-        titles = self.titles().select("uri", sp.entry_key(F.col("sf")).alias("key"))
+        titles = self.titles().select("uri", sp.entry_key(F.col("sf")).alias("key")).distinct()
         s = self.title_spots_in_paragraphs().select("para_key", "key").distinct()
         return s.join(titles, "key").select("uri", "para_key").distinct()
 
@@ -188,7 +188,7 @@ def spot_single(t: Tables) -> DataFrame:
 
 
 def spot_multi(t: Tables) -> DataFrame:
-    """Three-word heading dictionary spotted in every page text."""
+    """Dictionary of whole headings spotted in every page text."""
     return sp.spot_surface_forms(t.texts(), t.titles().select("sf"))
 
 
@@ -329,7 +329,7 @@ def stats_job_total_sf_counts(t: Tables) -> DataFrame:
 
 def stream_pair_link_counts(t: Tables) -> DataFrame:
     """pair_link_counts maintained incrementally by a Structured Streaming query."""
-    return stream.stream_pair_link_counts(t.spark, t.sf_dir, "pages.parquet")
+    return stream.stream_pair_link_counts(t.spark, f"{t.sf_dir}/pages.parquet")
 
 
 # ---- data-quality checks ------------------------------------------------------------

@@ -7,7 +7,7 @@ Every definition here has a twin in the DuckDB oracle (``linkstats/plans/oracle.
     links(wid, pos, uri, sf, start, end)
     redirects(src, dst)                a redirect graph derived from the link ids
     cyclic_redirects(src, dst)         a functional graph with tails and cycles (part)
-    titles(uri, sf)                    first three words of each page heading
+    titles(uri, sf)                    page headings with at least one word
     paragraphs(para_key, para)         distinct paragraph texts
 """
 
@@ -19,28 +19,42 @@ from pyspark.sql import functions as F
 from linkstats import schema as S
 from linkstats.functions import text as tx
 
-# Link spans are synthetic, start = pos * 100; the first link of a page
-# gets the zero span (0, 0) that link facts must drop.
-SPAN_STRIDE = 100
 CYCLE_MODULUS = 1000
-TITLE_WORDS = 3
+# Two noncharacters that Unicode keeps out of interchanged text mark where an
+# anchor's text begins and ends while the offsets are computed.
+OPEN, CLOSE = "\ufdd0", "\ufdd1"
 
 
 def page_bodies(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").alias("wid"), "url", tx.drop_scripts(F.col("html")).alias("body"))
 
 
+def _marked_text(body) -> F.Column:
+    """The page text with every anchor's text between OPEN and CLOSE: the anchors are marked
+    in the html, which then takes the same way as the text itself. Blanks inside the marks'
+    edges belong to the blank run around the anchor, and an empty anchor has no blank after it."""
+    marked = tx.markup_to_text(F.regexp_replace(body, tx.ANCHOR_PATTERN, f'<a href="/$1">{OPEN}$2{CLOSE}</a>'))
+    marked = F.replace(F.replace(marked, F.lit(f"{OPEN} "), F.lit(OPEN)), F.lit(f" {CLOSE}"), F.lit(CLOSE))
+    return F.replace(marked, F.lit(f"{OPEN}{CLOSE} "), F.lit(OPEN + CLOSE))
+
+
 def _link_array(body) -> F.Column:
+    """Links with their true spans in the page text (code points); ``end - start`` is the
+    length the anchor has there, after blank runs collapsed."""
     uris = F.regexp_extract_all(body, tx.lit_re(tx.ANCHOR_PATTERN), 1)
     sfs = F.regexp_extract_all(body, tx.lit_re(tx.ANCHOR_PATTERN), 2)
+    parts = F.split(_marked_text(body), OPEN)
+    before = F.transform(parts, lambda p: F.length(F.replace(p, F.lit(CLOSE), F.lit(""))))
+    inside = F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.length(F.substring_index(p, CLOSE, 1)))
 
-    def to_link(x, i):
+    def to_link(x, i, lengths):
         sf = tx.decode_entities(x["sfs"])
-        start = F.when(i == 0, F.lit(0)).otherwise(i * SPAN_STRIDE).cast("long")
-        end = F.when(i == 0, F.lit(0)).otherwise(i * SPAN_STRIDE + F.length(sf)).cast("long")
-        return F.struct(sf.alias("description"), end.alias("end"), x["uris"].alias("id"), start.alias("start"))
+        start = F.aggregate(F.slice(lengths, F.lit(1), i + 1), F.lit(0).cast("long"), lambda acc, n: acc + n)
+        return F.struct(sf.alias("description"), (start + x["inside"]).alias("end"), x["uris"].alias("id"), start.alias("start"))
 
-    return F.transform(F.arrays_zip(uris.alias("uris"), sfs.alias("sfs")), to_link)
+    zipped = F.arrays_zip(uris.alias("uris"), sfs.alias("sfs"), inside.alias("inside"))
+    # The lengths are bound by a lambda, so they are computed once for a page.
+    return F.flatten(F.transform(F.array(before), lambda lengths: F.transform(zipped, lambda x, i: to_link(x, i, lengths))))
 
 
 def _paragraph_array(body) -> F.Column:
@@ -100,11 +114,9 @@ def cyclic_redirects(part: DataFrame) -> DataFrame:
 
 
 def titles(pt: DataFrame) -> DataFrame:
-    """Multi-word dictionary: first three words of the page heading -> page url
-    without query and fragment."""
-    return (pt.select(tx.strip_url_query(F.col("url")).alias("uri"),
-                      tx.first_words(F.col("h1"), TITLE_WORDS).alias("sf"))
-            .where(F.col("sf") != ""))
+    """Multi-word dictionary: whole page heading -> page url without query and fragment."""
+    return (pt.select(tx.strip_url_query(F.col("url")).alias("uri"), F.col("h1").alias("sf"))
+            .where(F.col("sf").rlike(tx.WORD_CHAR)))
 
 
 def paragraphs(pt: DataFrame) -> DataFrame:

@@ -21,14 +21,11 @@ from linkstats.operators import extract as ex
 from linkstats.sources import pages as pg
 
 
-def page_stream(spark: SparkSession, folder: str, file_glob: str | None = None,
-                max_files_per_trigger: int | None = None) -> DataFrame:
+def page_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame of pages (page_id, url, html) from the Parquet files that
-    arrive in ``folder`` (optionally only names matching ``file_glob``)."""
+    arrive in ``folder`` (or from one file)."""
     schema = "page_id long, url string, html string"
     r = spark.readStream.schema(schema)
-    if file_glob:
-        r = r.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(folder)
@@ -49,44 +46,39 @@ def streaming_uri_link_counts(pages: DataFrame) -> DataFrame:
     return ct.uri_counts(streaming_link_facts(pages), weight="links")
 
 
-def start(counts: DataFrame, name: str, output_mode: str = "update", sink: str = "parquet",
-          path: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Start a counts stream. State and progress go under the session's checkpoint folder
-    (shared storage on a cluster), so a restarted query resumes where it stopped.
-    ``update`` mode emits only the counts a micro-batch changed; ``complete`` re-emits all."""
-    base = sess.ensure_checkpoint_dir(counts.sparkSession)
-    w = (counts.writeStream.outputMode(output_mode).queryName(name)
-         .option("checkpointLocation", f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    if sink == "memory":
-        return w.format("memory").start()
-    return w.format(sink).start(path)
+def start(counts: DataFrame, state: str, out: str, available_now: bool = True) -> StreamingQuery:
+    """Start a counts stream that writes what each micro-batch changed.
 
+    ``state`` holds the progress and the running counts, ``out`` the changes, one folder
+    ``epoch=N`` for each micro-batch; both belong on shared storage. A query started again
+    with the same two folders goes on where it stopped and reads new files only; a batch that
+    is run again after a failure replaces its own folder. ``current`` reads the counts.
+    """
+    def write_changes(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/epoch={epoch}")
 
-def run_to_table(counts: DataFrame, name: str) -> DataFrame:
-    """Drain everything available and return the final counts as a batch DataFrame.
+    w = counts.writeStream.outputMode("update").option("checkpointLocation", state).foreachBatch(write_changes)
+    return (w.trigger(availableNow=True) if available_now else w).start()
 
-    Each micro-batch of the complete result is written with ``foreachBatch`` as a Parquet
-    table under the checkpoint folder (executors write, the driver holds nothing); the
-    last batch written is the final table.
-    """
-    base = sess.ensure_checkpoint_dir(counts.sparkSession).rstrip("/")
-    out = f"{base}/streams/{name}-out"
 
-    def write_batch(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+def current(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """The counts as they stand: the last change of every key."""
+    changes = spark.read.parquet(out)
+    return changes.groupBy(*keys).agg(F.max_by("n", "epoch").cast("long").alias("n"))
 
-    q = (counts.writeStream.outputMode("complete").queryName(name)
-         .option("checkpointLocation", f"{base}/streams/{name}-state")
-         .foreachBatch(write_batch).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return counts.sparkSession.read.parquet(out)
+
+def run_to_table(counts: DataFrame, name: str) -> DataFrame:
+    """Drain everything available and return the final counts as a batch DataFrame. The
+    executors write the changes under the checkpoint folder; the driver holds nothing."""
+    base = f"{sess.ensure_checkpoint_dir(counts.sparkSession).rstrip('/')}/streams/{name}"
+    start(counts, f"{base}-state", f"{base}-out").awaitTermination()
+    return current(counts.sparkSession, f"{base}-out", [c for c in counts.columns if c != "n"])
 
 
-def stream_pair_link_counts(spark: SparkSession, folder: str, file_glob: str = "pages.parquet") -> DataFrame:
+def stream_pair_link_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The registered streaming query: pair link counts computed incrementally over the
-    page files; equals the batch ``pair_link_counts``."""
+    page files of ``folder``, or of that one file; equals the batch ``pair_link_counts``."""
+    head, _, name = folder.rstrip("/").rpartition("/")
+    folder = f"{head}/[{name[0]}]{name[1:]}"  # a glob may match a single file, a plain path must be a folder
     name = f"pair_link_counts_stream_{uuid.uuid4().hex[:8]}"
-    return run_to_table(streaming_pair_link_counts(page_stream(spark, folder, file_glob)), name).select(
-        "sf", "uri", F.col("n").cast("long").alias("n"))
+    return run_to_table(streaming_pair_link_counts(page_stream(spark, folder)), name).select("sf", "uri", "n")

@@ -1,6 +1,8 @@
 """Porter (1980) stemmer as Spark column projections, checked on the paper's examples."""
 
-from linkstats.functions.stem import porter_stem
+from pyspark.sql import functions as F
+
+from linkstats.functions.stem import _cv, porter_stem
 from linkstats.operators import context as cx
 
 # Examples worked through in the published description of the algorithm (step by step).
@@ -27,6 +29,21 @@ EXAMPLES = {
 }
 
 
+def test_runs_of_y(spark):
+    """Consonant or vowel by position in a run of any length, against the rule itself."""
+    words = ["y" * n for n in range(1, 12)] + [a + "y" * n + b for n in range(1, 12) for a in "xa" for b in ("", "s", "o")] + ["syzygy"]
+
+    def rule(w):
+        out = ""
+        for ch in w:
+            out += "V" if ch in "aeiou" or (ch == "y" and out[-1:] == "C") else "C"
+        return out
+
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = {r["w"]: r["cv"] for r in df.select("w", _cv(F.col("w")).alias("cv")).collect()}
+    assert got == {w: rule(w) for w in words}
+
+
 def test_porter_examples(spark):
     df = spark.createDataFrame([(w,) for w in EXAMPLES], "token string")
     got = {r["token"]: r["stem"] for r in porter_stem(df).collect()}

@@ -5,6 +5,8 @@ import tempfile
 
 from conftest import rows
 from linkstats.operators import extract as ex
+from linkstats.sources import pages as pg
+from linkstats.operators import extract as ex
 from linkstats.plans import jobs
 from linkstats.sources import articles as src
 from linkstats.sources import sinks
@@ -86,3 +88,19 @@ def test_markup_with_unclosed_brackets(spark):
     assert r["plain"] == "a [[b c and y end z"
     assert [(l["description"], l["id"], r["plain"][l["start"]:l["end"]]) for l in r["links"]] == [
         ("y", "x", "y"), ("z", "z", "z")]
+
+
+def test_link_spans_are_true_offsets(spark):
+    """A link's span is where its text stands in the page text; only an empty anchor at the
+    very beginning has the zero span."""
+    html = ['<a href="/A">Alpha</a> and <p>then <a href="/B"> b &amp; c </a>x<a href="/C">C\n c</a></p>',
+            '<a href="/Z"></a>text <a href="/E"> </a> more <a href="/F">f</a>', "no links", None]
+    pages = spark.createDataFrame([(i, "http://h/", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    pt = pg.page_table(pages, with_paragraphs=False)
+    text = {r["wid"]: r["text"] for r in pt.collect()}
+    got = [(r["wid"], r["uri"], r["start"], r["end"], text[r["wid"]][r["start"]:r["end"]])
+           for r in pg.links(pt).orderBy("wid", "pos").collect()]
+    assert [(w, u, t) for w, u, _, _, t in got] == [(0, "A", "Alpha"), (0, "B", "b & c"), (0, "C", "C c"),
+                                                   (1, "Z", ""), (1, "E", ""), (1, "F", "f")]
+    facts = ex.link_facts(pg.article_rows(pt)).select("uri").collect()
+    assert sorted(r["uri"] for r in facts) == ["A", "B", "C", "E", "F"]

@@ -14,12 +14,11 @@ from linkstats.streaming import link_counts as sl
 PAGES = "/root/testdata/sf0.001/pages.parquet"
 
 
-def run_once(spark, inbox, ckpt, name):
+def run_once(spark, inbox, state, out):
     stream = sl.streaming_pair_link_counts(sl.page_stream(spark, os.path.join(inbox, "*")))
-    q = (stream.writeStream.outputMode("complete").queryName(name)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).format("memory").start())
+    q = sl.start(stream, state, out)
     q.awaitTermination()
-    return rows(spark.table(name)), q
+    return rows(sl.current(spark, out, ["sf", "uri"])), q
 
 
 def batch_counts(pages):
@@ -30,19 +29,27 @@ def test_restarted_stream_equals_batch(spark):
     pages = spark.read.parquet(PAGES)
     even = pages.where(F.col("page_id") % 2 == 0)
     inbox = tempfile.mkdtemp(prefix="linkstats-inbox-")
-    ckpt = os.path.join(tempfile.mkdtemp(prefix="linkstats-sck-"), "state")
+    scratch = tempfile.mkdtemp(prefix="linkstats-sck-")
+    folders = os.path.join(scratch, "state"), os.path.join(scratch, "out")
     even.write.parquet(os.path.join(inbox, "a"))
-    first, q1 = run_once(spark, inbox, ckpt, "stream_counts_1")
+    first, q1 = run_once(spark, inbox, *folders)
     assert first == batch_counts(even)
 
     pages.where(F.col("page_id") % 2 == 1).write.parquet(os.path.join(inbox, "b"))
-    second, q2 = run_once(spark, inbox, ckpt, "stream_counts_2")
+    second, q2 = run_once(spark, inbox, *folders)
     assert second == batch_counts(pages)
     # the restart read only the new files: its input is the odd half
     n_odd = pages.where(F.col("page_id") % 2 == 1).count()
     assert sum(p["numInputRows"] for p in q2.recentProgress) == n_odd
 
 
+def test_registered_stream_reads_a_folder_of_parts(spark):
+    pages = spark.read.parquet(PAGES)
+    folder = os.path.join(tempfile.mkdtemp(prefix="linkstats-parts-"), "pages.parquet")
+    pages.repartition(3).write.parquet(folder)
+    assert rows(sl.stream_pair_link_counts(spark, folder)) == batch_counts(pages)
+
+
 def test_uri_counts_stream_through_table(spark):
     pages = spark.read.parquet(PAGES)
     inbox = tempfile.mkdtemp(prefix="linkstats-inbox-")

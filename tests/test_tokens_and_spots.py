@@ -100,6 +100,15 @@ def test_spot_matches_brute_force(spark, case):
     assert chunked == brute_spots(text, entries)
 
 
+def test_entries_with_a_hot_beginning(spark):
+    """Entries that begin alike cost each place one key, and are still told apart."""
+    texts = [(0, "the " * 300), (1, "the the the the the end. the the the the the the end")]
+    entries = ["the the the the the e%d" % i for i in range(500)] + ["the the the the the end", "the end"]
+    df = spark.createDataFrame(texts, "wid long, text string")
+    got = rows(sp.spot_surface_forms(df, spark.createDataFrame([(e,) for e in entries], "sf string")), "wid", "sf", "offset")
+    assert got == sorted((i, sf, off) for i, t in texts for sf, off in brute_spots(t, entries))
+
+
 def test_leftmost_longest(spark):
     spots = spark.createDataFrame(
         [(1, "a b", 0), (1, "a b c", 0), (1, "b c", 2), (1, "c", 4), (1, "d", 6), (1, "d e", 6), (1, "e f", 8)],
