@@ -79,15 +79,21 @@ def _sign(k: int):
     return run
 
 
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose signatures agree in MATCHES coordinates or more."""
+    for batch in batches:
+        sa, sb = (np.asarray(batch.column(c).flatten()).reshape(-1, COORDINATES) for c in ("sig_a", "sig_b"))
+        near = (sa == sb).sum(axis=1) >= MATCHES
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(near))
+
+
 def _linked(k: int, percent: int):
-    """Confirms pairs: agreeing coordinates first, then the full sets."""
+    """Confirms pairs on their full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, None
         for batch in batches:
-            sa, sb = (np.asarray(batch.column(c).flatten()).reshape(-1, COORDINATES) for c in ("sig_a", "sig_b"))
-            near = (sa == sb).sum(axis=1) >= MATCHES
             keep = np.zeros(batch.num_rows, dtype=bool)
-            for i in np.flatnonzero(near).tolist():
+            for i in range(batch.num_rows):
                 a, b = batch.column("text_a")[i].as_py() or "", batch.column("text_b")[i].as_py() or ""
                 if a != last:
                     last, left = a, shingle_set(a, k)
@@ -163,15 +169,19 @@ def _outsiders(k: int, percent: int):
 
 
 def _star_links(postings: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): confirmed links of every list's smallest member."""
+    """(a, b): confirmed links of every list's smallest member. The signatures are compared
+    first, so texts move only for the pairs that agree."""
     pivots = postings.groupBy("token").agg(F.min(F.struct("node", "n_shingles")).alias("p"))
     pairs = (postings.hint("merge").join(pivots, "token").where(F.col("node") > F.col("p.node"))
              .where(100 * F.least("n_shingles", "p.n_shingles") >= percent * F.greatest("n_shingles", "p.n_shingles"))
              .select(F.col("p.node").alias("a"), F.col("node").alias("b")).distinct())
-    ta = texts.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"), F.col("text").alias("text_a"))
-    tb = texts.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("text").alias("text_b"))
-    both = pairs.join(tb.hint("merge"), "b").join(ta.hint("merge"), "a").select("a", "b", "sig_a", "sig_b", "text_a", "text_b")
-    return materialize(map_arrow(both, _linked(k, percent), "a long, b long"), "near_star")
+
+    def with_both(pairs: DataFrame, column: str) -> DataFrame:
+        of_a, of_b = (texts.select(F.col("node").alias(x), F.col(column).alias(f"{column}_{x}")) for x in ("a", "b"))
+        return pairs.join(of_b.hint("merge"), "b").join(of_a.hint("merge"), "a").select("a", "b", f"{column}_a", f"{column}_b")
+
+    near = materialize(map_arrow(with_both(pairs, "sig"), _agreeing, "a long, b long"), "near_agreeing")
+    return materialize(map_arrow(with_both(near, "text"), _linked(k, percent), "a long, b long"), "near_star")
 
 
 def _outside_links(postings: DataFrame, known: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
