@@ -6,6 +6,8 @@ read it the same way: no look-around, no back-references.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,5 +71,23 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, lit_re(PIECE_PATTERN), 0)
 
 
+def _starts_udf():
+    def run(lengths: pa.Array) -> pa.Array:
+        bounds = np.asarray(lengths.offsets)
+        at = np.concatenate([[0], np.cumsum(np.asarray(lengths.values, dtype=np.int64))])
+        first, last = bounds[0], bounds[-1]
+        sizes = np.diff(bounds)
+        out = at[first:last] - np.repeat(at[bounds[:-1]], sizes)
+        return pa.ListArray.from_arrays(pa.array(bounds - first, pa.int32()), pa.array(out, pa.int64()))
+    return F.arrow_udf(run, "array<bigint>")
+
+
+def starts(parts: Column) -> Column:
+    """Where each of the parts of a text begins: the running sum of the lengths before it.
+    Spark's array functions keep no running state, so the sum is one vectorised pass over the
+    lengths (not the texts) of an Arrow batch, linear in their number. ``parts`` is not null."""
+    return _starts_udf()(F.transform(parts, F.length))
+
+
 def strip_url_query(url: Column) -> Column:
     return F.regexp_replace(url, r"[?#].*$", "")

@@ -5,19 +5,15 @@ x_k with no target (return it) or the first x_k already visited on this walk (re
 it). The start title is not part of the visited set, so a title on a cycle resolves to
 its direct target, a tail into a cycle to the cycle entry, and a self-loop to itself.
 
-Distributed as a frontier loop: each round joins the still-walking rows with the edge
-table once; finished rows leave the frontier. Every round is checkpointed into the
-session's checkpoint folder, so lineage stays one round deep and a lost executor only
-recomputes the last round. Rounds = longest walk.
+Resolved by pointer doubling at every size: rounds grow with the logarithm of the longest
+walk. Every round is a table written under the session's checkpoint folder, so lineage
+stays one round deep and a lost executor only recomputes the last round.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
 
 from linkstats import session as sess
 
@@ -28,66 +24,29 @@ def unique_edges(edges: DataFrame) -> DataFrame:
             .groupBy("src").agg(F.min("dst").alias("dst")))
 
 
-def resolve(edges: DataFrame, max_rounds: int = 10_000, switch_after: int | None = 16) -> DataFrame:
-    """R2: (title, final) for every redirect title.
-
-    Short walks (the usual case) finish in a few frontier rounds; if walks are still
-    active after ``switch_after`` rounds, the graph is resolved by pointer doubling
-    instead (``resolve_doubling``), so the worst case is O(switch_after + log walk)."""
-    spark = edges.sparkSession
-    sess.ensure_checkpoint_dir(spark)
-    e = unique_edges(edges).checkpoint(eager=True)
-    step_edges = e.select(F.col("src").alias("cur"), F.col("dst").alias("nxt"))
-    frontier = e.select(F.col("src").alias("title"), F.col("dst").alias("cur"),
-                        F.array(F.col("dst")).alias("path"))
-    finished = []
-    for rnd in range(1, max_rounds + 1):
-        if switch_after is not None and rnd > switch_after:
-            return resolve_doubling(edges)
-        stepped = (frontier.join(step_edges, "cur", "left")
-                   .select("title", "cur", "path", "nxt",
-                           F.when(F.col("nxt").isNull(), F.col("cur"))
-                           .when(F.array_contains("path", F.col("nxt")), F.col("nxt")).alias("final"))
-                   .persist(StorageLevel.MEMORY_AND_DISK))
-        # checkpoint(eager) counts then writes; the cache makes the write read, not recompute
-        cached = stepped
-        stepped = stepped.checkpoint(eager=True)
-        cached.unpersist()
-        finished.append(stepped.where(F.col("final").isNotNull()).select("title", "final"))
-        frontier = (stepped.where(F.col("final").isNull())
-                    .select("title", F.col("nxt").alias("cur"), F.array_append("path", F.col("nxt")).alias("path")))
-        if frontier.isEmpty():
-            break
-    else:
-        raise RuntimeError(f"redirect walks longer than {max_rounds} rounds")
-    return reduce(DataFrame.unionByName, finished)
-
-
-def resolve_doubling(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """R2 by pointer doubling: O(log longest walk) rounds instead of one per hop.
+def resolve(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """R2: (title, final) for every redirect title, in O(log longest walk) rounds.
 
     Give every terminal title a self-loop, so every walk ends on a cycle. Doubling the
     successor pointer until the image of p^(2^k) stops shrinking yields exactly the cycle
     and terminal nodes; a second doubling jumps each node to the first such node on its
-    walk. A title resolves to that node for its direct target, which is the walk rule of
-    ``resolve``. Each round is one self-join over all nodes, checkpointed.
+    walk. A title resolves to that node for its direct target, which is the walk rule.
+    Each round is one self-join over all nodes, written as a table.
     """
-    spark = edges.sparkSession
-    sess.ensure_checkpoint_dir(spark)
-    e = unique_edges(edges).checkpoint(eager=True)
+    e = sess.materialize(unique_edges(edges), "redirect_edges")
     nodes = e.select(F.col("src").alias("v")).union(e.select(F.col("dst").alias("v"))).distinct()
-    succ = (nodes.join(e.select(F.col("src").alias("v"), F.col("dst").alias("p")), "v", "left")
-            .select("v", F.coalesce("p", "v").alias("p")).checkpoint(eager=True))
+    succ = sess.materialize(nodes.join(e.select(F.col("src").alias("v"), F.col("dst").alias("p")), "v", "left")
+                            .select("v", F.coalesce("p", "v").alias("p")), "redirect_succ")
 
     def square(t: DataFrame, col: str) -> DataFrame:
         b = t.select(F.col("v").alias("_b"), F.col(col).alias("_next"))
-        return (t.join(b, t[col] == b["_b"]).select("v", F.col("_next").alias(col))
-                .checkpoint(eager=True))
+        return sess.materialize(t.join(b, t[col] == b["_b"]).select("v", F.col("_next").alias(col), F.col(col).alias("_old")),
+                                "redirect_round").select("v", col, "_old")
 
     jump = succ.select("v", F.col("p").alias("j"))
     size = jump.select("j").distinct().count()
     for _ in range(max_rounds):
-        nxt = square(jump, "j")
+        nxt = square(jump, "j").select("v", "j")
         nxt_size = nxt.select("j").distinct().count()
         if nxt_size == size:
             break
@@ -96,16 +55,13 @@ def resolve_doubling(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         raise RuntimeError(f"no fixpoint after {max_rounds} doubling rounds")
     stops = jump.select(F.col("j").alias("v")).distinct().withColumn("_stop", F.lit(True))
 
-    first = (succ.join(stops, "v", "left")
-             .select("v", F.when(F.col("_stop"), F.col("v")).otherwise(F.col("p")).alias("t"))
-             .checkpoint(eager=True))
+    first = sess.materialize(succ.join(stops, "v", "left")
+                             .select("v", F.when(F.col("_stop"), F.col("v")).otherwise(F.col("p")).alias("t")), "redirect_first")
     for _ in range(max_rounds):
-        nxt = square(first, "t")
-        changed = nxt.join(first.withColumnRenamed("t", "_old"), "v").where(F.col("t") != F.col("_old"))
-        if changed.isEmpty():
-            first = nxt
+        stepped = square(first, "t")
+        first = stepped.select("v", "t")
+        if stepped.where("t <> _old").isEmpty():
             break
-        first = nxt
     else:
         raise RuntimeError(f"no fixpoint after {max_rounds} doubling rounds")
     return (e.join(first.select(F.col("v").alias("dst"), F.col("t").alias("final")), "dst")

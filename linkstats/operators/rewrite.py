@@ -1,14 +1,16 @@
 """Entity-annotated text (X1, T8): each page-linked spot is replaced by
 ``" " + resource URI of its resolved target + " "``.
 
-Spots of a page (bounded by the page's own words) are gathered per page, sorted, and
-the text is rebuilt in one pass with ``transform``: each spot contributes the text
-between the previous spot's end and its own start, then its replacement. Work is
-linear in the page length; pages without spots pass through unchanged.
+Spots of a page (bounded by the page's own words) are gathered per page and sorted; the
+text is then rebuilt in one pass over Arrow batches: each spot contributes the text between
+the previous spot's end and its own start, then its replacement. (``substring`` walks from
+the start of a UTF-8 text for each spot, which is quadratic in the page length.) Pages
+without spots pass by unchanged.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,21 +19,27 @@ from linkstats.functions import uris as ur
 from linkstats.operators import redirects as rd
 
 
+def _splice_udf():
+    def one(text, spans):
+        if text is None or not spans:
+            return text
+        out, end = [], 0
+        for s in spans:
+            out += (text[end:s["offset"]], s["repl"] or "")
+            end = s["end"]
+        return "".join(out) + text[end:]
+
+    def run(text: pa.Array, spans: pa.Array) -> pa.Array:
+        return pa.array([one(t, s) for t, s in zip(text.to_pylist(), spans.to_pylist())], pa.string())
+    return F.arrow_udf(run, "string")
+
+
 def splice(texts: DataFrame, replacements: DataFrame, id_col: str = "wid", text_col: str = "text") -> DataFrame:
     """Replace non-overlapping spans: replacements(id, offset, end, repl) -> (id, text)."""
     per_page = (replacements.groupBy(id_col)
                 .agg(F.array_sort(F.collect_list(F.struct("offset", "end", "repl"))).alias("r")))
     j = texts.select(id_col, text_col).join(per_page, id_col, "left")
-    t = F.col(text_col)
-    r = F.col("r")
-
-    def segment(x, i):
-        prev_end = F.when(i == 0, F.lit(0)).otherwise(F.element_at(r, i)["end"])
-        return F.concat(F.substring(t, prev_end + 1, x["offset"] - prev_end), x["repl"])
-
-    rebuilt = F.concat(F.array_join(F.transform(r, segment), ""),
-                       F.expr(f"substring(`{text_col}`, element_at(r, -1).`end` + 1)"))
-    return j.select(id_col, F.when(r.isNull() | (F.size(r) == 0), t).otherwise(rebuilt).alias(text_col))
+    return j.select(id_col, _splice_udf()(F.col(text_col), F.col("r")).alias(text_col))
 
 
 def rewrite_text(texts: DataFrame, linked_spots: DataFrame, resolved: DataFrame, lang: str = "en",

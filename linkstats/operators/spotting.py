@@ -4,11 +4,10 @@ A dictionary entry is its sequence of word tokens; it matches wherever the text
 the same words in a row, whatever the separators between them. The reported surface
 form is the covered text, so ``substring(text, offset + 1, length(sf)) = sf`` holds.
 
-Plan shape: texts are hash-partitioned by id once; pieces carry their offset (running
-sum window on that partitioning) and, for multi-word dictionaries, the next pieces via
-``lead`` (constant work per row). Keys of the next words join the dictionary by equality:
-a broadcast hash join when the measured dictionary size is under the limit, otherwise
-a shuffled join that AQE splits when one key is hot.
+Plan shape: a text is cut into words with offsets inside its own row, for multi-word
+dictionaries with the next pieces beside each word; no text is shuffled. Keys of the next
+words join the dictionary by equality: a broadcast hash join when the measured dictionary
+size is under the limit, otherwise a shuffled join that AQE splits when one key is hot.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 
 from linkstats import session as sess
 from linkstats.functions import text as tx
-from linkstats.operators.tokens import text_pieces
+from linkstats.operators.tokens import text_words
 
 
 @dataclass
@@ -69,14 +68,7 @@ CHUNK_WORDS = 4
 
 def _key(look, n_words: int):
     """The first ``n_words`` words of a look array as a key; null where the text ends before."""
-    return F.concat(*[x for i in range(n_words) for x in (F.lit(" "), look[2 * i])][1:])
-
-
-def _looked(texts: DataFrame, id_col: str, text_col: str, n_words: int) -> DataFrame:
-    """Words with ``look``: the pieces from here that ``n_words`` words cover (``lead``, O(1) per row)."""
-    p = text_pieces(texts, id_col, text_col)
-    w = Window.partitionBy("id").orderBy("pos")
-    return p.withColumn("look", F.array(F.col("piece"), *[F.lead("piece", k).over(w) for k in range(1, 2 * n_words - 1)])).where("is_word")
+    return F.concat(*[x for i in range(n_words) for x in (F.lit(" "), F.get(look, F.lit(2 * i)))][1:])
 
 
 def spot(texts: DataFrame, dictionary: Dictionary, id_col: str = "wid", text_col: str = "text",
@@ -91,12 +83,12 @@ def spot(texts: DataFrame, dictionary: Dictionary, id_col: str = "wid", text_col
     """
     d = dictionary.join_side
     if dictionary.max_n <= 1:
-        p = text_pieces(texts, id_col, text_col).where("is_word")
+        p = text_words(texts, id_col, text_col)
         return p.join(d, p["piece"] == d["key"]).select(F.col("id").alias(id_col), F.col("piece").alias("sf"), "offset", "key")
 
     c = max(1, chunk_words)
     lengths = sorted({min(n, c) for n in dictionary.lengths})
-    p = _looked(texts, id_col, text_col, lengths[-1])
+    p = text_words(texts, id_col, text_col, look_words=lengths[-1])
     keys = F.array(*[_key(F.col("look"), n) for n in lengths])
     p = p.select("id", "pos", "offset", "look", F.explode(keys).alias("prefix")).where(F.col("prefix").isNotNull())
     sides = dictionary.entries.select(
@@ -178,11 +170,23 @@ def page_sf_map(page_links: DataFrame) -> DataFrame:
 
 
 def spot_linked(texts: DataFrame, page_links: DataFrame, id_col: str = "wid", text_col: str = "text") -> DataFrame:
-    """M2: spots of the global anchor dictionary that are anchors of the same page,
-    non-overlapping, with the page's link target: (wid, sf, offset, uri)."""
-    d = build_dictionary(page_links.select("sf"))
-    spots = spot(texts, d, id_col, text_col).select(id_col, "sf", "offset")
-    linked = spots.join(page_sf_map(page_links).withColumnRenamed("wid", id_col), [id_col, "sf"])
-    if d.max_n > 1:
+    """M2: non-overlapping spots that are anchors of the same page, with the page's link
+    target: (wid, sf, offset, uri).
+
+    Words meet the anchors of their own page only, by equality of (page, covered text); the
+    numbers of words that the page's anchors have say which stretches are built. Anchors
+    that begin or end with a separator cover no stretch of words and never match.
+    """
+    anchors = page_sf_map(page_links).withColumnRenamed("wid", id_col).where(F.col("sf").isNotNull())
+    anchors = anchors.withColumn("n", F.size(tx.words(F.col("sf")))).where("n > 0")
+    lengths = anchors.groupBy(id_col).agg(F.collect_set("n").alias("lengths"), F.max("n").alias("longest"))
+    longest = lengths.agg(F.coalesce(F.max("longest"), F.lit(0))).first()[0]
+    t = texts.select(id_col, text_col).join(sess.checked_broadcast(lengths.drop("longest")), id_col)
+    p = text_words(t, id_col, text_col, look_words=max(longest, 1), keep=("lengths",))
+    covered = F.transform("lengths", lambda n: F.when(
+        F.size("look") >= n * 2 - 1, F.array_join(F.slice("look", F.lit(1), n * 2 - 1), "")))
+    p = p.select(F.col("id").alias(id_col), "offset", F.explode(covered).alias("sf")).where(F.col("sf").isNotNull())
+    linked = p.join(sess.checked_broadcast(anchors.select(id_col, "sf", "uri")), [id_col, "sf"])
+    if longest > 1:
         linked = leftmost_longest(linked, id_col)
     return linked.select(id_col, "sf", "offset", "uri")

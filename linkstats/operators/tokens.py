@@ -12,38 +12,36 @@ from linkstats.functions import text as tx
 from linkstats.session import checked_broadcast, materialize
 
 
-def text_pieces(texts: DataFrame, id_col: str = "wid", text_col: str = "text",
-                lookahead: int = 0) -> DataFrame:
-    """One row per piece of each text: (id, pos, piece, tpos, offset, is_word[, look]).
+def text_words(texts: DataFrame, id_col: str = "wid", text_col: str = "text", look_words: int = 0,
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per word of each text: (id, pos, piece, tpos, offset[, look][, keep columns]).
 
-    The texts are hash-partitioned by id *before* the explode, so the only shuffle moves
-    raw text and the running-offset window reuses that partitioning. ``look`` (when
-    ``lookahead`` > 0) holds this piece and the next ``lookahead`` pieces.
+    Narrow: a text is cut and its offsets are summed inside its own row, so no text is
+    shuffled. ``pos`` counts pieces (words and separators); ``look`` (when ``look_words`` > 0)
+    holds the pieces from here that so many words cover, fewer where the text ends before.
     """
-    t = (texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-         .where(F.col("text").isNotNull())
-         .repartition("id"))
-    # Pieces alternate word / separator, so a word's rank among words is pos // 2 when
-    # the text starts with a word and (pos - 1) // 2 otherwise: no second window.
-    t = t.select("id", "text", F.when(tx.starts_with_word(F.col("text")), 0).otherwise(1).alias("shift"))
-    p = t.select("id", "shift", F.posexplode(tx.pieces(F.col("text"))).alias("pos", "piece"))
-    w = Window.partitionBy("id").orderBy("pos")
-    is_word = tx.starts_with_word(F.col("piece"))
-    cols = [
-        "id", F.col("pos").cast("long").alias("pos"), "piece",
-        F.when(is_word, F.floor((F.col("pos") - F.col("shift")) / 2)).cast("long").alias("tpos"),
-        F.coalesce(F.sum(F.length("piece")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).cast("long").alias("offset"),
-        is_word.alias("is_word"),
-    ]
-    if lookahead > 0:
-        cols.append(F.collect_list("piece").over(w.rowsBetween(0, lookahead)).alias("look"))
-    return p.select(*cols)
+    t = (texts.where(F.col(text_col).isNotNull())
+         .select(F.col(id_col).alias("id"), *keep, tx.pieces(F.col(text_col)).alias("ps"))
+         .where(F.size("ps") > 0))
+    t = t.withColumn("at", tx.starts(F.col("ps")))
+    # Pieces alternate word / separator, so the words are every other piece.
+    shift = F.when(tx.starts_with_word(F.col("ps")[0]), 0).otherwise(1)
+    t = t.withColumn("shift", shift).where(F.size("ps") > F.col("shift"))
+
+    def word(i, tpos):
+        cols = [i.cast("long").alias("pos"), F.get("ps", i).alias("piece"),
+                tpos.cast("long").alias("tpos"), F.get("at", i).alias("offset")]
+        if look_words:
+            cols.append(F.slice("ps", i + 1, F.lit(2 * look_words - 1)).alias("look"))
+        return F.struct(*cols)
+
+    places = F.sequence(F.col("shift"), F.size("ps") - 1, F.lit(2))
+    return t.select("id", *keep, F.inline(F.transform(places, word)))
 
 
 def tokenize_offsets(texts: DataFrame, id_col: str = "wid", text_col: str = "text") -> DataFrame:
     """(wid, tpos, token, offset) for every word; tpos counts words from 0."""
-    p = text_pieces(texts, id_col, text_col).where("is_word")
+    p = text_words(texts, id_col, text_col)
     return p.select(F.col("id").alias(id_col), "tpos", F.col("piece").alias("token"), "offset")
 
 

@@ -1,12 +1,13 @@
 """End-to-end jobs over the article table.
 
     build_stats(articles)            -> {uri_counts, pair_counts, total_sf_counts, token_counts}
+    run_stats(articles, out)         -> the same, written; intermediate tables are deleted
     stats_from_xml / stats_from_json -> the same over a dump or a JSON-lines corpus
     export_corpus                    -> XML dump to JSON lines
     annotate_corpus                  -> article text with spots replaced by entity URIs
 
-Every output is a lazy DataFrame except the two relations that several outputs share
-(link facts and spots), which are written once under the checkpoint folder.
+Every output is a lazy DataFrame. The source is parsed once: the article table, and of what
+several outputs share the link facts and spots, are written under the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -32,22 +33,23 @@ STAT_TABLES = ("uri_counts", "pair_counts", "total_sf_counts", "token_counts")
 def build_stats(articles: DataFrame, stop_words: DataFrame | None = None, lang: str = "en",
                 weight: str = "occurrences", resolve_links: bool = False,
                 encode_uris: bool = False, dedupe_lowercase: bool = False,
-                host: str = ur.DEFAULT_RESOURCE_HOST, top_k: int | None = None) -> dict[str, DataFrame]:
+                host: str = ur.DEFAULT_RESOURCE_HOST, top_k: int | None = None,
+                algorithm: str = "s") -> dict[str, DataFrame]:
     """The four statistics tables from an article table (schema §1.2).
 
     Options: ``weight`` ("occurrences" = the reference's link x spot join rows, "links" =
     link count); ``resolve_links`` maps link ids through the redirects before counting;
     ``encode_uris`` outputs resource URIs instead of raw ids; ``dedupe_lowercase`` keeps
-    one lower-case phantom per form.
+    one lower-case phantom per form; ``algorithm`` is the stemmer ("s" or "porter").
     """
+    articles = src.good_articles(sess.materialize(articles, "articles"))
+    resolved = rd.resolve(ex.redirect_edges(articles))
     lf = ex.link_facts(articles)
     if resolve_links:
-        resolved_map = rd.resolve(ex.redirect_edges(articles))
-        lf = rd.resolve_targets(lf, resolved_map).select("wid", "sf", F.col("target").alias("uri"))
+        lf = rd.resolve_targets(lf, resolved).select("wid", "sf", F.col("target").alias("uri"))
     lf = sess.materialize(lf, "link_facts")
     texts = ex.article_text(articles).select("wid", "text")
     spots = sess.materialize(sp.spot_surface_forms(texts, ex.surface_forms(articles)), "spots")
-    resolved = rd.resolve(ex.redirect_edges(articles))
 
     pairs = ct.pair_counts(lf, spots, resolved, weight)
     uris = ct.uri_counts_from_pairs(pairs)
@@ -60,7 +62,7 @@ def build_stats(articles: DataFrame, stop_words: DataFrame | None = None, lang:
 
     pair_keys, paragraphs = ex.uri_paragraphs(articles)
     stops = stop_words if stop_words is not None else sw.default_stop_words(articles.sparkSession)
-    vectors = cx.context_vectors(pair_keys, paragraphs, stops, lang=lang, top_k=top_k)
+    vectors = cx.context_vectors(pair_keys, paragraphs, stops, algorithm=algorithm, lang=lang, top_k=top_k)
     return {"uri_counts": uris, "pair_counts": pairs.select("sf", "uri", "n"),
             "total_sf_counts": totals, "token_counts": vectors}
 
@@ -74,24 +76,31 @@ def write_stats(stats: dict[str, DataFrame], out: str, fmt: str = "tsv") -> None
         (sinks.write_tsv if fmt == "tsv" else sinks.write_parquet)(df, path)
 
 
+def run_stats(articles: DataFrame, out: str, fmt: str = "tsv", **options) -> None:
+    """W1/W2 as a whole: the four tables under ``out`` and nothing else left behind."""
+    with sess.scratch_tables(articles.sparkSession):
+        write_stats(build_stats(articles, **options), out, fmt)
+
+
 def stats_from_xml(spark: SparkSession, dump: str, **options) -> dict[str, DataFrame]:
-    """Statistics from an XML dump."""
+    """Statistics from an XML dump; pages that do not parse are left out."""
     return build_stats(src.read_xml_articles(spark, dump), **options)
 
 
 def stats_from_json(spark: SparkSession, corpus: str, **options) -> dict[str, DataFrame]:
-    """Statistics from JSON lines; corrupt lines are left out (see ``quarantine``)."""
-    good, _ = src.split_corrupt(src.read_json_articles(spark, corpus))
-    return build_stats(good, **options)
+    """Statistics from JSON lines; corrupt lines are left out (``split_corrupt``)."""
+    return build_stats(src.read_json_articles(spark, corpus), **options)
 
 
 def export_corpus(spark: SparkSession, dump: str, out: str) -> None:
     """XML dump -> article JSON lines."""
-    sinks.write_json_lines(src.read_xml_articles(spark, dump), out)
+    sinks.write_json_lines(src.good_articles(src.read_xml_articles(spark, dump)), out)
 
 
 def annotate_corpus(articles: DataFrame, lang: str = "en", host: str = ur.DEFAULT_RESOURCE_HOST) -> DataFrame:
-    """(wid, text) with every page-linked spot replaced by its entity URI."""
+    """(wid, text) with every page-linked spot replaced by its entity URI.
+    The source is parsed once."""
+    articles = src.good_articles(sess.materialize(articles, "articles"))
     texts = ex.article_text(articles).select("wid", "text")
     linked = sp.spot_linked(texts, ex.page_links(articles))
     resolved = rd.resolve(ex.redirect_edges(articles))

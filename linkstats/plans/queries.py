@@ -23,9 +23,10 @@ from linkstats.operators import tokens as tk
 from linkstats.plans import jobs
 from linkstats.sources import articles as src_articles
 from linkstats.sources import pages as pg
+from linkstats.sources import sinks
 from linkstats.sources import stopwords as sw
 from linkstats.streaming import link_counts as stream
-from linkstats.session import ensure_checkpoint_dir, materialize, spread_small_scan
+from linkstats.session import materialize, scratch_path
 
 CONTEXT_TOP_K = 10
 
@@ -45,6 +46,7 @@ class Tables:
         self._pt: DataFrame | None = None
         self._paras: DataFrame | None = None
         self._ctx: DataFrame | None = None
+        self._whole: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -52,20 +54,23 @@ class Tables:
     @property
     def pt(self) -> DataFrame:
         if self._pt is None:
-            ensure_checkpoint_dir(self.spark)
-            pages = spread_small_scan(self.table("pages"), "page_id")
-            self._pt = materialize(pg.page_table(pages, with_paragraphs=False), "page_table")
+            self._pt = materialize(pg.page_table(self.table("pages"), with_paragraphs=False), "page_table")
         return self._pt
 
     @property
     def ctx(self) -> DataFrame:
         """(wid, url, h1, paras): the narrow parse the context jobs need (no text, links)."""
         if self._ctx is None:
-            ensure_checkpoint_dir(self.spark)
-            pages = spread_small_scan(self.table("pages"), "page_id")
-            self._ctx = materialize(pg.page_table(pages, with_paragraphs=True, with_text=False), "page_context")
+            self._ctx = materialize(pg.page_table(self.table("pages"), with_paragraphs=True, with_text=False), "page_context")
         return self._ctx
 
+    def whole_typed(self) -> DataFrame:
+        """The article schema with ``paragraphsLink``, which the statistics job reads."""
+        if self._whole is None:
+            self._whole = materialize(pg.page_table(self.table("pages"), with_paragraphs=False,
+                                                    with_paragraph_links=True), "page_table_whole")
+        return pg.typed_pages(self._whole)
+
     def articles(self) -> DataFrame:
         return pg.articles(self.pt)
 
@@ -99,7 +104,6 @@ class Tables:
         return self.articles().where(F.length("text") > 0).select("wid", "text")
 
     def documents(self) -> DataFrame:
-        # The tokenizer hash-partitions texts by id itself: no spreading needed here.
         return self.table("documents").select(F.col("doc_id").alias("wid"), "text")
 
     def anchor_spots(self) -> DataFrame:
@@ -254,7 +258,7 @@ def resolve_redirects_cyclic(t: Tables) -> DataFrame:
 
 def resolve_redirects_doubling(t: Tables) -> DataFrame:
     """The cyclic graph resolved by pointer doubling (O(log walk) rounds)."""
-    return rd.resolve_doubling(pg.cyclic_redirects(t.table("part"))).select("final", "title")
+    return rd.resolve(pg.cyclic_redirects(t.table("part"))).select("final", "title")
 
 
 # ---- context vectors ----------------------------------------------------------------
@@ -325,6 +329,48 @@ def stats_job_total_sf_counts(t: Tables) -> DataFrame:
     return jobs.build_stats(t.typed())["total_sf_counts"]
 
 
+def stats_job_token_counts(t: Tables) -> DataFrame:
+    """W1's token table: context vectors over the paragraphs that link to each uri."""
+    return jobs.build_stats(t.whole_typed())["token_counts"]
+
+
+def stats_job_token_counts_porter(t: Tables) -> DataFrame:
+    return jobs.build_stats(t.whole_typed(), algorithm="porter")["token_counts"]
+
+
+def article_uri_paragraphs(t: Tables) -> DataFrame:
+    """P7 over ``paragraphsLink``."""
+    return ex.uri_paragraphs(t.whole_typed())[0]
+
+
+def annotate_job(t: Tables) -> DataFrame:
+    """W4 over the pages in the article schema."""
+    return jobs.annotate_corpus(t.typed())
+
+
+def _exported(t: Tables) -> str:
+    path = scratch_path(t.spark, "corpus_json")
+    sinks.write_json_lines(t.typed(), path)
+    return path
+
+
+def json_export_link_facts(t: Tables) -> DataFrame:
+    """S4, then S2: link facts of the corpus exported as JSON lines and read back."""
+    return ex.link_facts(src_articles.good_articles(src_articles.read_json_articles(t.spark, _exported(t))))
+
+
+def json_job_pair_counts(t: Tables) -> DataFrame:
+    """W2 over the exported corpus."""
+    return jobs.stats_from_json(t.spark, _exported(t))["pair_counts"]
+
+
+def tsv_uri_counts(t: Tables) -> DataFrame:
+    """Uri link counts written as TSV and read back."""
+    path = scratch_path(t.spark, "uri_counts_tsv")
+    sinks.write_tsv(uri_link_counts(t), path)
+    return t.spark.read.option("sep", "\t").schema("uri string, n bigint").csv(path)
+
+
 # ---- streaming ----------------------------------------------------------------------
 
 def stream_pair_link_counts(t: Tables) -> DataFrame:
@@ -369,6 +415,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f
     uri_paragraphs, stem_vocabulary, stem_vocabulary_porter, token_counts, context_vectors,
     context_vectors_topk, context_vectors_porter,
     rewrite_text, uri_normalize, quarantine_corrupt, stats_job_pair_counts,
-    stats_job_uri_counts, stats_job_total_sf_counts, stream_pair_link_counts,
+    stats_job_uri_counts, stats_job_total_sf_counts, stats_job_token_counts,
+    stats_job_token_counts_porter, article_uri_paragraphs, annotate_job, json_export_link_facts,
+    json_job_pair_counts, tsv_uri_counts, stream_pair_link_counts,
     dq_empty_sf, dq_redirect_count, dq_redirect_terminal, dq_annotated_total, dq_spot_offsets,
 ]}

@@ -28,3 +28,4 @@ ARTICLE_WITH_CORRUPT = T.StructType(ARTICLE.fields + [T.StructField("_corrupt_re
 
 ARTICLE_TYPE = "ARTICLE"
 REDIRECT_TYPE = "REDIRECT"
+OTHER_TYPE = "OTHER"

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +61,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCOPES: list[list[str]] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name for intermediate data under the shared checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    for paths in _SCOPES:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes the intermediate tables written inside when it ends: for jobs whose outputs
+    are written, too, before that (C1). Frames built inside are not readable afterwards."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        for path in paths:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table under the checkpoint folder and read it back.
 
@@ -66,22 +94,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     push filters and give the planner real file sizes. The folder is the shared one the
     session names in ``spark.checkpoint.dir``, so the table survives lost executors.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread ``df`` by ``key`` over the default parallelism when its scan yields
-    fewer partitions than that (a file with one row group is one task). Large inputs
-    already have many splits and are returned untouched, so this never adds a shuffle
-    at scale; below it the shuffled data is bounded by one under-split scan."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key)
+    return df.sparkSession.read.parquet(path)
 
 
 def broadcast_limit(spark: SparkSession) -> int:

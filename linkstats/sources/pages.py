@@ -57,15 +57,30 @@ def _link_array(body) -> F.Column:
     return F.flatten(F.transform(F.array(before), lambda lengths: F.transform(zipped, lambda x, i: to_link(x, i, lengths))))
 
 
-def _paragraph_array(body) -> F.Column:
+def _raw_paragraphs(body) -> F.Column:
     marked = F.regexp_replace(body, tx.P_OPEN_PATTERN, "</p><p>")
-    raw = F.regexp_extract_all(marked, tx.lit_re(tx.PARAGRAPH_PATTERN), 1)
-    return F.filter(F.transform(raw, tx.markup_to_text), lambda p: p != "")
+    return F.regexp_extract_all(marked, tx.lit_re(tx.PARAGRAPH_PATTERN), 1)
+
+
+def _paragraph_array(body) -> F.Column:
+    return F.filter(F.transform(_raw_paragraphs(body), tx.markup_to_text), lambda p: p != "")
 
 
-def page_table(pages: DataFrame, with_paragraphs: bool = True, with_text: bool = True) -> DataFrame:
+def _paragraph_links(body) -> F.Column:
+    """Paragraphs with the ids of the links inside them, as the article schema holds them."""
+    def one(raw):
+        ids = F.regexp_extract_all(raw, tx.lit_re(tx.ANCHOR_PATTERN), 1)
+        return F.struct(tx.markup_to_text(raw).alias("paraText"), F.transform(ids, lambda x: F.struct(x.alias("id"))).alias("links"))
+
+    paragraphs = F.filter(F.transform(_raw_paragraphs(body), one), lambda p: p["paraText"] != "")
+    return paragraphs.cast(S.ARTICLE["paragraphsLink"].dataType)
+
+
+def page_table(pages: DataFrame, with_paragraphs: bool = True, with_text: bool = True,
+               with_paragraph_links: bool = False) -> DataFrame:
     """Everything the jobs need from a page, from one pass over its html (narrow):
-    (wid, url, h1[, text, links array<description, end, id, start>][, paras array<string>])."""
+    (wid, url, h1[, text, links array<description, end, id, start>][, paras array<string>]
+    [, paragraphsLink])."""
     b = page_bodies(pages)
     cols = [
         F.col("wid").cast("long").alias("wid"), "url",
@@ -75,6 +90,8 @@ def page_table(pages: DataFrame, with_paragraphs: bool = True, with_text: bool =
         cols += [tx.markup_to_text(F.col("body")).alias("text"), _link_array(F.col("body")).alias("links")]
     if with_paragraphs:
         cols.append(_paragraph_array(F.col("body")).alias("paras"))
+    if with_paragraph_links:
+        cols.append(_paragraph_links(F.col("body")).alias("paragraphsLink"))
     return b.select(*cols)
 
 
@@ -127,6 +144,7 @@ def paragraphs(pt: DataFrame) -> DataFrame:
 
 def article_rows(pt: DataFrame) -> DataFrame:
     """Every page as an ARTICLE row of the article schema (narrow; works on streams)."""
+    none = F.lit(None).cast(S.ARTICLE["paragraphsLink"].dataType)
     return pt.select(
         "wid",
         F.col("h1").alias("wikiTitle"),
@@ -134,7 +152,7 @@ def article_rows(pt: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("redirect"),
         F.col("text").alias("wikiText"),
         "links",
-        F.lit(None).cast(S.ARTICLE["paragraphsLink"].dataType).alias("paragraphsLink"),
+        (F.col("paragraphsLink") if "paragraphsLink" in pt.columns else none).alias("paragraphsLink"),
     )
 
 

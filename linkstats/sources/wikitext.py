@@ -1,34 +1,76 @@
 """Link extraction from wiki markup (P9): markup -> plain text, link spans, paragraphs.
 
 ``[[target|anchor]]`` contributes ``anchor`` to the text and a link (anchor, target);
-``[[target]]`` contributes ``target`` for both. Templates, references, tags and
-bold/italic quotes are removed first. Link offsets are the running length of the plain
-text, computed with one window over the page's pieces (hash-partitioned by page once);
-the page is then reassembled on the same partitioning, without another shuffle.
+``[[target]]`` contributes ``target`` for both. Templates (nested ones too), references,
+tags, bold/italic quotes and file and category links are removed first. All of it is
+narrow: a page is parsed inside its own row, its link offsets are the running sum of the
+lengths of its pieces, and pages without an id or with the same title stay apart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkstats import schema as S
+from linkstats.functions import text as tx
 
 LINK_PATTERN = r"\[\[[^\[\]]*\]\]"
 PIECE_PATTERN = r"\[\[[^\[\]]*\]\]|[^\[]+|\["
-NOISE_PATTERNS = [
+BEFORE_TEMPLATES = [
     r"(?s)<ref[^>]*/>",
     r"(?s)<ref[^>]*>.*?</ref>",
     r"(?s)<!--.*?-->",
-    r"(?s)\{\{[^{}]*\}\}",
+]
+AFTER_TEMPLATES = [
     r"<[^>]*>",
     r"'{2,}",
 ]
+# Namespaces whose links show no text of the article.
+SILENT_NAMESPACES = ("file", "image", "category")
 PARAGRAPH_BREAK = r"\n[ \t]*\n\s*"
 
 
-def clean_markup(c):
-    for p in NOISE_PATTERNS:
+def _drop_nested_udf(namespaces: tuple[str, ...]):
+    bracket = re.compile(r"(\{\{|\}\}|\[\[|\]\])")
+    silent = re.compile(r"\s*(?:%s)\s*:" % "|".join(map(re.escape, namespaces)), re.IGNORECASE)
+
+    def one(markup):
+        """Each closing pair takes the innermost open one; what is never closed stays."""
+        out, open_at, templates = [], [], 0
+        for part in bracket.split(markup):
+            if part in ("{{", "[["):
+                open_at.append((part, len(out)))
+                templates += part == "{{"
+            elif part == "}}" and templates:
+                while open_at[-1][0] != "{{":
+                    open_at.pop()
+                del out[open_at.pop()[1]:]
+                templates -= 1
+                continue
+            elif part == "]]" and open_at and open_at[-1][0] == "[[":
+                at = open_at.pop()[1]
+                if silent.match(out[at + 1]):
+                    del out[at:]
+                    continue
+            out.append(part)
+        return "".join(out)
+
+    def run(markup: pa.Array) -> pa.Array:
+        return pa.array([None if m is None else one(m) for m in markup.to_pylist()], pa.string())
+    return F.arrow_udf(run, "string")
+
+
+def clean_markup(c, namespaces: tuple[str, ...] = SILENT_NAMESPACES):
+    """Markup without what is not text. Brackets nest without bound, which patterns cannot
+    follow, so templates and silent links go in one linear pass over Arrow batches."""
+    for p in BEFORE_TEMPLATES:
+        c = F.regexp_replace(c, p, "")
+    c = _drop_nested_udf(namespaces)(c)
+    for p in AFTER_TEMPLATES:
         c = F.regexp_replace(c, p, "")
     return c
 
@@ -51,39 +93,32 @@ def _paragraphs(clean):
     return F.filter(F.transform(paras, one), lambda s: s["paraText"] != "")
 
 
-def parse_markup(df: DataFrame, markup_col: str = "markup", id_col: str = "wid") -> DataFrame:
+def _piece(p):
+    """A piece of markup as (text, link target or null). Only the link alternative of
+    PIECE_PATTERN yields a piece that starts with "[[" (an unclosed one splits into "[")."""
+    inner = F.substring(p, F.lit(3), F.length(p) - 4)
+    piped = F.instr(inner, "|") > 0
+    target = F.trim(F.when(piped, F.substring_index(inner, "|", 1)).otherwise(inner))
+    anchor = F.when(piped, F.substring(inner, F.instr(inner, "|") + 1, F.length(inner))).otherwise(inner)
+    is_link = p.startswith("[[")
+    return F.struct(F.when(is_link, anchor).otherwise(p).alias("t"), F.when(is_link, target).alias("target"))
+
+
+def parse_markup(df: DataFrame, markup_col: str = "markup") -> DataFrame:
     """Adds ``plain`` (text), ``links`` (array<description,end,id,start>) and
-    ``paragraphsLink`` to every row of ``df``; other columns are kept."""
+    ``paragraphsLink`` to every row of ``df``; other columns are kept, null markup is empty."""
     keep = [c for c in df.columns if c != markup_col]
-    base = df.select(*keep, clean_markup(F.coalesce(F.col(markup_col), F.lit(""))).alias("_clean")).repartition(id_col)
-    base = base.withColumn("paragraphsLink", _paragraphs(F.col("_clean")))
-    exploded = base.select(*keep, "paragraphsLink",
-                           F.posexplode_outer(F.regexp_extract_all("_clean", F.lit(PIECE_PATTERN), 0)).alias("pos", "piece"))
-    # Only the link alternative of PIECE_PATTERN yields a piece that starts with "[["
-    # (an unclosed "[[" splits into single "[" pieces), so no anchored regex is needed.
-    is_link = F.col("piece").startswith("[[")
-    exploded = exploded.withColumn("inner_", F.regexp_extract("piece", r"^\[\[(.*)\]\]$", 1))
-    has_pipe = F.instr("inner_", "|") > 0
-    target = F.trim(F.when(has_pipe, F.substring_index("inner_", "|", 1)).otherwise(F.col("inner_")))
-    anchor = F.when(has_pipe, F.expr("substring(inner_, instr(inner_, '|') + 1)")).otherwise(F.col("inner_"))
-    exploded = exploded.select(*keep, "paragraphsLink", "pos", is_link.alias("is_link"),
-                               F.when(is_link, anchor).otherwise(F.col("piece")).alias("text_piece"),
-                               F.when(is_link, target).alias("target"))
-    w = Window.partitionBy(id_col).orderBy("pos")
-    exploded = exploded.withColumn(
-        "start", F.coalesce(F.sum(F.length("text_piece")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                            F.lit(0)).cast("long"))
-    link = F.when(F.col("is_link"), F.struct(
-        F.col("text_piece").alias("description"),
-        (F.col("start") + F.length("text_piece")).cast("long").alias("end"),
-        F.col("target").alias("id"), F.col("start").alias("start")))
-    grouped = exploded.groupBy(*keep).agg(
-        F.first("paragraphsLink").alias("paragraphsLink"),
-        F.array_sort(F.collect_list(F.struct("pos", F.coalesce("text_piece", F.lit("")).alias("t")))).alias("_pieces"),
-        F.array_sort(F.collect_list(F.struct(F.col("pos"), link.alias("l")))).alias("_links"))
-    return grouped.select(
-        *keep,
-        F.array_join(F.transform("_pieces", lambda x: x["t"]), "").alias("plain"),
-        F.transform(F.filter("_links", lambda x: x["l"].isNotNull()), lambda x: x["l"])
-        .cast(S.ARTICLE["links"].dataType).alias("links"),
-        F.col("paragraphsLink").cast(S.ARTICLE["paragraphsLink"].dataType).alias("paragraphsLink"))
+    base = df.select(*keep, clean_markup(F.coalesce(F.col(markup_col), F.lit(""))).alias("_clean"))
+    base = base.withColumn("_parts", F.transform(F.regexp_extract_all("_clean", F.lit(PIECE_PATTERN), 0), _piece))
+    base = base.withColumn("_at", tx.starts(F.col("_parts.t")))
+
+    def link(x, i):
+        start = F.get("_at", i)
+        return F.struct(x["t"].alias("description"), (start + F.length(x["t"])).alias("end"),
+                        x["target"].alias("id"), start.alias("start"))
+
+    links = F.filter(F.transform("_parts", link), lambda x: x["id"].isNotNull())
+    return base.select(
+        *keep, F.array_join(F.col("_parts.t"), "").alias("plain"),
+        links.cast(S.ARTICLE["links"].dataType).alias("links"),
+        _paragraphs(F.col("_clean")).cast(S.ARTICLE["paragraphsLink"].dataType).alias("paragraphsLink"))

@@ -64,7 +64,7 @@ def test_resolve_targets_exact_then_folded(spark):
 @given(st.dictionaries(st.integers(0, 12), st.integers(0, 15), min_size=1, max_size=13))
 def test_doubling_equals_walk_rule(spark, graph):
     m = {str(k): str(v) for k, v in graph.items()}
-    got = dict(rows(rd.resolve_doubling(edges_df(spark, list(m.items()))), "title", "final"))
+    got = dict(rows(rd.resolve(edges_df(spark, list(m.items()))), "title", "final"))
     assert got == {s: walk(m, s) for s in m}
 
 
@@ -72,13 +72,6 @@ def test_doubling_long_chain_and_fixture(spark):
     chain = [(str(i), str(i + 1)) for i in range(200)] + [("x", "y"), ("y", "x"), ("s", "s"),
                                                           ("t", "p"), ("p", "q"), ("q", "r"), ("r", "p")]
     m = dict(chain)
-    got = dict(rows(rd.resolve_doubling(edges_df(spark, chain)), "title", "final"))
+    got = dict(rows(rd.resolve(edges_df(spark, chain)), "title", "final"))
     assert got == {s: walk(m, s) for s in m}
     assert got["0"] == "200"
-
-
-def test_frontier_switches_to_doubling(spark):
-    chain = [(str(i), str(i + 1)) for i in range(40)] + [("a", "b"), ("b", "a")]
-    m = dict(chain)
-    got = dict(rows(rd.resolve(edges_df(spark, chain), switch_after=4), "title", "final"))
-    assert got == {s: walk(m, s) for s in m}

@@ -104,3 +104,41 @@ def test_link_spans_are_true_offsets(spark):
                                                    (1, "Z", ""), (1, "E", ""), (1, "F", "f")]
     facts = ex.link_facts(pg.article_rows(pt)).select("uri").collect()
     assert sorted(r["uri"] for r in facts) == ["A", "B", "C", "E", "F"]
+
+
+def test_nested_markup_and_silent_links(spark):
+    from linkstats.sources import wikitext as wt
+    markup = ["x{{a|{{b}} tail}}y", "[[File:x.jpg|thumb|A [[cap]]]]Berlin [[Category:Cities]]", "{{open [[l]] end", "a }} b ]] c", None,
+              "{{t [[u }}v]] [[image : z]]w"]
+    df = spark.createDataFrame(list(enumerate(markup)), "wid long, markup string")
+    got = {r["wid"]: r for r in wt.parse_markup(df).collect()}
+    assert [got[i]["plain"] for i in range(6)] == ["xy", "Berlin ", "{{open l end", "a }} b ]] c", "", "v]] w"]
+    assert [[l["id"] for l in got[i]["links"]] for i in range(6)] == [[], [], ["l"], [], [], []]
+
+
+def test_pages_without_ids_stay_apart(spark):
+    from linkstats.sources import wikitext as wt
+    df = spark.createDataFrame([(None, "T", "one [[a]]"), (None, "T", "two [[b]]")], "wid long, wikiTitle string, markup string")
+    assert rows(wt.parse_markup(df), "plain") == [("one a",), ("two b",)]
+
+
+def test_xml_namespaces_and_quarantine(spark):
+    folder = tempfile.mkdtemp(prefix="linkstats-xml-")
+    page = "<page><title>{}</title><ns>{}</ns><id>{}</id><revision><text>see [[A]]</text></revision></page>"
+    with open(os.path.join(folder, "d.xml"), "w") as f:
+        f.write("<mediawiki>" + "".join(page.format(*x) for x in [
+            ("A", 0, 1), ("Talk:A", 1, 2), ("Bad", 0, "x1"), ("Bad", 0, "x2")]) + "</mediawiki>")
+    good, bad = src.split_corrupt(src.read_xml_articles(spark, folder))
+    assert rows(good, "wid", "type") == [(1, "ARTICLE"), (2, "OTHER")]
+    assert len(bad.collect()) == 2 and all("Bad" in r["_corrupt_record"] for r in bad.collect())
+    assert rows(ex.link_facts(good), "wid", "uri") == [(1, "A")]
+
+
+def test_run_stats_leaves_only_its_output(spark, fixtures_dir):
+    from linkstats import session as sess
+    base = sess.ensure_checkpoint_dir(spark).removeprefix("file:") + "/tables"
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    out = tempfile.mkdtemp(prefix="linkstats-run-")
+    jobs.run_stats(src.read_xml_articles(spark, os.path.join(fixtures_dir, "mini.xml")), out, algorithm="porter")
+    assert sorted(os.listdir(out)) == ["PairCounts", "TokenCounts", "TotalSfCounts", "UriCounts"]
+    assert set(os.listdir(base)) == before
