@@ -28,6 +28,7 @@ ANCHOR_PATTERN = r'<a href="/([^"]*)">([^<]*)</a>'
 # An opening <p> becomes a paragraph break so unclosed paragraphs end at the next one.
 P_OPEN_PATTERN = r"(?i)<p(\s[^>]*)?>"
 PARAGRAPH_PATTERN = r"(?s)<p>(.*?)</p>"
+LIST_PATTERN = r"(?is)<[uo]l[^>]*>(.*?)</[uo]l>"
 
 # The character references decoded in page text, in decoding order
 # (&amp; last so that "&amp;lt;" stays "&lt;").

@@ -163,10 +163,13 @@ RESOLVED_CYCLIC = recursive_resolve_cte("resolved_c", "cyclic_edges_u")
 
 UP = f"""up AS (SELECT DISTINCT t.uri, s.id AS para_key FROM para_spots s
         JOIN (SELECT uri, regexp_extract_all(sf, '{W}') AS toks FROM v_titles) t ON s.toks = t.toks)"""
-LINKED_PARAGRAPHS = f"""up AS (SELECT DISTINCT uri, sha256(para) AS para_key FROM (
-        SELECT {clean('raw')} AS para, unnest(regexp_extract_all(raw, '<a href="/([^"]*)">([^<]*)</a>', 1)) AS uri FROM (
+LINKED_PARAGRAPHS = f"""blocks AS (SELECT raw, {clean('raw')} AS para FROM (
           SELECT unnest(regexp_extract_all(regexp_replace(body, '(?i)<p(\\s[^>]*)?>', '</p><p>', 'g'),
-                                           '(?s)<p>(.*?)</p>', 1)) AS raw FROM bodies)) WHERE para <> '')"""
+                                           '(?s)<p>(.*?)</p>', 1)) AS raw FROM bodies
+          UNION ALL SELECT unnest(regexp_extract_all(body, '(?is)<[uo]l[^>]*>(.*?)</[uo]l>', 1)) AS raw FROM bodies)),
+    v_paragraphs AS (SELECT DISTINCT sha256(para) AS para_key, para FROM blocks WHERE para <> ''),
+    up AS (SELECT DISTINCT uri, sha256(para) AS para_key FROM (
+        SELECT para, unnest(regexp_extract_all(raw, '<a href="/([^"]*)">([^<]*)</a>', 1)) AS uri FROM blocks WHERE para <> ''))"""
 STOPS = "stops AS (SELECT DISTINCT " + s_stem("lower(w)") + " AS stem FROM (SELECT unnest(regexp_extract_all(x, '" + W + "')) AS w FROM (SELECT unnest([" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]) AS x)))"
 PTC = f"""ptc AS (SELECT para_key, stem, count(*) AS n FROM (
         SELECT para_key, {s_stem('lower(w)')} AS stem FROM (
@@ -265,7 +268,7 @@ def queries() -> dict[str, str]:
     q["context_vectors_topk"] = _q(CONTEXT, [PARA_SPOTS, UP, STOPS, PTC, TC], vec(10))
 
     q["article_uri_paragraphs"] = _q(["bodies"], [LINKED_PARAGRAPHS], "SELECT uri, para_key FROM up")
-    q["stats_job_token_counts"] = _q(["v_paragraphs"], [LINKED_PARAGRAPHS, STOPS, PTC, TC], vec(10 ** 12))
+    q["stats_job_token_counts"] = _q(["bodies"], [LINKED_PARAGRAPHS, STOPS, PTC, TC], vec(10 ** 12))
 
     q["rewrite_text"] = _q(["texts", "v_links", "redirect_edges_u"],
                            [ANCHOR_SPOTS, SFMAP, RESOLVED, TARGETS.format(src="linked"),

@@ -67,12 +67,14 @@ def _paragraph_array(body) -> F.Column:
 
 
 def _paragraph_links(body) -> F.Column:
-    """Paragraphs with the ids of the links inside them, as the article schema holds them."""
+    """Paragraphs and lists with the ids of the links inside them, as the article schema
+    holds its paragraphs."""
     def one(raw):
         ids = F.regexp_extract_all(raw, tx.lit_re(tx.ANCHOR_PATTERN), 1)
         return F.struct(tx.markup_to_text(raw).alias("paraText"), F.transform(ids, lambda x: F.struct(x.alias("id"))).alias("links"))
 
-    paragraphs = F.filter(F.transform(_raw_paragraphs(body), one), lambda p: p["paraText"] != "")
+    blocks = F.concat(_raw_paragraphs(body), F.regexp_extract_all(body, tx.lit_re(tx.LIST_PATTERN), 1))
+    paragraphs = F.filter(F.transform(blocks, one), lambda p: p["paraText"] != "")
     return paragraphs.cast(S.ARTICLE["paragraphsLink"].dataType)
 
 
