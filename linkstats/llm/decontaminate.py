@@ -4,8 +4,8 @@ Words are lower-cased runs of letters, digits and non-ASCII characters. Every pl
 every benchmark item and of every document is hashed under a few fixed masks that look at
 ``WEIGHT`` of ``SPAN`` neighbouring words and ignore the others, so that a substituted word
 leaves some mask untouched. Test and training hashes are joined, and around each hit the two
-texts are laid side by side: of the aligned words the best segment (a match counts 1, a
-mismatch -4, so at least 80 % match) is an overlap when it has ``MIN_WORDS`` words, or the
+texts are laid side by side: of the aligned words the longest segment that begins and ends on
+a match and of which at least 80 % match is an overlap when it has ``MIN_WORDS`` words, or the
 whole item where that is shorter.
 
 The test side is joined from memory in blocks of at most ``block_words`` words, a stated bound
@@ -106,15 +106,17 @@ class Seeds:
 
 
 def best_overlap(equal: np.ndarray, least: int) -> int:
-    """Length of the best segment (match 1, mismatch -4) if it has ``least`` words, else 0."""
-    best, best_len, total, start = 0, 0, 0, 0
-    for i, e in enumerate(equal.tolist()):
-        total += 1 if e else -4
-        if total <= 0:
-            total, start = 0, i + 1
-        elif total > best:
-            best, best_len = total, i + 1 - start
-    return best_len if best_len >= least else 0
+    """Length of the longest segment that begins and ends on a match and has at least four
+    matches in five words, if it has ``least`` words, else 0."""
+    at = np.flatnonzero(equal)
+    if 5 * len(at) < 4 * least:
+        return 0
+    # With 1 for a match and -4 for a mismatch, a segment qualifies if its sum is not below 0.
+    before = 5 * np.arange(len(at)) - 4 * at
+    best_end = np.maximum.accumulate(before[::-1] + 1)[::-1]
+    last = np.searchsorted(-best_end, -before, side="right") - 1
+    longest = int((at[last] - at).max()) + 1
+    return longest if longest >= least else 0
 
 
 def seed_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on edge cases and on the small tables."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -219,6 +220,32 @@ def test_decontamination(spark, docs):
     assert not decontaminate.overlaps(docs, bench.limit(0)).where("contaminated").count()
 
 
+def longest_by_trial(equal, least):
+    """All segments that begin and end on a match, with four matches in five words."""
+    n = [j - i for i in range(len(equal)) for j in range(i + 1, len(equal) + 1)
+         if equal[i] and equal[j - 1] and 5 * sum(equal[i:j]) >= 4 * (j - i)]
+    return max(n, default=0) if max(n, default=0) >= least else 0
+
+
+def test_best_overlap_is_the_longest_segment():
+    wrong = []
+    for n in range(13, 26):
+        for changed in (c for k in (1, 2, 3) for c in itertools.combinations(range(n), k)):
+            equal = [i not in changed for i in range(n)]
+            # the whole is the longest where it qualifies; else all segments are tried
+            inner = 5 * len(changed) <= n and 0 not in changed and n - 1 not in changed
+            want = n if inner else longest_by_trial(equal, 13)
+            if decontaminate.best_overlap(np.array(equal), 13) != want:
+                wrong.append((n, changed))
+    assert not wrong
+    r = random.Random(4)
+    for _ in range(400):
+        equal = [r.random() < r.choice((0.7, 0.8, 0.9)) for _ in range(r.randint(0, 45))]
+        assert decontaminate.best_overlap(np.array(equal, dtype=bool), 13) == longest_by_trial(equal, 13)
+    every_fifth = np.arange(1, 101) % 5 != 0
+    assert decontaminate.best_overlap(every_fifth, 13) == 99
+
+
 def test_toxicity_counterfactual(spark):
     r = random.Random(1)
     vocab = [f"word{i}" for i in range(80)]
