@@ -1,17 +1,21 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 Words are lower-cased runs of letters, digits and non-ASCII characters. Every place of
-every benchmark item and of every document is hashed under a few fixed masks that look at
-``WEIGHT`` of ``SPAN`` neighbouring words and ignore the others, so that a substituted word
-leaves some mask untouched. Test and training hashes are joined, and around each hit the two
+every benchmark item and of every document is hashed under a few fixed masks that look at six
+words and ignore those between them, so that substituted words leave some mask untouched. The
+masks are computed, not drawn: every window of 13 to 25 words of which 80 % match, whichever
+they are, is hit by one of them. A longer overlap can be halved until it is such a window, as
+one half always keeps the share. Test and training hashes are joined, and around each hit the two
 texts are laid side by side: of the aligned words the longest segment that begins and ends on
 a match and of which at least 80 % match is an overlap when it has ``MIN_WORDS`` words, or the
 whole item where that is shorter.
 
 The test side is joined from memory in blocks of at most ``block_words`` words, a stated bound
 whatever the benchmark's size; each block is matched against all documents, which are never
-shuffled. Items shorter than ``SPAN`` words are hashed whole; items of fewer than
-``MIN_ITEM`` words are too common to be evidence and match nothing.
+shuffled. Items of fewer than ``MIN_WORDS`` words are hashed whole, with as many places ignored
+as may differ, and match where the whole item lies in the document and 80 % of its words, end
+words or others, match. Items of fewer than ``MIN_ITEM`` words are too common to be evidence
+and match nothing.
 
 Defined results: null or empty texts and items match nothing; repeated rows give repeated
 results; repeated items are matched alike; other columns are ignored, whatever their names;
@@ -21,6 +25,8 @@ an empty table gives no rows, an empty benchmark marks nothing.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +38,11 @@ from linkstats.llm import wordhash as wh
 from linkstats.llm.common import map_arrow, table
 
 # The masks; 1 marks a word that counts.
-MASKS = ("111010011011", "110110101101", "101101100111")
-SPAN, WEIGHT, MIN_WORDS, MIN_ITEM = 12, 8, 13, 5
+MASKS = ("1110111", "11100001011", "11011001001")
+MIN_WORDS, MIN_ITEM = 13, 5
 BLOCK_WORDS = 500_000
 _FILTER_BITS = 22
+_COMPARED_WORDS = 1 << 20
 _SCALE = np.random.default_rng(77).integers(1, 1 << 62, 64, dtype=np.uint64) * 2 + 1
 
 
@@ -57,16 +64,28 @@ def hash_of_mask(mask: str) -> int:
 
 def masks_of(n_words: int) -> tuple[str, ...]:
     """The masks for an item of so many words."""
-    if n_words >= SPAN:
+    if n_words >= MIN_WORDS:
         return MASKS
-    return ("1" * n_words,) if n_words >= MIN_ITEM else ()
+    return _whole_masks(n_words) if n_words >= MIN_ITEM else ()
+
+
+@lru_cache
+def _whole_masks(n_words: int) -> tuple[str, ...]:
+    """Masks over a whole short item: of its pieces, each ignores as many as words may differ."""
+    differ = n_words // 5
+    pieces = [set(p.tolist()) for p in np.array_split(np.arange(n_words), differ + 2)]
+    return tuple("".join("0" if i in set().union(*out) else "1" for i in range(n_words))
+                 for out in combinations(pieces, differ))
 
 
 class Seeds:
     """The seeds of one block of items, sorted by hash."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]]):
-        self.items, self.masks = items, sorted({m for _, w in items for m in masks_of(len(w))})
+        self.items, self.size = items, np.array([len(w) for _, w in items], dtype=np.int64)
+        self.words = np.concatenate([w for _, w in items] or [np.zeros(0, np.uint64)])
+        self.first = np.cumsum(self.size) - self.size
+        self.masks = sorted({m for _, w in items for m in masks_of(len(w))})
         found = [(seed_hashes(w, m), k) for k, (_, w) in enumerate(items) for m in masks_of(len(w))]
         self.hash = np.concatenate([h for h, _ in found] or [np.zeros(0, np.uint64)])
         self.item = np.concatenate([np.full(len(h), k) for h, k in found] or [np.zeros(0, np.int64)]).astype(np.int32)
@@ -95,13 +114,28 @@ class Seeds:
         place, seed = np.concatenate(place), np.concatenate(seed)
         row = np.searchsorted(offsets, place, side="right") - 1
         diagonals = np.unique(np.stack([row, self.item[seed], place - self.at[seed]], axis=1), axis=0)
-        out = []
-        for r, k, d in diagonals.tolist():
-            item = self.items[k][1]
-            lo, hi = max(d, int(offsets[r])), min(d + len(item), int(offsets[r + 1]))
-            n = best_overlap(words[lo:hi] == item[lo - d:hi - d], min(MIN_WORDS, len(item)))
-            if n:
-                out.append((r, k, n))
+        row, k, d = diagonals.T
+        lo, hi = np.maximum(d, offsets[row]), np.minimum(d + self.size[k], offsets[row + 1])
+        least = np.minimum(MIN_WORDS, self.size[k])
+        long = hi - lo >= least
+        row, k, d, lo, hi, least = (x[long] for x in (row, k, d, lo, hi, least))
+        out, ends = [], np.cumsum(hi - lo)
+        a = 0
+        while a < len(row):  # the words of many pairs are compared at once
+            done = ends[a - 1] if a else 0
+            b = max(a + 1, int(np.searchsorted(ends, done + _COMPARED_WORDS, side="right")))
+            n = (hi - lo)[a:b]
+            at = np.cumsum(n) - n
+            here = np.repeat(lo[a:b] - at, n) + np.arange(n.sum())
+            equal = words[here] == self.words[here + np.repeat((self.first[k] - d)[a:b], n)]
+            enough = 5 * np.add.reduceat(equal, at, dtype=np.int64) >= 4 * least[a:b]
+            for i in np.flatnonzero(enough).tolist():
+                item = int(k[a + i])
+                size = int(self.size[item])
+                found = size if size < MIN_WORDS else best_overlap(equal[at[i]:at[i] + n[i]], MIN_WORDS)
+                if found:
+                    out.append((int(row[a + i]), item, found))
+            a = b
         return out
 
 

@@ -246,6 +246,42 @@ def test_best_overlap_is_the_longest_segment():
     assert decontaminate.best_overlap(every_fifth, 13) == 99
 
 
+def test_seeds_hit_every_pattern_of_the_threshold():
+    for n in range(13, 26):  # with the most changes 80 % allow; fewer are included
+        changed = np.array([sum(1 << i for i in c) for c in itertools.combinations(range(n), n // 5)])
+        hit = np.zeros(len(changed), dtype=bool)
+        for mask in decontaminate.masks_of(n):
+            bits = sum(1 << i for i, bit in enumerate(mask) if bit == "1")
+            for place in range(n - len(mask) + 1):
+                hit |= changed & (bits << place) == 0
+        assert hit.all(), n
+    for n in range(5, 13):
+        for c in itertools.combinations(range(n), n // 5):
+            assert any(all(m[i] == "0" for i in c) for m in decontaminate.masks_of(n)), (n, c)
+
+
+def test_decontamination_of_changed_passages(spark):
+    sizes = [*range(3, 26), 30, 35, 40]
+    items = {n: [f"i{n}w{i}" for i in range(n)] for n in sizes}
+    r, cases = random.Random(8), []
+    for n in sizes:
+        every = list(itertools.combinations(range(n), n // 5))
+        for c in every if len(every) <= 60 else r.sample(every, 60):
+            for extra in ((), (r.randrange(n),), tuple(r.sample(range(n), 2))):
+                changed = {*c, *extra}
+                equal = [i not in changed for i in range(n)]
+                hit = 5 * sum(equal) >= 4 * n if n < 13 else longest_by_trial(equal, 13) > 0
+                text = ["before", "it", *(w if e else "other" for w, e in zip(items[n], equal)), "after"]
+                cases.append((len(cases), " ".join(text), [n] if hit and n >= 5 else []))
+    cases.append((len(cases), " ".join(items[8][:7]), []))  # the end of the item is not there
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    df = spark.createDataFrame([c[:2] for c in cases], "doc_id long, text string")
+    got = {x.doc_id: x.item_ids for x in decontaminate.overlaps(df, bench).collect()}
+    assert [(c[1], got[c[0]]) for c in cases if got[c[0]] != c[2]] == []
+    kept = sorted(x.doc_id for x in decontaminate.drop_contaminated(df, bench).collect())
+    assert kept == [c[0] for c in cases if not c[2]]
+
+
 def test_toxicity_counterfactual(spark):
     r = random.Random(1)
     vocab = [f"word{i}" for i in range(80)]
