@@ -1,20 +1,21 @@
 """Main text of pages, with the boilerplate of a host found by its repeated token runs.
 
-Each page is cut into blocks in page order. Blocks inside ``article`` or ``main`` are content.
-All other visible blocks form the page's outer token stream. The suffixes of the outer
-streams of a host, cut to ``window`` tokens and fingerprinted, are its suffix array: equal
-neighbours are long substrings, and a window found in two distinct streams of the host is
-repeated. A block covered by repeated windows is boilerplate; unique runs stay. Of outer
-blocks, those in elements that are boilerplate by their tag, class or id go as well. A page
-with content blocks gives those, any other page what is left of its outer blocks.
-
-Fingerprints are counted with partial aggregates by (host, window), so a host with a third of
-all pages is spread over the cluster, and no host's pages meet in one task.
+Each page is cut into blocks in page order. Blocks in elements that are boilerplate by their
+tag, class or id go. Of the others, inside ``article`` or ``main`` or not, the suffixes of every
+block, cut to ``window`` tokens and fingerprinted, are counted over the pages of the host: a
+window is repeated if at least ``MIN_PAGES`` distinct pages and at least ``SHARE`` of the
+host's distinct pages hold it. A block that repeated windows cover is boilerplate; unique runs
+stay. A page with blocks left or removed inside ``article`` or ``main`` gives those left there,
+any other page what is left of its blocks.
+
+Pages are distinct if the ``KIND`` least fingerprints of their word pairs differ: equal pages
+count as one, and so do most that differ in a few words. Fingerprints are counted with partial aggregates by
+(host, window) over one page of each kind, so a host with a third of all pages is spread over
+the cluster, and no host's pages meet in one task.
 
 Defined results: a null html is empty and gives an empty text; a null url is the empty host;
-repeated rows give repeated results, and equal outer streams count as one page, so a page
-crawled twice does not erase itself; other columns are ignored, whatever their names; an
-empty table gives no rows.
+repeated rows give repeated results, and a page crawled twice does not erase itself; other
+columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkstats.llm.common import map_arrow, same, table
+from linkstats.llm.common import map_arrow, table
 from linkstats.llm.wordhash import mix, words_of
-from linkstats.session import materialize
+from linkstats.session import checked_broadcast, materialize
 
 WINDOW = 8
+MIN_PAGES, SHARE, KIND = 3, 0.5, 4
 # Element names of HTML.
 SKIPPED = frozenset("head nav header footer aside form script style noscript template iframe object embed svg math canvas "
                     "select option button textarea label fieldset dialog menu audio video map title".split())
@@ -127,27 +129,34 @@ def page_blocks(html: str) -> list[tuple[str, bool, bool]]:
     return out
 
 
-def _windows(texts: list[str], host: str, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(fingerprint of the ``window`` tokens from each place of the stream, words of each text)."""
+def _windows(texts: list[str], host: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fingerprint of the ``window`` tokens from each place of each text, whole texts where
+    shorter; the first token of each; token offsets of the texts)."""
     raw = [t.encode() for t in texts]
     data = np.frombuffer(b"".join(raw), dtype=np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
     words, at = words_of(data, offsets)
-    n = len(words)
-    k = min(window, n)
-    if n == 0:
-        return words.view(np.int64), at
-    acc = np.full(n - k + 1, int.from_bytes(hashlib.blake2b(host.encode(), digest_size=8).digest(), "little"), dtype=np.uint64)
-    for i in range(k):
-        acc = mix(acc + words[i:n - k + 1 + i])
-    return acc.view(np.int64), at
+    if len(words) == 0:
+        return words.view(np.int64), at[:0], at
+    size = np.diff(at)
+    k = np.minimum(window, size)
+    n = np.where(size > 0, size - k + 1, 0)
+    first = np.repeat(at[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    k = np.repeat(k, n)
+    acc = np.full(len(first), host % (1 << 64), dtype=np.uint64) + k.astype(np.uint64)
+    for i in range(window):
+        inside = i < k
+        acc[inside] = mix(acc[inside] + words[first[inside] + i])
+    return acc.view(np.int64), first, at
+
+
+PARSED = "page_id long, url string, host long, blocks array<string>, content array<boolean>, kind long, windows array<long>"
+_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.int64()), ("blocks", pa.list_(pa.string())),
+                     ("content", pa.list_(pa.bool_())), ("kind", pa.int64()), ("windows", pa.list_(pa.int64()))])
 
 
-PARSED = "page_id long, url string, row long, host string, has_content boolean, text string, outer array<string>, " \
-         "skipped array<boolean>, stream long, windows array<long>"
-_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("row", pa.int64()), ("host", pa.string()),
-                     ("has_content", pa.bool_()), ("text", pa.string()), ("outer", pa.list_(pa.string())),
-                     ("skipped", pa.list_(pa.bool_())), ("stream", pa.int64()), ("windows", pa.list_(pa.int64()))])
+def _signed(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
 def _parse(window: int):
@@ -155,30 +164,31 @@ def _parse(window: int):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 rows = []
-                for page_id, url, row, html in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns)):
-                    host = re.sub(r"(?s)^.*?://([^/?#]*).*$", r"\1", url).lower() if "://" in (url or "") else ""
-                    blocks = page_blocks(html or "")
-                    inner = [t for t, content, skip in blocks if content and not skip]
-                    outer = [(t, skip) for t, content, skip in blocks if not content or skip]
-                    marks, _ = _windows([t for t, _ in outer], host, window)
-                    stream = hashlib.blake2b("\n".join(t for t, _ in outer).encode(), digest_size=8).digest()
-                    rows.append((page_id, url, row, host, bool(inner), " ".join(inner),
-                                 [] if inner else [t for t, _ in outer], [] if inner else [s for _, s in outer],
-                                 int.from_bytes(stream, "little", signed=True), np.unique(marks).tolist()))
+                for page_id, url, html in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns)):
+                    host = _signed(re.sub(r"(?s)^.*?://([^/?#]*).*$", r"\1", url).lower() if "://" in (url or "") else "")
+                    blocks = [(t, content) for t, content, skip in page_blocks(html or "") if not skip]
+                    marks = np.unique(_windows([t for t, _ in blocks], host, window)[0])
+                    pairs = np.unique(_windows([t for t, _ in blocks], host, 2)[0])
+                    kind = _signed(",".join(map(str, pairs[:KIND].tolist())))
+                    rows.append((page_id, url, host, [t for t, _ in blocks], [c for _, c in blocks], kind, marks.tolist()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PARSED)], schema=_PARSED)
     return run
 
 
-def unique_blocks(outer: list[str], skipped: list[bool], host: str, repeated: set[int], window: int) -> str:
-    """The outer blocks that repeated windows do not cover and that are no boilerplate."""
-    marks, at = _windows(outer, host, window)
-    covered = np.zeros(int(at[-1]) + 1, dtype=np.int64)
-    k = min(window, int(at[-1]))
-    for i in np.flatnonzero(np.isin(marks, np.fromiter(repeated, dtype=np.int64, count=len(repeated)))):
-        covered[i] += 1
-        covered[i + k] -= 1
-    covered = np.cumsum(covered[:-1]) > 0
-    return " ".join(t for i, t in enumerate(outer) if not skipped[i] and not covered[at[i]:at[i + 1]].all())
+def unique_blocks(blocks: list[str], content: list[bool], host: int, repeated: list[int], window: int) -> str:
+    """The content blocks, or on a page without such all blocks, that repeated windows do not cover."""
+    covered = np.zeros(len(blocks), dtype=bool)
+    if repeated:
+        marks, first, at = _windows(blocks, host, window)
+        change = np.zeros(int(at[-1]) + 1, dtype=np.int64)
+        hit = first[np.isin(marks, np.array(repeated, dtype=np.int64))]
+        end = np.minimum(hit + window, at[np.searchsorted(at, hit, side="right")])
+        np.add.at(change, hit, 1)
+        np.add.at(change, end, -1)
+        bare = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1]) <= 0)])
+        covered = (bare[at[1:]] == bare[at[:-1]]) & (at[1:] > at[:-1])
+    inner = any(content)
+    return " ".join(t for t, c, gone in zip(blocks, content, covered) if not gone and (c or not inner))
 
 
 _TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
@@ -187,8 +197,8 @@ _TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.s
 def _assemble(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(page_id, url, unique_blocks(outer, skipped, host, set(marks or ()), window))
-                    for page_id, url, host, outer, skipped, marks in zip(*(c.to_pylist() for c in batch.columns))]
+            rows = [(page_id, url, unique_blocks(blocks, content, host, marks or [], window))
+                    for page_id, url, host, blocks, content, marks in zip(*(c.to_pylist() for c in batch.columns))]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _TEXTS)], schema=_TEXTS)
     return run
@@ -198,20 +208,23 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                  window: int = WINDOW) -> DataFrame:
     """(page_id, url, text) for every page."""
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
-                        F.xxhash64(id_col, url_col, html_col).alias("row"), F.col(html_col).cast("string").alias("html"))
-    parsed = materialize(map_arrow(rows, _parse(window), PARSED), "html_parsed")
-    marks = parsed.select("stream", F.explode("windows").alias("mark"))
-    repeated = (marks.groupBy("mark").agg(F.min("stream").alias("a"), F.max("stream").alias("b"))
-                .where("a <> b").select("mark"))
-    plain = parsed.where("has_content").select("page_id", "url", "text")
-    bare = parsed.where("not has_content")
-    wanted = bare.select("page_id", "row", F.explode("windows").alias("mark"))
-    found = wanted.join(repeated, "mark").groupBy("page_id", "row").agg(F.collect_set("mark").alias("marks"))
-    f = found.select(F.col("page_id").alias("f_id"), F.col("row").alias("f_row"), "marks")
-    joined = bare.join(f, same(bare["page_id"], f["f_id"]) & (bare["row"] == f["f_row"]), "left")
-    rest = map_arrow(joined.select("page_id", "url", "host", "outer", "skipped", "marks"), _assemble(window),
+                        F.col(html_col).cast("string").alias("html"))
+    parsed = materialize(map_arrow(rows, _parse(window), PARSED).withColumn("row", F.expr("uuid()")), "html_parsed")
+    kinds = materialize(parsed.groupBy("host", "kind").agg(F.min("row").alias("row")), "html_kinds")
+    sizes = kinds.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= MIN_PAGES)
+    one = parsed.select("host", "row", "windows").join(checked_broadcast(kinds.select("row")), "row", "left_semi")
+    counted = (one.join(checked_broadcast(sizes.select("host")), "host", "left_semi")
+               .select("host", F.explode("windows").alias("mark"))
+               .groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.min("host").alias("host")).where(F.col("n") >= MIN_PAGES))
+    repeated = materialize(counted.join(checked_broadcast(sizes), "host").where(F.col("n") >= SHARE * F.col("pages")).select("host", "mark"),
+                           "html_repeated")
+    wanted = (parsed.join(checked_broadcast(repeated.select("host").distinct()), "host", "left_semi")
+              .select("row", F.explode("windows").alias("mark")))
+    found = (wanted.join(checked_broadcast(repeated.select("mark")), "mark")
+             .groupBy("row").agg(F.collect_set("mark").alias("marks")))
+    joined = parsed.drop("windows").join(found, "row", "left")
+    return map_arrow(joined.select("page_id", "url", "host", "blocks", "content", "marks"), _assemble(window),
                      "page_id long, url string, text string")
-    return plain.unionByName(rest)
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -201,6 +201,29 @@ def test_html(spark):
                    3: "second text of its own that no other page has got in it", 4: "", 5: "cut off &am"}
 
 
+def test_html_repeats_inside_articles(spark):
+    r = random.Random(6)
+
+    def own(n=30):
+        return " ".join(f"w{r.randrange(10_000)}" for _ in range(n))
+    advert, shared = "Buy the new lamp of our partner today and save a lot", own(12)
+    rows, want = [], {}
+    for i in range(12):  # an advert on most pages, a passage on a few, a short notice on all
+        a, b = own(), own()
+        some = [shared] if i < 4 else []
+        rows.append((i, "http://h/x", "<article>" + "".join(f"<p>{t}</p>" for t in (a, *([advert] if i < 9 else []), "Read on", *some, b)) + "</article>"))
+        want[i] = " ".join((a, *some, b))
+    for i in range(12, 40):  # one page crawled often does not erase itself
+        rows.append((i, "http://copies/x", f"<article><p>{shared}</p><p>{advert}</p></article>"))
+        want[i] = f"{shared} {advert}"
+    for i in range(40, 46):  # without article: what only two pages share stays
+        a = own()
+        rows.append((i, "http://bare/x", f"<div>{a}</div>" + (f"<div>{shared}</div>" if i < 42 else "") + f"<div>{advert}</div>"))
+        want[i] = f"{a} {shared}" if i < 42 else a
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {x.page_id: x.text for x in html_text.extract_text(df).collect()} == want
+
+
 def test_decontamination(spark, docs):
     r = random.Random(2)
     item = [f"w{r.randrange(500)}" for _ in range(40)]
