@@ -104,7 +104,8 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Upper bound of the payload of ``df``: string bytes plus 16 bytes per value.
+    """Upper bound of the payload of ``df``: string bytes plus 16 bytes per value; an array of
+    numbers takes 8 more for each element.
 
     One aggregate action; used to decide a broadcast on an exact, not estimated, size.
     """
@@ -117,6 +118,8 @@ def measured_bytes(df: DataFrame) -> int:
         elif t.startswith("array<string"):
             parts.append(F.coalesce(F.aggregate(c, F.lit(0).cast("long"),
                                                 lambda acc, x: acc + F.octet_length(x) + 16), F.lit(0)) + 16)
+        elif t.startswith("array<"):
+            parts.append(F.lit(16) + F.lit(8) * F.coalesce(F.size(c), F.lit(0)).cast("long"))
         else:
             parts.append(F.lit(16))
     row_size = parts[0]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from linkstats.llm import (chat, decontaminate, exact_dedup, html_text, line_dedup, mixing, near_dedup, suffix_dedup,
                            toxicity, urls)
+from linkstats.session import checked_broadcast, measured_bytes
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, source string, kept boolean, size long, rid long, component string"
@@ -224,6 +225,19 @@ def test_html_repeats_inside_articles(spark):
     assert {x.page_id: x.text for x in html_text.extract_text(df).collect()} == want
 
 
+def test_broadcast_guard_measures_arrays(spark):
+    df = spark.createDataFrame([(1, [1] * 1000), (2, []), (3, None)], "rid long, places array<long>")
+    assert 8000 + 6 * 16 - 8 <= measured_bytes(df) <= 8000 + 6 * 16
+    limit = "linkstats.broadcast.maxBytes"
+    try:
+        for size, broadcast in ((4_000, False), (9_000, True)):
+            spark.conf.set(limit, str(size))
+            plan = checked_broadcast(df)._jdf.queryExecution().logical().toString()
+            assert ("broadcast" in plan.lower()) == broadcast
+    finally:
+        spark.conf.unset(limit)
+
+
 def test_decontamination(spark, docs):
     r = random.Random(2)
     item = [f"w{r.randrange(500)}" for _ in range(40)]
