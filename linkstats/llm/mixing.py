@@ -9,9 +9,10 @@ with inclusion probability p = r - floor(r). Which ones is decided by the cube m
 vector of probabilities moves at random through the null space of the constraints (documents
 and words keep their totals) until at most two entries stay fractional. A source is cut into
 hash blocks of about ``block`` documents, each balanced by itself; the two entries that a
-block leaves meet again in the next level, until each source is one block. That one holds
-back ``HELD`` entries of all sizes and rounds them with its last two to the nearest word
-total (the landing). So a hot source is many tasks,
+block leaves meet again in the next level, until the source is one block. ``HELD`` entries of
+all sizes are held back, by that block or by those that meet in it, and are rounded with its
+last two to the nearest word total (the landing), whatever the size of other sources. So a
+hot source is many tasks,
 and every group has a bounded number of rows. Random numbers are seeded by source, level and
 block: reruns agree.
 
@@ -81,10 +82,12 @@ def flight(size: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> np.ndar
     return p
 
 
-def held_back(size: np.ndarray, count: int = HELD) -> np.ndarray:
-    """Up to ``count`` entries, evenly spaced by size, that wait for the landing."""
+def held_back(size: np.ndarray, count: int = HELD, block: int = 0, blocks: int = 1) -> np.ndarray:
+    """Up to ``count`` entries, evenly spaced by size, that wait for the landing; of several
+    blocks each holds its part of them."""
     order = np.argsort(size, kind="stable")
-    return order[np.unique(np.linspace(0, len(order) - 1, count).astype(int))] if len(order) else order
+    spaced = np.linspace(0, len(order) - 1, count).astype(int)[block::blocks]
+    return order[np.unique(spaced)] if len(order) else order
 
 
 def land(size: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -101,20 +104,21 @@ def land(size: np.ndarray, p: np.ndarray) -> np.ndarray:
     return p
 
 
-def _balance(level: int, last: bool):
+def _balance(level: int, fan: int):
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(["salt", "doc_id", "size"], kind="stable", na_position="last").reset_index(drop=True)
-        rng = np.random.default_rng([level, int(g["key"].iloc[0]) & (2**63 - 1), int(g["block"].iloc[0])])
+        block, blocks = int(g["block"].iloc[0]), int(g["blocks"].iloc[0])
+        rng = np.random.default_rng([level, int(g["key"].iloc[0]) & (2**63 - 1), block])
         size, p = g["size"].to_numpy(dtype=float), g["p"].to_numpy(dtype=float)
-        if not last:
+        if blocks > fan:
             g["p"] = flight(size, p, rng)
             return g
-        held = held_back(size)
+        held = held_back(size, block=block, blocks=blocks)  # the source lands here or in the next level
         moved = p.copy()
         moved[held] = 0.0  # flight() passes over them
         moved = flight(size, moved, rng)
         moved[held] = p[held]
-        g["p"] = land(size, moved)
+        g["p"] = land(size, moved) if blocks <= 1 else moved
         return g
     return run
 
@@ -143,17 +147,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     open_ = rows.where("p > 0")
     blocks = rows.agg(F.coalesce(F.max("blocks"), F.lit(1))).first()[0]
     ship(docs.sparkSession)
-    level = 0
+    level, fan = 0, block // 2  # a block leaves two entries at most, besides those held back
     while True:
-        last = blocks <= 1
-        out = open_.groupBy("key", "source", "block").applyInPandas(_balance(level, last), open_.schema)
+        out = open_.groupBy("key", "source", "block").applyInPandas(_balance(level, fan), open_.schema)
         out = materialize(out, "mix_level")
-        if last:
-            done.append(out)
-            break
         done.append(out.where("p in (0, 1)"))
-        fan = block // 2  # a block leaves two entries at most
-        open_ = out.where("p not in (0, 1)").withColumn("block", F.expr(f"block div {fan}"))
+        if blocks <= 1:
+            break
+        open_ = (out.where("p not in (0, 1)").withColumn("block", F.expr(f"block div {fan}"))
+                 .withColumn("blocks", F.expr(f"(blocks + {fan - 1}) div {fan}")))
         blocks, level = -(-blocks // fan), level + 1
     result = done[0]
     for part in done[1:]:

@@ -151,6 +151,17 @@ def test_mixing(docs, block):
         assert abs(sum(r.taken for r in g) - target[s]) <= near
 
 
+def test_small_sources_land_near_beside_a_large_one(spark):
+    r = random.Random(12)
+    rows = [(source, r.randint(100, 2000)) for source, n in (("a", 40), ("b", 500), ("c", 100), ("d", 50)) for _ in range(n)]
+    df = spark.createDataFrame([(i, s, "w " * n) for i, (s, n) in enumerate(rows)], "doc_id long, source string, text string")
+    got = mixing.mix(df, share=0.2, block=64).collect()  # one block, eight, two and one; no source is capped
+    assert len(got) == len(rows)
+    for s in "abcd":
+        own = [x for x in got if x.source == s]
+        assert abs(sum(x.taken for x in own) - own[0].target) <= 0.001 * own[0].target + 5, s
+
+
 def test_flight_keeps_both_totals():
     r = np.random.default_rng(3)
     size, p = r.integers(1, 500, 400).astype(float), np.full(400, 0.3)
