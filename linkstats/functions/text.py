@@ -87,7 +87,12 @@ def starts(parts: Column) -> Column:
     """Where each of the parts of a text begins: the running sum of the lengths before it.
     Spark's array functions keep no running state, so the sum is one vectorised pass over the
     lengths (not the texts) of an Arrow batch, linear in their number. ``parts`` is not null."""
-    return _starts_udf()(F.transform(parts, F.length))
+    return sums_before(F.transform(parts, F.length))
+
+
+def sums_before(numbers: Column) -> Column:
+    """For every element of an array of numbers the sum of those before it (as ``starts``)."""
+    return _starts_udf()(numbers)
 
 
 def strip_url_query(url: Column) -> Column:

@@ -1,102 +1,73 @@
 """Link extraction from wiki markup (P9): markup -> plain text, link spans, paragraphs.
 
 ``[[target|anchor]]`` contributes ``anchor`` to the text and a link (anchor, target);
-``[[target]]`` contributes ``target`` for both. Templates (nested ones too), references,
-tags, bold/italic quotes and file and category links are removed first. All of it is
-narrow: a page is parsed inside its own row, its link offsets are the running sum of the
-lengths of its pieces, and pages without an id or with the same title stay apart.
+``[[target]]`` contributes ``target`` for both. Elements without text, templates, file and
+category links and the marks of headings, lists, rules and tables go first (``wikiblocks``),
+then tags, quotes, external links (their label stays) and behaviour switches. Character
+references are decoded last, in the pieces of the finished text. All of it is narrow: a page
+is parsed inside its own row, its link offsets are the running sum of the lengths of its
+pieces, and pages without an id or with the same title stay apart.
 """
 
 from __future__ import annotations
 
-import re
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkstats import schema as S
 from linkstats.functions import text as tx
+from linkstats.sources import wikiblocks as wb
 
 LINK_PATTERN = r"\[\[[^\[\]]*\]\]"
 PIECE_PATTERN = r"\[\[[^\[\]]*\]\]|[^\[]+|\["
-BEFORE_TEMPLATES = [
-    r"(?s)<ref[^>]*/>",
-    r"(?s)<ref[^>]*>.*?</ref>",
-    r"(?s)<!--.*?-->",
-]
-AFTER_TEMPLATES = [
-    r"<[^>]*>",
-    r"'{2,}",
+# Protocols of external links, and behaviour switches.
+PROTOCOLS = ("http", "https", "ftp", "ftps", "sftp", "mailto", "news", "irc", "ircs", "git", "svn", "tel", "geo")
+SWITCHES = ("NOTOC", "FORCETOC", "TOC", "NOEDITSECTION", "NEWSECTIONLINK", "NONEWSECTIONLINK", "NOGALLERY", "HIDDENCAT",
+            "EXPECTUNUSEDCATEGORY", "NOCONTENTCONVERT", "NOTITLECONVERT", "INDEX", "NOINDEX", "STATICREDIRECT", "DISAMBIG")
+_ADDRESS = rf"(?:(?:{'|'.join(PROTOCOLS)}):|//)[^\s\[\]<>]++"
+# (pattern, replacement); the repeated group is possessive, so a long label needs no recursion
+INLINE = [
+    (r"(?i)<br\s*/?>", "\n"),
+    (r"</?[A-Za-z][^<>]*>", ""),
+    (r"'{2,}", ""),
+    (rf"(?i)\[{_ADDRESS}[ \t]+((?:[^\[\]\n]|\[\[[^\[\]]*\]\])*+)\]", "$1"),
+    (rf"(?i)(?<!\[)\[{_ADDRESS}\](?!\])", ""),
+    (rf"__(?:{'|'.join(SWITCHES)})__", ""),
 ]
-# Namespaces whose links show no text of the article.
-SILENT_NAMESPACES = ("file", "image", "category")
+# Namespaces whose links show no text of the article, in English (known to
+# every wiki) and in the language of some other wikis.
+SILENT_NAMESPACES = ("file", "image", "category", "datei", "bild", "kategorie", "fichier", "catégorie",
+                     "archivo", "imagen", "categoría")
 PARAGRAPH_BREAK = r"\n[ \t]*\n\s*"
 
 
-def _drop_nested_udf(namespaces: tuple[str, ...]):
-    bracket = re.compile(r"(\{\{|\}\}|\[\[|\]\])")
-    silent = re.compile(r"\s*(?:%s)\s*:" % "|".join(map(re.escape, namespaces)), re.IGNORECASE)
-
-    def one(markup):
-        """Each closing pair takes the innermost open one; what is never closed stays."""
-        out, open_at, templates = [], [], 0
-        for part in bracket.split(markup):
-            if part in ("{{", "[["):
-                open_at.append((part, len(out)))
-                templates += part == "{{"
-            elif part == "}}" and templates:
-                while open_at[-1][0] != "{{":
-                    open_at.pop()
-                del out[open_at.pop()[1]:]
-                templates -= 1
-                continue
-            elif part == "]]" and open_at and open_at[-1][0] == "[[":
-                at = open_at.pop()[1]
-                if silent.match(out[at + 1]):
-                    del out[at:]
-                    continue
-            out.append(part)
-        return "".join(out)
-
-    def run(markup: pa.Array) -> pa.Array:
-        return pa.array([None if m is None else one(m) for m in markup.to_pylist()], pa.string())
-    return F.arrow_udf(run, "string")
-
-
 def clean_markup(c, namespaces: tuple[str, ...] = SILENT_NAMESPACES):
-    """Markup without what is not text. Brackets nest without bound, which patterns cannot
-    follow, so templates and silent links go in one linear pass over Arrow batches."""
-    for p in BEFORE_TEMPLATES:
-        c = F.regexp_replace(c, p, "")
-    c = _drop_nested_udf(namespaces)(c)
-    for p in AFTER_TEMPLATES:
-        c = F.regexp_replace(c, p, "")
+    """Markup without what is not text; internal links and character references stay."""
+    c = wb.block_text(c, namespaces)
+    for pattern, replacement in INLINE:
+        c = F.regexp_replace(c, pattern, replacement)
     return c
 
 
 def plain_of(c):
     """Markup without links: anchors (or targets) in place of ``[[...]]``."""
     c = F.regexp_replace(c, r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1")
-    return F.regexp_replace(c, r"\[\[([^\[\]|]*)\]\]", "$1")
+    return F.regexp_replace(c, r"\[\[\s*:?([^\[\]|]*)\]\]", "$1")
 
 
-def _paragraphs(clean):
-    paras = F.split(F.trim(clean), PARAGRAPH_BREAK)
-
+def _raw_paragraphs(clean):
+    """(text with references, raw target of every link) of each paragraph."""
     def one(p):
-        ids = F.transform(F.regexp_extract_all(p, F.lit(LINK_PATTERN), 0),
-                          lambda l: F.struct(F.trim(F.substring_index(F.regexp_replace(l, r"^\[\[|\]\]$", ""), "|", 1))
-                                             .alias("id")))
-        return F.struct(F.trim(plain_of(p)).alias("paraText"), ids.alias("links"))
+        targets = F.transform(F.regexp_extract_all(p, F.lit(LINK_PATTERN), 0), lambda l: _piece(l)["target"])
+        return F.struct(F.trim(plain_of(p)).alias("text"), targets.alias("targets"))
 
-    return F.filter(F.transform(paras, one), lambda s: s["paraText"] != "")
+    return F.filter(F.transform(F.split(F.trim(clean), PARAGRAPH_BREAK), one), lambda s: s["text"] != "")
 
 
 def _piece(p):
     """A piece of markup as (text, link target or null). Only the link alternative of
     PIECE_PATTERN yields a piece that starts with "[[" (an unclosed one splits into "[")."""
-    inner = F.substring(p, F.lit(3), F.length(p) - 4)
+    inner = F.regexp_replace(F.substring(p, F.lit(3), F.length(p) - 4), r"^\s*:", "")
     piped = F.instr(inner, "|") > 0
     target = F.trim(F.when(piped, F.substring_index(inner, "|", 1)).otherwise(inner))
     anchor = F.when(piped, F.substring(inner, F.instr(inner, "|") + 1, F.length(inner))).otherwise(inner)
@@ -110,15 +81,28 @@ def parse_markup(df: DataFrame, markup_col: str = "markup") -> DataFrame:
     keep = [c for c in df.columns if c != markup_col]
     base = df.select(*keep, clean_markup(F.coalesce(F.col(markup_col), F.lit(""))).alias("_clean"))
     base = base.withColumn("_parts", F.transform(F.regexp_extract_all("_clean", F.lit(PIECE_PATTERN), 0), _piece))
-    base = base.withColumn("_at", tx.starts(F.col("_parts.t")))
+    base = base.withColumn("_raw", _raw_paragraphs(F.col("_clean")))
+    base = base.withColumn("_texts", wb.decode_references(F.col("_parts.t")))
+    base = base.withColumn("_targets", wb.decode_references(F.col("_parts.target")))
+    base = base.withColumn("_para_texts", wb.decode_references(F.col("_raw.text")))
+    base = base.withColumn("_para_targets", wb.decode_references(F.flatten("_raw.targets")))
+    base = base.withColumn("_at", tx.starts(F.col("_texts")))
 
     def link(x, i):
         start = F.get("_at", i)
-        return F.struct(x["t"].alias("description"), (start + F.length(x["t"])).alias("end"),
-                        x["target"].alias("id"), start.alias("start"))
+        return F.struct(x["_texts"].alias("description"), (start + F.length(x["_texts"])).alias("end"),
+                        x["_targets"].alias("id"), start.alias("start"))
+
+    links = F.filter(F.transform(F.arrays_zip("_texts", "_targets"), link), lambda x: x["id"].isNotNull())
+    # a paragraph's targets follow those of the paragraphs before it
+    counts = F.transform("_raw.targets", lambda t: F.size(t))
+    base = base.withColumn("_n", counts).withColumn("_first", tx.sums_before(F.col("_n")))
+
+    def paragraph(text, i):
+        ids = F.slice("_para_targets", (F.get("_first", i) + 1).cast("int"), F.get("_n", i))
+        return F.struct(text.alias("paraText"), F.transform(ids, lambda x: F.struct(x.alias("id"))).alias("links"))
 
-    links = F.filter(F.transform("_parts", link), lambda x: x["id"].isNotNull())
     return base.select(
-        *keep, F.array_join(F.col("_parts.t"), "").alias("plain"),
+        *keep, F.array_join("_texts", "").alias("plain"),
         links.cast(S.ARTICLE["links"].dataType).alias("links"),
-        _paragraphs(F.col("_clean")).cast(S.ARTICLE["paragraphsLink"].dataType).alias("paragraphsLink"))
+        F.transform("_para_texts", paragraph).cast(S.ARTICLE["paragraphsLink"].dataType).alias("paragraphsLink"))
