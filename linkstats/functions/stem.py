@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from linkstats.functions.snowball import PROGRAMS, snowball_stem
 
 def s_stem(token: Column) -> Column:
     """S-stemmer on a lower-cased token.
@@ -30,7 +31,9 @@ def s_stem(token: Column) -> Column:
 
 
 STEMMERS = {"s": s_stem}
-TABLE_STEMMERS = ("porter",)
+TABLE_STEMMERS = ("porter", *PROGRAMS)
+# The stemmer of a language, by the codes of the corpus; other languages keep their words.
+BY_LANGUAGE = {"en": "porter", "de": "german", "fr": "french", "es": "spanish"}
 
 
 def stem(token: Column, algorithm: str = "s") -> Column:
@@ -196,9 +199,9 @@ def porter_stem(df, token_col: str = "token", out_col: str = "stem"):
 
 def stem_table(df, token_col: str = "token", out_col: str = "stem", algorithm: str = "s"):
     """``df`` with a stem column, for any algorithm (column or projection-chain stemmer).
-    The Porter chain is CPU work on a usually small distinct-token table, so the table is
+    The chains are CPU work on a usually small distinct-token table, so the table is
     hash-spread by token over the default parallelism first."""
-    if algorithm == "porter":
-        n = df.sparkSession.sparkContext.defaultParallelism
-        return porter_stem(df.repartition(n, token_col), token_col, out_col)
+    if algorithm in TABLE_STEMMERS:
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism, token_col)
+        return porter_stem(df, token_col, out_col) if algorithm == "porter" else snowball_stem(df, algorithm, token_col, out_col)
     return df.withColumn(out_col, stem(F.col(token_col), algorithm))

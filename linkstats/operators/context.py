@@ -23,6 +23,19 @@ def stem_vocabulary(texts: DataFrame, text_col: str = "para", algorithm: str = "
     return st.stem_table(toks, "token", "stem", algorithm).select("token", "stem")
 
 
+def stem_vocabulary_by_language(texts: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, token, stem) for every distinct lower-cased word of each language, by the
+    language's own stemmer; words of a language without one (or of none) stay as they are."""
+    words = (texts.select(F.col(lang_col).alias("lang"), F.explode(tx.words(F.col(text_col))).alias("w"))
+             .select("lang", F.lower("w").alias("token")).distinct())
+    words = sess.materialize(words, "language_words")
+    known = F.coalesce(F.col("lang").isin(list(st.BY_LANGUAGE)), F.lit(False))
+    out = words.where(~known).select("lang", "token", F.col("token").alias("stem"))
+    for lang, algorithm in st.BY_LANGUAGE.items():
+        out = out.unionByName(st.stem_table(words.where(F.col("lang") == lang), algorithm=algorithm).select("lang", "token", "stem"))
+    return out
+
+
 def _stem_lookup(tokens: DataFrame, algorithm: str) -> DataFrame:
     """(token, stem) for distinct tokens. A projection-chain stemmer's output is written
     once, so joins plan against a plain scan and the chain runs a single time."""

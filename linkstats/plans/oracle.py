@@ -7,6 +7,8 @@ widens them to HUGEINT).
 
 from __future__ import annotations
 
+from linkstats.plans import oracle_stems as stems
+
 # ---- shared fragments ---------------------------------------------------------------
 
 W = r"[\p{L}\p{N}]+"
@@ -179,6 +181,11 @@ TC = f"""tc AS (SELECT u.uri, p.stem, sum(p.n)::BIGINT AS n FROM
         (SELECT DISTINCT {wiki_url('uri')} AS uri, para_key FROM up) u JOIN ptc p USING (para_key)
         GROUP BY u.uri, p.stem)"""
 CONTEXT = ["v_paragraphs", "v_titles"]
+PARAGRAPH_WORDS = f"SELECT para_key, lower(unnest(regexp_extract_all(para, '{W}'))) AS token FROM v_paragraphs"
+STOP_LIST = "SELECT unnest([" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]) AS token"
+PORTER = [f"porter_words AS MATERIALIZED ({stems.porter(f'SELECT DISTINCT token FROM ({PARAGRAPH_WORDS}) UNION {STOP_LIST}')})",
+          f"""ptc AS (SELECT para_key, stem, count(*) AS n FROM ({PARAGRAPH_WORDS}) JOIN porter_words USING (token)
+              WHERE stem NOT IN (SELECT stem FROM porter_words JOIN ({STOP_LIST}) USING (token)) GROUP BY para_key, stem)"""]
 COUNTS = f"""k AS (SELECT wid, sf, uri, count(*) AS links FROM link_facts GROUP BY wid, sf, uri),
     n AS (SELECT id AS wid, sf, count(*) AS spots FROM anchor_spots GROUP BY id, sf),
     lsj AS (SELECT k.wid, k.sf, k.uri, k.links, coalesce(n.spots, 0)::BIGINT AS spots,
@@ -267,6 +274,18 @@ def queries() -> dict[str, str]:
     q["context_vectors"] = _q(CONTEXT, [PARA_SPOTS, UP, STOPS, PTC, TC], vec(10 ** 12))
     q["context_vectors_topk"] = _q(CONTEXT, [PARA_SPOTS, UP, STOPS, PTC, TC], vec(10))
 
+    q["stem_vocabulary_porter"] = _q(["v_paragraphs"], [], stems.porter(f"SELECT DISTINCT token FROM ({PARAGRAPH_WORDS})"))
+    q["context_vectors_porter"] = _q(CONTEXT, [PARA_SPOTS, UP, *PORTER, TC], vec(10 ** 12))
+    q["stats_job_token_counts_porter"] = _q(["bodies"], [LINKED_PARAGRAPHS, *PORTER, TC], vec(10 ** 12))
+    words_in = lambda lang: f"""SELECT DISTINCT lower(unnest(regexp_extract_all(text, '{W}'))) AS token FROM documents
+        WHERE lang IS NOT DISTINCT FROM {lang}"""
+    q["stem_vocabulary_by_language"] = " UNION ALL ".join(
+        [f"SELECT 'en' AS lang, token, stem FROM ({stems.porter(words_in(repr('en')))})"]
+        + [f"SELECT '{code}' AS lang, token, stem FROM ({stems.snowball(name, words_in(repr(code)))})"
+           for code, name in (("de", "german"), ("fr", "french"), ("es", "spanish"))]
+        + [f"""SELECT DISTINCT lang, lower(w) AS token, lower(w) AS stem FROM (
+            SELECT lang, unnest(regexp_extract_all(text, '{W}')) AS w FROM documents WHERE lang NOT IN ('en', 'de', 'fr', 'es') OR lang IS NULL)"""])
+
     q["article_uri_paragraphs"] = _q(["bodies"], [LINKED_PARAGRAPHS], "SELECT uri, para_key FROM up")
     q["stats_job_token_counts"] = _q(["bodies"], [LINKED_PARAGRAPHS, STOPS, PTC, TC], vec(10 ** 12))
 

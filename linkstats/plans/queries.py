@@ -276,6 +276,11 @@ def stem_vocabulary_porter(t: Tables) -> DataFrame:
     return cx.stem_vocabulary(t.paragraphs(), algorithm="porter")
 
 
+def stem_vocabulary_by_language(t: Tables) -> DataFrame:
+    """Every distinct word of the documents, stemmed in its document's language."""
+    return cx.stem_vocabulary_by_language(t.table("documents"))
+
+
 def context_vectors_porter(t: Tables) -> DataFrame:
     return cx.context_vectors(t.uri_paragraphs(), t.paragraphs(), sw.default_stop_words(t.spark),
                               algorithm="porter")
@@ -412,7 +417,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f
     sf_annotated_counts, sf_spotted_counts, total_sf_counts, lowercase_phantoms,
     resolve_redirects, resolved_redirect_map, resolve_link_targets, resolve_redirects_cyclic,
     resolve_redirects_doubling,
-    uri_paragraphs, stem_vocabulary, stem_vocabulary_porter, token_counts, context_vectors,
+    uri_paragraphs, stem_vocabulary, stem_vocabulary_porter, stem_vocabulary_by_language, token_counts, context_vectors,
     context_vectors_topk, context_vectors_porter,
     rewrite_text, uri_normalize, quarantine_corrupt, stats_job_pair_counts,
     stats_job_uri_counts, stats_job_total_sf_counts, stats_job_token_counts,
