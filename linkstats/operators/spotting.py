@@ -72,7 +72,7 @@ def _key(look, n_words: int):
 
 
 def spot(texts: DataFrame, dictionary: Dictionary, id_col: str = "wid", text_col: str = "text",
-         chunk_words: int = CHUNK_WORDS) -> DataFrame:
+         chunk_words: int = CHUNK_WORDS, long_text: int | None = None) -> DataFrame:
     """M1: every occurrence of every dictionary entry at every start: (id, sf, offset, key).
 
     The words of each start are joined with the dictionary by equality of whole keys: one
@@ -80,17 +80,23 @@ def spot(texts: DataFrame, dictionary: Dictionary, id_col: str = "wid", text_col
     entries only the distinct (first ``chunk_words`` words, length) pairs take part, so a
     start meets a length once, however many entries begin alike; the whole keys of these
     places are then read from their texts and joined with the entries by equality again.
+    Rows that share an id, or all columns, are texts of their own.
     """
     d = dictionary.join_side
     if dictionary.max_n <= 1:
-        p = text_words(texts, id_col, text_col)
+        p = text_words(texts, id_col, text_col, long_text=long_text)
         return p.join(d, p["piece"] == d["key"]).select(F.col("id").alias(id_col), F.col("piece").alias("sf"), "offset", "key")
 
     c = max(1, chunk_words)
     lengths = sorted({min(n, c) for n in dictionary.lengths})
-    p = text_words(texts, id_col, text_col, look_words=lengths[-1])
+    # A text is known by its id and content: equal rows have equal places, each row its own.
+    keyed = texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    keep = ()
+    if dictionary.max_n > c:
+        keyed, keep = keyed.withColumn("_text", F.sha2(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(" "), "text"), 256)), ("_text",)
+    p = text_words(keyed, "id", "text", look_words=lengths[-1], keep=keep, long_text=long_text)
     keys = F.array(*[_key(F.col("look"), n) for n in lengths])
-    p = p.select("id", "pos", "offset", "look", F.explode(keys).alias("prefix")).where(F.col("prefix").isNotNull())
+    p = p.select("id", *keep, "pos", "offset", "look", F.explode(keys).alias("prefix")).where(F.col("prefix").isNotNull())
     sides = dictionary.entries.select(
         F.array_join(F.slice("toks", 1, c), " ").alias("prefix"), "n", F.when(F.col("n") <= c, F.col("key")).alias("key")).distinct()
     m = p.join(sess.checked_broadcast(sides, dictionary.size_bytes), "prefix")
@@ -99,11 +105,11 @@ def spot(texts: DataFrame, dictionary: Dictionary, id_col: str = "wid", text_col
     if dictionary.max_n <= c:
         return m.select(F.col("id").alias(id_col), covered.alias("sf"), "offset", "key")
 
-    m = sess.materialize(m.select("id", "pos", "offset", "n", "key", F.when(short, covered).alias("sf")), "spot_prefixes")
+    m = sess.materialize(m.select("id", "_text", "pos", "offset", "n", "key", F.when(short, covered).alias("sf")), "spot_prefixes")
     # The places of one text in one row: as many as it has words times lengths, at most.
-    places = m.where(~short).groupBy("id").agg(F.collect_list(F.struct("pos", "offset", "n")).alias("at"))
-    hit = (texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-           .join(sess.checked_broadcast(places, _places_bytes(m.where(~short))), "id"))
+    far = m.where(~short).select("_text", "pos", "offset", "n").distinct()
+    places = far.groupBy("_text").agg(F.collect_list(F.struct("pos", "offset", "n")).alias("at"))
+    hit = keyed.where(F.col("text").isNotNull()).join(sess.checked_broadcast(places, _places_bytes(far)), "_text")
 
     def whole(ps):
         return F.transform("at", lambda x: F.struct(
@@ -118,8 +124,43 @@ def spot(texts: DataFrame, dictionary: Dictionary, id_col: str = "wid", text_col
     return m.where(short).select(F.col("id").alias(id_col), "sf", "offset", "key").unionByName(found)
 
 
-def _places_bytes(m: DataFrame) -> int:
-    return m.count() * 96
+def _places_bytes(places: DataFrame) -> int:
+    return places.count() * 160
+
+
+# Code points of a stretch of text within which spans meet by equality.
+STRETCH = 256
+
+
+def _stretches(start, end, stretch: int):
+    """The stretches that a span touches; an empty span touches the one it stands in."""
+    return F.sequence(F.floor(start / stretch), F.floor(F.greatest(start, end - 1) / stretch))
+
+
+def with_link_spans(spots: DataFrame, links: DataFrame, overlaps: bool = True, id_col: str = "wid", stretch: int = STRETCH) -> DataFrame:
+    """M1 with ``include_links``: (id, sf, offset, origin) of the dictionary's spots and of
+    the page's own link spans (wid, sf, start, end), each place once. ``origin`` is ``link``,
+    ``text`` or ``both``. Zero spans and links without text are no occurrences.
+
+    With ``overlaps=False`` the page's own links win: spots that share a character with a link
+    span without being it are left out. Spans meet by (page, stretch of text), so a page with
+    many links is many keys.
+    """
+    spans = (links.where(F.col("sf").isNotNull() & (F.col("end") > F.col("start")))
+             .select(F.col("wid").alias(id_col), "sf", F.col("start").alias("offset"), "end"))
+    found = spots.select(id_col, "sf", "offset").withColumn("_link", F.lit(0))
+    if not overlaps:
+        a = found.withColumn("_end", F.col("offset") + F.length("sf"))
+        b = (spans.select(F.col(id_col).alias("_id"), F.col("offset").alias("_from"), F.col("end").alias("_to")).distinct()
+             .withColumn("_at", F.explode(_stretches(F.col("_from"), F.col("_to"), stretch))))
+        hit = a.withColumn("_at", F.explode(_stretches(F.col("offset"), F.col("_end"), stretch)))
+        crossed = hit.join(b, (F.col(id_col) == F.col("_id")) & (hit["_at"] == b["_at"]) & (F.col("offset") < F.col("_to"))
+                           & (F.col("_from") < F.col("_end")) & ~((F.col("offset") == F.col("_from")) & (F.col("_end") == F.col("_to"))))
+        found = found.join(crossed.select(id_col, "sf", "offset").distinct(), [id_col, "sf", "offset"], "left_anti")
+    both = found.unionByName(spans.select(id_col, "sf", "offset", F.lit(1).alias("_link")))
+    kinds = both.groupBy(id_col, "sf", "offset").agg(F.min("_link").alias("_low"), F.max("_link").alias("_high"))
+    origin = F.when(F.col("_low") == 1, "link").when(F.col("_high") == 0, "text").otherwise("both")
+    return kinds.select(id_col, "sf", "offset", origin.alias("origin"))
 
 
 def spot_surface_forms(texts: DataFrame, surface_forms: DataFrame, id_col: str = "wid",
@@ -129,26 +170,52 @@ def spot_surface_forms(texts: DataFrame, surface_forms: DataFrame, id_col: str =
     return spot(texts, d, id_col, text_col).select(id_col, "sf", "offset")
 
 
-def leftmost_longest(spots: DataFrame, id_col: str = "wid") -> DataFrame:
+# Spots of a cluster that one task may choose from one after the other.
+CLUSTER = 10_000
+
+
+def leftmost_longest(spots: DataFrame, id_col: str = "wid", stretch: int = 1 << 14, cluster: int = CLUSTER) -> DataFrame:
     """Non-overlapping spots, chosen greedily left to right, the longest at each start.
 
-    A spot starting at or after the end of every earlier spot opens a new cluster and is
-    always chosen; the greedy pass only runs inside clusters of overlapping spots, so no
-    page is collected whole.
+    A spot that starts at or after the end of every earlier spot opens a new cluster and is
+    always chosen, so the choice is made cluster by cluster. What lies before a spot is known
+    by a maximum over the stretches of its page (a row each) and one within its stretch: a
+    page is many keys. A cluster of more than ``cluster`` spots is chosen from by pointer
+    jumping (``_by_jumping``), with the same result.
     """
-    # One hash partitioning by page serves the per-start aggregate, the window and the
-    # per-cluster aggregate (all keyed by the page first).
-    s = spots.repartition(id_col).withColumn("end", F.col("offset") + F.length("sf"))
+    s = spots.withColumn("end", F.col("offset") + F.length("sf"))
     cols = [c for c in s.columns if c not in (id_col, "offset")]
-    longest = (s.groupBy(id_col, "offset")
-               .agg(F.max_by(F.struct(*cols), F.col("end")).alias("s"))
-               .select(id_col, "offset", "s.*"))
-    w = Window.partitionBy(id_col).orderBy("offset")
-    prev_end = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    flagged = longest.withColumn("_open", (prev_end.isNull() | (F.col("offset") >= prev_end)).cast("int"))
-    flagged = flagged.withColumn("_cluster", F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    members = [c for c in flagged.columns if c not in (id_col, "_cluster", "_open")]
-    grouped = (flagged.groupBy(id_col, "_cluster")
+    longest = (s.groupBy(id_col, "offset").agg(F.max_by(F.struct(*cols), F.col("end")).alias("s"))
+               .select(id_col, "offset", "s.*").withColumn("_at", F.floor(F.col("offset") / stretch)))
+    longest = sess.materialize(longest, "longest_spots")
+
+    def carried(df, value):
+        """The greatest value of the page's stretches before each one."""
+        w = Window.partitionBy(id_col).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+        sums = df.groupBy(id_col, "_at").agg(F.max(value).alias("_v"))
+        return sums.select(F.col(id_col).alias("_id"), F.col("_at").alias("_stretch"), F.max("_v").over(w).alias("_before"))
+
+    def join(df, sums):
+        return df.join(sums, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_at") == F.col("_stretch"))).drop("_id", "_stretch")
+
+    w = Window.partitionBy(id_col, "_at").orderBy("offset")
+    earlier = F.greatest("_before", F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    flagged = join(longest, carried(longest, F.col("end"))).withColumn("_reach", earlier).drop("_before")
+    opens = F.when(F.col("_reach").isNull() | (F.col("offset") >= F.col("_reach")), F.col("offset"))
+    flagged = sess.materialize(flagged.withColumn("_opens", opens), "flagged_spots")
+    opened = F.greatest("_before", F.max("_opens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    flagged = join(flagged, carried(flagged, F.col("_opens"))).withColumn("_cluster", opened).drop("_before", "_opens", "_reach")
+    sizes = flagged.groupBy(id_col, "_cluster").agg(F.count(F.lit(1)).alias("_n"))
+    long = sess.materialize(sizes.where(F.col("_n") > cluster), "long_clusters")
+    some_long = not long.isEmpty()
+    inside = flagged
+    if some_long:
+        same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_cluster") == F.col("_c"))
+        keys = long.select(F.col(id_col).alias("_id"), F.col("_cluster").alias("_c"))
+        flagged = sess.materialize(flagged, "clustered_spots")
+        inside = flagged.join(keys, same, "left_anti")
+    members = [c for c in flagged.columns if c not in (id_col, "_cluster", "_at")]
+    grouped = (inside.groupBy(id_col, "_cluster")
                .agg(F.array_sort(F.collect_list(F.struct(*members))).alias("c")))
     elem_type = grouped.schema["c"].dataType
     empty = F.array().cast(elem_type)
@@ -160,8 +227,55 @@ def leftmost_longest(spots: DataFrame, id_col: str = "wid") -> DataFrame:
 
     chosen = F.aggregate("c", F.struct(empty.alias("sel"), F.lit(-1).cast("long").alias("last")),
                          step, lambda acc: acc["sel"])
-    out = grouped.select(id_col, F.explode(chosen).alias("x")).select(id_col, "x.*")
-    return out.select(*spots.columns)
+    out = grouped.select(id_col, F.explode(chosen).alias("x")).select(id_col, "x.*").select(*spots.columns)
+    if some_long:
+        rest = flagged.join(keys, same, "left_semi")
+        out = out.unionByName(_by_jumping(rest, id_col).select(*spots.columns))
+    return out
+
+
+def _by_jumping(spots: DataFrame, id_col: str) -> DataFrame:
+    """The greedy choice in long clusters (id, _cluster, offset, end, _at): every spot points
+    to the first one that starts at or after its end, in its own stretch or at the beginning
+    of a later one; from the first spots on, the chain is followed by doubling the pointers,
+    so its length costs rounds only by its logarithm. Every round is a written table."""
+    key = [id_col, "_cluster"]
+    stretch = 1 << 10
+    s = spots.withColumn("_k", F.floor(F.col("offset") / stretch))
+    points = s.select(*key, "_k", F.col("offset").alias("at"), F.col("offset").alias("start")).unionByName(
+        s.select(*key, F.floor(F.col("end") / stretch).alias("_k"), F.col("end").alias("at"), F.lit(None).cast("long").alias("start")))
+    ahead = Window.partitionBy(*key, "_k").orderBy("at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    later = Window.partitionBy(*key).orderBy("_k").rowsBetween(1, Window.unboundedFollowing)
+    first = points.groupBy(*key, "_k").agg(F.min("start").alias("_first"))
+    first = first.select(*key, "_k", F.min("_first").over(later).alias("_later"))
+    here = points.withColumn("_here", F.min("start").over(ahead)).where("start IS NULL").select(*key, "_k", "at", "_here").distinct()
+
+    def on(a, b, columns):
+        cond = F.lit(True)
+        for x, y in columns:
+            cond = cond & a[x].eqNullSafe(b[y])
+        return cond
+
+    f = first.toDF("_i1", "_c1", "_k1", "_later")
+    ends = here.join(f, on(here, f, [(id_col, "_i1"), ("_cluster", "_c1"), ("_k", "_k1")]))
+    ends = ends.select(F.col(id_col).alias("_i"), F.col("_cluster").alias("_c"), F.col("at").alias("_e"), F.coalesce("_here", "_later").alias("to"))
+    jump = s.join(ends, on(s, ends, [(id_col, "_i"), ("_cluster", "_c"), ("end", "_e")])).select(*key, "offset", "to")
+    jump = sess.materialize(jump.where(F.col("to").isNotNull()), "spot_jumps")
+    reached = sess.materialize(s.where(F.col("offset") == F.col("_cluster")).select(*key, "offset"), "spots_reached")
+    n = reached.count()
+    while True:
+        r = reached.toDF("_i", "_c", "_o")
+        step = jump.join(r, on(jump, r, [(id_col, "_i"), ("_cluster", "_c"), ("offset", "_o")])).select(*key, F.col("to").alias("offset"))
+        reached = sess.materialize(reached.unionByName(step).distinct(), "spots_reached")
+        now = reached.count()
+        if now == n:
+            break
+        n = now
+        b = jump.toDF("_i", "_c", "_o", "_to")
+        jump = sess.materialize(jump.join(b, on(jump, b, [(id_col, "_i"), ("_cluster", "_c"), ("to", "_o")]))
+                                .select(*key, "offset", F.col("_to").alias("to")), "spot_jumps")
+    r = reached.toDF("_i", "_c", "_o")
+    return s.join(r, on(s, r, [(id_col, "_i"), ("_cluster", "_c"), ("offset", "_o")]), "left_semi").drop("_k")
 
 
 def page_sf_map(page_links: DataFrame) -> DataFrame:
@@ -173,20 +287,33 @@ def spot_linked(texts: DataFrame, page_links: DataFrame, id_col: str = "wid", te
     """M2: non-overlapping spots that are anchors of the same page, with the page's link
     target: (wid, sf, offset, uri).
 
-    Words meet the anchors of their own page only, by equality of (page, covered text); the
-    numbers of words that the page's anchors have say which stretches are built. Anchors
-    that begin or end with a separator cover no stretch of words and never match.
+    Words meet the anchors of their own page only, by equality of (page, covered text); a
+    stretch of words is built where it begins like one of the page's anchors, and as long.
+    Anchors that begin or end with a separator cover no stretch of words and never match.
     """
     anchors = page_sf_map(page_links).withColumnRenamed("wid", id_col).where(F.col("sf").isNotNull())
-    anchors = anchors.withColumn("n", F.size(tx.words(F.col("sf")))).where("n > 0")
-    lengths = anchors.groupBy(id_col).agg(F.collect_set("n").alias("lengths"), F.max("n").alias("longest"))
-    longest = lengths.agg(F.coalesce(F.max("longest"), F.lit(0))).first()[0]
-    t = texts.select(id_col, text_col).join(sess.checked_broadcast(lengths.drop("longest")), id_col)
-    p = text_words(t, id_col, text_col, look_words=max(longest, 1), keep=("lengths",))
-    covered = F.transform("lengths", lambda n: F.when(
-        F.size("look") >= n * 2 - 1, F.array_join(F.slice("look", F.lit(1), n * 2 - 1), "")))
-    p = p.select(F.col("id").alias(id_col), "offset", F.explode(covered).alias("sf")).where(F.col("sf").isNotNull())
+    anchors = anchors.withColumn("_toks", tx.words(F.col("sf"))).where(F.size("_toks") > 0)
+    shapes = anchors.select(id_col, F.struct(F.col("_toks")[0].alias("first"), F.size("_toks").alias("n")).alias("shape"))
+    shapes = shapes.groupBy(id_col).agg(F.collect_set("shape").alias("_shapes"))
+    several = not anchors.where(F.size("_toks") > 1).isEmpty()
+    t = texts.select(id_col, F.col(text_col).alias("_text")).where(F.length("_text") > 0).join(sess.checked_broadcast(shapes), id_col)
+    if several:
+        # a page's words meet the shapes (first word, number of words) of its own anchors only
+        t = t.select(id_col, "_shapes", tx.starts_with_word(F.col("_text")).alias("_w"), tx.pieces(F.col("_text")).alias("ps"))
+        t = t.withColumn("at", tx.starts(F.col("ps")))
+
+        def at_word(i):
+            fits = F.filter("_shapes", lambda x: (x["first"] == F.get("ps", i)) & (i + x["n"] * 2 - 1 <= F.size("ps")))
+            return F.transform(fits, lambda x: F.struct(F.get("at", i).alias("offset"), F.array_join(
+                F.slice("ps", i + 1, x["n"] * 2 - 1), "").alias("sf")))
+        first = F.when(F.col("_w"), 0).otherwise(1)
+        words = F.when(F.size("ps") > first, F.sequence(first, F.size("ps") - 1, F.lit(2)))
+        p = t.select(id_col, F.inline(F.flatten(F.transform(words, at_word))))
+    else:
+        firsts = F.transform("_shapes", lambda x: x["first"])
+        p = text_words(t.withColumn("_firsts", firsts), id_col, "_text", keep=("_firsts",)).where(F.array_contains("_firsts", F.col("piece")))
+        p = p.select(F.col("id").alias(id_col), "offset", F.col("piece").alias("sf"))
     linked = p.join(sess.checked_broadcast(anchors.select(id_col, "sf", "uri")), [id_col, "sf"])
-    if longest > 1:
+    if several:
         linked = leftmost_longest(linked, id_col)
     return linked.select(id_col, "sf", "offset", "uri")

@@ -12,36 +12,78 @@ from linkstats.functions import text as tx
 from linkstats.session import checked_broadcast, materialize
 
 
+def _exploded(t: DataFrame, keep: list[str], look_words: int) -> DataFrame:
+    """(keep, pos, piece, offset[, look]) of the words of ``ps``, an array of pieces whose
+    first is a word where ``_w`` holds; ``_next`` holds the pieces behind the last one."""
+    t = t.withColumn("at", tx.starts(F.col("ps")))
+    ahead = 2 * look_words - 1
+    # element k of the zip holds pieces k, k + 1, ...; pieces alternate word / separator
+    shifted = [F.slice(F.concat("ps", "_next") if "_next" in t.columns else F.col("ps"), k + 1, F.size("ps")).alias(f"p{k}")
+               for k in range(1, ahead)]
+    t = t.select(*keep, "_w", F.posexplode(F.arrays_zip(F.col("ps").alias("ps"), F.col("at").alias("at"), *shifted)).alias("pos", "x"))
+    t = t.where((F.col("pos") % 2 == 0) == F.col("_w"))
+    look = [F.array(*[F.col("x.ps")] + [F.col(f"x.p{k}") for k in range(1, ahead)]).alias("look")] if look_words else []
+    return t.select(*keep, F.col("pos").cast("long").alias("pos"), F.col("x.ps").alias("piece"), F.col("x.at").alias("offset"),
+                    F.floor(F.col("pos") / 2).cast("long").alias("tpos"), *look)
+
+
+def _chunked(t: DataFrame, look_words: int, chunk_chars: int) -> DataFrame:
+    """Words of long texts (_row, text): (_row, pos, piece, offset, tpos[, look]).
+
+    A text is cut by one pattern at ends of pieces, and its chunks are spread over the tasks.
+    What lies before a chunk (code points, pieces, words) is a sum over one row for each chunk
+    of its text; the pieces behind its end, for entries that cross it, are the heads of the
+    chunks that follow.
+    """
+    pattern = rf"(?s).{{{chunk_chars}}}(?:{tx.WORD_PATTERN}+|{tx.NON_WORD_CHAR}++)?|.+"
+    chunks = t.select("_row", F.posexplode(F.regexp_extract_all("text", F.lit(pattern), 0)).alias("chunk", "text"))
+    # written, so that the sums and the words see the same chunks; a long text is many files' rows
+    chunks = materialize(chunks.repartition("_row", "chunk"), "text_chunks")
+    cut = chunks.select("_row", "chunk", F.length("text").alias("chars"), tx.starts_with_word(F.col("text")).alias("_w"),
+                        tx.pieces(F.col("text")).alias("ps"))
+    n, heads = F.size("ps"), max(2 * look_words - 2, 0)
+    sizes = cut.select("_row", "chunk", "chars", n.alias("n"), F.floor((n + F.col("_w").cast("int")) / 2).alias("words"),
+                       F.slice("ps", 1, max(heads, 1)).alias("head"))
+    w = Window.partitionBy("_row").orderBy("chunk")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    none = F.array().cast("array<string>")
+    following = [F.coalesce(F.lead("head", k).over(w), none) for k in range(1, heads + 1)]
+    sums = sizes.select("_row", "chunk", *[F.coalesce(F.sum(c).over(before), F.lit(0)).cast("long").alias(f"_{c}")
+                                           for c in ("chars", "n", "words")],
+                        (F.slice(F.concat(*following), 1, heads) if following else none).alias("_next"))
+    rows = cut.drop("chars").join(sums, ["_row", "chunk"])
+    out = _exploded(rows, ["_row", "_chars", "_n", "_words"], look_words)
+    return out.select("_row", (F.col("_n") + F.col("pos")).alias("pos"), "piece", (F.col("_chars") + F.col("offset")).alias("offset"),
+                      (F.col("_words") + F.col("tpos")).alias("tpos"), *(["look"] if look_words else []))
+
+
 def text_words(texts: DataFrame, id_col: str = "wid", text_col: str = "text", look_words: int = 0,
-               keep: tuple[str, ...] = ()) -> DataFrame:
+               keep: tuple[str, ...] = (), long_text: int | None = None) -> DataFrame:
     """One row per word of each text: (id, pos, piece, tpos, offset[, look][, keep columns]).
 
     Narrow: a text is cut and its offsets are summed inside its own row, so no text is
     shuffled. ``pos`` counts pieces (words and separators); ``look`` (when ``look_words`` > 0)
-    holds the pieces from here that so many words cover, fewer where the text ends before.
+    holds the pieces from here that so many words cover, null where the text ends before.
+    With ``long_text``, texts of more code points than that, whose arrays would not fit a
+    task, are tokenised in chunks of that many over many tasks, with the same rows; it costs
+    one more pass over the texts' lengths.
     """
-    t = (texts.where(F.col(text_col).isNotNull())
-         .select(F.col(id_col).alias("id"), *keep, tx.pieces(F.col(text_col)).alias("ps"))
-         .where(F.size("ps") > 0))
-    t = t.withColumn("at", tx.starts(F.col("ps")))
-    # Pieces alternate word / separator, so the words are every other piece.
-    shift = F.when(tx.starts_with_word(F.col("ps")[0]), 0).otherwise(1)
-    t = t.withColumn("shift", shift).where(F.size("ps") > F.col("shift"))
-
-    def word(i, tpos):
-        cols = [i.cast("long").alias("pos"), F.get("ps", i).alias("piece"),
-                tpos.cast("long").alias("tpos"), F.get("at", i).alias("offset")]
-        if look_words:
-            cols.append(F.slice("ps", i + 1, F.lit(2 * look_words - 1)).alias("look"))
-        return F.struct(*cols)
-
-    places = F.sequence(F.col("shift"), F.size("ps") - 1, F.lit(2))
-    return t.select("id", *keep, F.inline(F.transform(places, word)))
-
-
-def tokenize_offsets(texts: DataFrame, id_col: str = "wid", text_col: str = "text") -> DataFrame:
+    columns = ["id", *keep, "pos", "piece", "tpos", "offset", *(["look"] if look_words else [])]
+    t = texts.select(F.col(id_col).alias("id"), *keep, F.col(text_col).alias("text"))
+    short = t.where(F.length("text").between(1, long_text) if long_text else F.length("text") > 0)
+    short = short.select("id", *keep, tx.starts_with_word(F.col("text")).alias("_w"), tx.pieces(F.col("text")).alias("ps"))
+    out = _exploded(short, ["id", *keep], look_words).select(*columns)
+    if not long_text:
+        return out
+    long = t.where(F.length("text") > long_text)
+    long = materialize(long.withColumn("_row", F.monotonically_increasing_id()), "long_texts")
+    words = _chunked(long.select("_row", "text"), look_words, long_text)
+    return out.unionByName(words.join(long.drop("text"), "_row").select(*columns))
+
+
+def tokenize_offsets(texts: DataFrame, id_col: str = "wid", text_col: str = "text", long_text: int | None = None) -> DataFrame:
     """(wid, tpos, token, offset) for every word; tpos counts words from 0."""
-    p = text_words(texts, id_col, text_col)
+    p = text_words(texts, id_col, text_col, long_text=long_text)
     return p.select(F.col("id").alias(id_col), "tpos", F.col("piece").alias("token"), "offset")
 
 

@@ -236,6 +236,27 @@ def queries() -> dict[str, str]:
     q["spot_multi"] = _q(["texts", "v_titles"], [TITLE_SPOTS], 'SELECT id AS wid, sf, "offset" FROM title_spots')
     q["spot_linked"] = _q(["texts", "v_links"], [ANCHOR_SPOTS, SFMAP], 'SELECT wid, sf, "offset", uri FROM linked')
 
+    q["tokenize_long_texts"] = q["tokenize_offsets"]
+    q["spot_long_texts"] = q["spot_multi"]
+    own = """own AS (SELECT DISTINCT wid, sf, start AS "offset", "end" FROM v_links WHERE sf IS NOT NULL AND "end" > start),
+        text_spots AS (SELECT DISTINCT id AS wid, sf, "offset" FROM anchor_spots)"""
+    origins = """SELECT coalesce(o.wid, s.wid) AS wid, coalesce(o.sf, s.sf) AS sf, coalesce(o."offset", s."offset") AS "offset",
+        CASE WHEN s.wid IS NULL THEN 'link' WHEN o.wid IS NULL THEN 'text' ELSE 'both' END AS origin
+        FROM {spots} s FULL JOIN (SELECT DISTINCT wid, sf, "offset" FROM own) o ON o.wid = s.wid AND o.sf = s.sf AND o."offset" = s."offset" """
+    q["spot_with_links"] = _q(["texts", "v_links"], [ANCHOR_SPOTS, own], origins.format(spots="text_spots"))
+    q["spot_beside_links"] = _q(["texts", "v_links"], [ANCHOR_SPOTS, own, """beside AS (SELECT * FROM text_spots s WHERE NOT EXISTS (
+        SELECT 1 FROM own o WHERE o.wid = s.wid AND s."offset" < o."end" AND o.start_ < s."offset" + length(s.sf)
+        AND NOT (o.start_ = s."offset" AND o."end" = s."offset" + length(s.sf))))""".replace("o.start_", 'o."offset"')],
+                                origins.format(spots="beside"))
+    q["spot_headings_apart"] = _q(["texts", "v_titles"], [TITLE_SPOTS, """starts AS (SELECT id, "offset", max_by(sf, length(sf)) AS sf,
+        row_number() OVER (PARTITION BY id ORDER BY "offset") AS k FROM title_spots GROUP BY id, "offset"),
+        walk(id, k, sf, "offset", chosen, last) AS (
+          SELECT id, k, sf, "offset", true, "offset" + length(sf) FROM starts WHERE k = 1
+          UNION ALL SELECT s.id, s.k, s.sf, s."offset", s."offset" >= w.last,
+                 CASE WHEN s."offset" >= w.last THEN s."offset" + length(s.sf) ELSE w.last END
+          FROM walk w JOIN starts s ON s.id = w.id AND s.k = w.k + 1)"""],
+                                  'SELECT id AS wid, sf, "offset" FROM walk WHERE chosen')
+
     base_counts = ["link_facts", "texts", "v_links", "redirect_edges_u"]
     q["link_spot_join"] = _q(base_counts, [ANCHOR_SPOTS, RESOLVED, COUNTS],
                              "SELECT wid, sf, uri, links, spots, weight FROM lsj")

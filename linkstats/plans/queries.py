@@ -184,6 +184,11 @@ def tokenize_offsets(t: Tables) -> DataFrame:
     return tk.tokenize_offsets(t.documents())
 
 
+def tokenize_long_texts(t: Tables) -> DataFrame:
+    """T1 with every document of more than 2,000 code points tokenised in chunks."""
+    return tk.tokenize_offsets(t.documents(), long_text=2000)
+
+
 # ---- spotting -----------------------------------------------------------------------
 
 def spot_single(t: Tables) -> DataFrame:
@@ -196,6 +201,26 @@ def spot_multi(t: Tables) -> DataFrame:
     return sp.spot_surface_forms(t.texts(), t.titles().select("sf"))
 
 
+def spot_long_texts(t: Tables) -> DataFrame:
+    """Headings spotted in page texts that are tokenised in chunks of 500 code points."""
+    return sp.spot(t.texts(), sp.build_dictionary(t.titles().select("sf")), long_text=500).select("wid", "sf", "offset")
+
+
+def spot_with_links(t: Tables) -> DataFrame:
+    """M1 with the pages' own link spans among the occurrences."""
+    return sp.with_link_spans(t.anchor_spots(), t.links())
+
+
+def spot_beside_links(t: Tables) -> DataFrame:
+    """As spot_with_links, without the spots that overlap one of the page's links."""
+    return sp.with_link_spans(t.anchor_spots(), t.links(), overlaps=False)
+
+
+def spot_headings_apart(t: Tables) -> DataFrame:
+    """M2's choice among the spots of all headings: leftmost, then longest, none overlapping."""
+    return sp.leftmost_longest(sp.spot_surface_forms(t.texts(), t.titles().select("sf")))
+
+
 def spot_linked(t: Tables) -> DataFrame:
     return sp.spot_linked(t.texts(), t.links())
 
@@ -412,7 +437,7 @@ def dq_spot_offsets(t: Tables) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f) for f in [
     article_filter, redirect_edges, article_text, extract_links, link_facts, surface_forms,
     sf_vocabulary, vocab_stats, token_lookup, strip_markup, tokenize_offsets,
-    spot_single, spot_multi, spot_linked,
+    tokenize_long_texts, spot_single, spot_multi, spot_linked, spot_long_texts, spot_with_links, spot_beside_links, spot_headings_apart,
     link_spot_join, pair_link_counts, uri_link_counts, pair_counts, uri_counts,
     sf_annotated_counts, sf_spotted_counts, total_sf_counts, lowercase_phantoms,
     resolve_redirects, resolved_redirect_map, resolve_link_targets, resolve_redirects_cyclic,

@@ -4,6 +4,8 @@ import regex
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from linkstats.operators import spotting as sp
 from linkstats.operators import tokens as tk
@@ -135,3 +137,82 @@ def test_long_entries_by_chunks(spark):
     for chunk in (2, 3, 4, 20):
         got = rows(sp.spot(df, d, chunk_words=chunk).select("wid", "sf", "offset"))
         assert got == want, chunk
+
+
+# ---- long texts, repeated ids, link spans, long clusters ----
+
+def test_long_texts_in_chunks_equal_whole_texts(spark):
+    import random
+    r = random.Random(2)
+    texts = ["".join(r.choice(["a", "b", "ab", "Ä", "\U0001f600", " ", ", ", "-", "\n"]) for _ in range(r.randint(0, 90))) for _ in range(12)]
+    texts += ["w" * 70, "." * 70, "", " a", texts[0]]
+    df = spark.createDataFrame([(i % 9, t) for i, t in enumerate(texts)] + [(None, "a b a b"), (3, None)], "wid long, text string")
+    want = rows(tk.text_words(df, look_words=3).select("id", "pos", "piece", "tpos", "offset", F.col("look").cast("string").alias("look")).na.fill(-1, ["id"]))
+    d = sp.build_dictionary(spark.createDataFrame([(e,) for e in ["a", "a b", "b a b", "a b ab a b"]], "sf string"))
+    spots = rows(sp.spot(df, d).na.fill(-1, ["wid"]))
+    assert len(spots) > 20
+    for chunk in (1, 7, 20):
+        got = tk.text_words(df, look_words=3, long_text=chunk).select("id", "pos", "piece", "tpos", "offset", F.col("look").cast("string").alias("look"))
+        assert rows(got.na.fill(-1, ["id"])) == want, chunk
+        assert rows(sp.spot(df, d, long_text=chunk).na.fill(-1, ["wid"])) == spots, chunk
+
+
+def test_repeated_ids_and_rows_are_texts_of_their_own(spark):
+    df = spark.createDataFrame([(1, "x a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f")],
+                               "wid long, text string")
+    for entries in (["a b c d e f"], ["a b"], ["a b c d e f", "a", "c d"]):
+        d = sp.build_dictionary(spark.createDataFrame([(e,) for e in entries], "sf string"))
+        got = sorted((-1 if x["wid"] is None else x["wid"], x["sf"], x["offset"]) for x in sp.spot(df, d).collect())
+        want = sorted((-1 if x["wid"] is None else x["wid"], *s) for x in df.collect() for s in brute_spots(x["text"], entries))
+        assert got == want, entries
+
+
+def brute_leftmost(spots):
+    """Left to right: the longest spot at each start that begins at or after the last end."""
+    out, last = [], -1
+    for off in sorted({o for _, o in spots}):
+        if off >= last:
+            sf = max((s for s, o in spots if o == off), key=len)
+            out.append((sf, off))
+            last = off + len(sf)
+    return out
+
+
+def test_leftmost_longest_equals_brute_force(spark):
+    import random
+    r = random.Random(9)
+    pages = {i: {("x" * r.randint(1, r.choice([2, 9, 30])), r.randint(0, 60)) for _ in range(r.randint(1, 40))} for i in range(25)}
+    df = spark.createDataFrame([(None if i == 3 else i, sf, o) for i, p in pages.items() for sf, o in p], "wid long, sf string, offset long")
+    want = sorted((-1 if i == 3 else i, sf, o) for i, p in pages.items() for sf, o in brute_leftmost(p))
+    for stretch, cluster in ((1 << 14, 10_000), (4, 10_000), (1 << 14, 1), (7, 3)):
+        got = rows(sp.leftmost_longest(df, stretch=stretch, cluster=cluster).na.fill(-1, ["wid"]), "wid", "sf", "offset")
+        assert got == want, (stretch, cluster)
+
+
+def test_one_long_page_is_split(spark):
+    """A chain of overlapping spots over a whole page: one cluster, chosen by jumping."""
+    n = 30_000
+    df = spark.range(n).select(F.lit(1).cast("long").alias("wid"), F.lit("abc").alias("sf"), (F.col("id") * 2).alias("offset"))
+    got = sp.leftmost_longest(df, stretch=1000)
+    assert got.count() == n // 2 and got.where("offset % 4 <> 0").isEmpty()
+
+
+def test_spot_linked_long_anchor_and_overlaps(spark):
+    text = "New York City, New York and " + "w " * 50
+    texts = spark.createDataFrame([(1, text), (2, "New York City")], "wid long, text string")
+    links = spark.createDataFrame([(1, 0, "New York", "NY"), (1, 1, "York City", "YC"), (1, 2, ("w " * 50).strip(), "W"), (2, 0, "New York City", "NYC"),
+                                   (2, 1, "-x-", "X")], "wid long, pos long, sf string, uri string")
+    got = rows(sp.spot_linked(texts, links), "wid", "sf", "offset", "uri")
+    assert got == sorted([(1, "New York", 0, "NY"), (1, "New York", 15, "NY"), (1, ("w " * 50).strip(), 28, "W"), (2, "New York City", 0, "NYC")])
+
+
+def test_spots_with_link_spans(spark):
+    spots = spark.createDataFrame([(1, "a b", 0), (1, "b", 2), (1, "c", 10), (1, "long one", 300), (2, "a b", 0)], "wid long, sf string, offset long")
+    links = spark.createDataFrame([(1, "a b", 0, 3), (1, "zero", 0, 0), (1, None, 4, 6), (1, "x" * 600, 200, 800), (3, "q", 5, 6), (1, "a b", 0, 3)],
+                                  "wid long, sf string, start long, end long")
+    got = rows(sp.with_link_spans(spots, links))
+    assert got == sorted([(1, "a b", 0, "both"), (1, "b", 2, "text"), (1, "c", 10, "text"), (1, "long one", 300, "text"), (2, "a b", 0, "text"),
+                          (1, "x" * 600, 200, "link"), (3, "q", 5, "link")])
+    for stretch in (1, 16, 256):
+        alone = rows(sp.with_link_spans(spots, links, overlaps=False, stretch=stretch))
+        assert alone == [r for r in got if r[1] not in ("b", "long one")]
