@@ -71,25 +71,43 @@ def paragraph_token_counts(paragraphs: DataFrame, stop_words: DataFrame | None =
     return s.groupBy("para_key", "stem").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Uris of one paragraph that one task multiplies with the paragraph's tokens.
+BLOCK = 10_000
+
+
+def blocked(pairs: DataFrame, counts: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the product (uri, para_key) x (para_key, stem, n) with a block number: a
+    paragraph that more than ``block`` uris link to is cut into blocks of about so many uris,
+    and its tokens stand in each of them. The paragraphs with several blocks are at most one
+    in ``block`` pairs; their table is broadcast only when measured under the limit."""
+    hot = pairs.groupBy("para_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block)
+    hot = sess.materialize(hot.select("para_key", F.ceil(F.col("_n") / block).cast("int").alias("_blocks")), "hot_paragraphs")
+    side = sess.checked_broadcast(hot)
+    n = F.coalesce("_blocks", F.lit(1))
+    left = pairs.join(side, "para_key", "left").withColumn("_block", F.pmod(F.xxhash64("uri"), n).cast("int")).drop("_blocks")
+    right = counts.join(side, "para_key", "left").withColumn("_block", F.explode(F.sequence(F.lit(0), n - 1))).drop("_blocks")
+    return left, right
+
+
 def _joined_counts(uri_paragraphs: DataFrame, paragraphs: DataFrame, stop_words: DataFrame | None,
-                   algorithm: str, lang: str, encode: bool) -> DataFrame:
+                   algorithm: str, lang: str, encode: bool, block: int = BLOCK) -> DataFrame:
     """(uri, stem, n) from (uri, para_key) LEFT JOIN per-paragraph counts; a uri whose
     paragraphs keep no token gets one row with a null stem (so it is not lost)."""
     pairs = uri_paragraphs
     if encode:
         pairs = pairs.select(ur.wiki_url(F.col("uri"), lang).alias("uri"), "para_key")
-    # Hashed by paragraph once: the distinct and the join on para_key share it.
-    pairs = pairs.repartition("para_key").distinct()
+    pairs = sess.materialize(pairs.distinct(), "uri_paragraph_pairs")
     ptc = paragraph_token_counts(paragraphs, stop_words, algorithm)
-    return (pairs.join(ptc, "para_key", "left")
+    left, right = blocked(pairs, ptc, block)
+    return (left.join(right, ["para_key", "_block"], "left")
             .groupBy("uri", "stem").agg(F.sum("n").cast("long").alias("n")))
 
 
 def token_counts(uri_paragraphs: DataFrame, paragraphs: DataFrame, stop_words: DataFrame | None = None,
-                 algorithm: str = "s", lang: str = "en", encode: bool = True) -> DataFrame:
+                 algorithm: str = "s", lang: str = "en", encode: bool = True, block: int = BLOCK) -> DataFrame:
     """T4: (uri, stem, n) summed over the distinct paragraphs linking to each uri.
     The uri is encoded to its wiki URL first, so ids that encode alike merge."""
-    return (_joined_counts(uri_paragraphs, paragraphs, stop_words, algorithm, lang, encode)
+    return (_joined_counts(uri_paragraphs, paragraphs, stop_words, algorithm, lang, encode, block)
             .where(F.col("stem").isNotNull()))
 
 
@@ -110,6 +128,37 @@ def render_vectors(counts: DataFrame, top_k: int | None = None) -> DataFrame:
     return vec
 
 
+def vector_chunks(counts: DataFrame, size: int = 1000) -> DataFrame:
+    """T5 for vectors of any length: (uri, chunk, vector), where chunk 0, 1, ... hold ``size``
+    entries each in the order of ``render_vectors``; joined by commas they are its vector.
+
+    A rank within a uri is a place in one range-partitioned, sorted table minus the uri's
+    first place there: a uri that fills many partitions is ranked over all of them, and no
+    task holds more than a partition or one chunk.
+    """
+    order = ["uri", F.col("n").desc(), "stem"]
+    ranged = (counts.where(F.col("stem").isNotNull()).repartitionByRange(*order).sortWithinPartitions(*order)
+              .withColumn("_part", F.spark_partition_id()).withColumn("_local", F.monotonically_increasing_id()))
+    ranged = sess.materialize(ranged, "ranged_counts")
+    # one row for each uri and partition it has rows in
+    held = ranged.groupBy("uri", "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
+    before = Window.partitionBy("uri").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select("uri", "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    ranked = ranged.join(held, ["uri", "_part"]).withColumn("_rank", F.col("_local") + F.col("_shift"))
+    entry = F.concat(F.lit("("), F.col("stem"), F.lit(","), F.col("n").cast("string"), F.lit(")"))
+    chunks = (ranked.groupBy("uri", F.floor(F.col("_rank") / size).cast("long").alias("chunk"))
+              .agg(F.array_sort(F.collect_list(F.struct("_rank", entry.alias("e")))).alias("v")))
+    empty = counts.groupBy("uri").agg(F.count("stem").alias("_n")).where("_n = 0")
+    return (chunks.select("uri", "chunk", F.array_join(F.col("v.e"), ",").alias("vector"))
+            .unionByName(empty.select("uri", F.lit(0).cast("long").alias("chunk"), F.lit("").alias("vector"))))
+
+
+def context_vector_chunks(uri_paragraphs: DataFrame, paragraphs: DataFrame, stop_words: DataFrame | None = None,
+                          algorithm: str = "s", lang: str = "en", size: int = 1000) -> DataFrame:
+    """A8 with T5 in chunks: (uri, chunk, vector)."""
+    return vector_chunks(_joined_counts(uri_paragraphs, paragraphs, stop_words, algorithm, lang, True), size)
+
+
 def context_vectors(uri_paragraphs: DataFrame, paragraphs: DataFrame, stop_words: DataFrame | None = None,
                     algorithm: str = "s", lang: str = "en", top_k: int | None = None) -> DataFrame:
     """(uri, vector) per linked uri, in one pass over (uri, para_key) pairs."""

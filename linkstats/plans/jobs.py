@@ -34,22 +34,28 @@ def build_stats(articles: DataFrame, stop_words: DataFrame | None = None, lang:
                 weight: str = "occurrences", resolve_links: bool = False,
                 encode_uris: bool = False, dedupe_lowercase: bool = False,
                 host: str = ur.DEFAULT_RESOURCE_HOST, top_k: int | None = None,
-                algorithm: str = "s") -> dict[str, DataFrame]:
+                algorithm: str = "s", steps: sess.Steps | None = None) -> dict[str, DataFrame]:
     """The four statistics tables from an article table (schema §1.2).
 
     Options: ``weight`` ("occurrences" = the reference's link x spot join rows, "links" =
     link count); ``resolve_links`` maps link ids through the redirects before counting;
     ``encode_uris`` outputs resource URIs instead of raw ids; ``dedupe_lowercase`` keeps
-    one lower-case phantom per form; ``algorithm`` is the stemmer ("s" or "porter").
+    one lower-case phantom per form; ``algorithm`` is the stemmer; ``steps`` names a folder
+    of finished steps to go on from (else the steps are scratch tables of this run).
     """
-    articles = src.good_articles(sess.materialize(articles, "articles"))
-    resolved = rd.resolve(ex.redirect_edges(articles))
-    lf = ex.link_facts(articles)
-    if resolve_links:
-        lf = rd.resolve_targets(lf, resolved).select("wid", "sf", F.col("target").alias("uri"))
-    lf = sess.materialize(lf, "link_facts")
+    def step(name, build):
+        return steps.table(name, build) if steps else sess.materialize(build(), name)
+
+    given = articles
+    articles = src.good_articles(step("articles", lambda: given))
+    resolved = step("redirects", lambda: rd.resolve(ex.redirect_edges(articles)))
+
+    def facts():
+        lf = ex.link_facts(articles)
+        return rd.resolve_targets(lf, resolved).select("wid", "sf", F.col("target").alias("uri")) if resolve_links else lf
+    lf = step("link_facts", facts)
     texts = ex.article_text(articles).select("wid", "text")
-    spots = sess.materialize(sp.spot_surface_forms(texts, ex.surface_forms(articles)), "spots")
+    spots = step("spots", lambda: sp.spot_surface_forms(texts, ex.surface_forms(articles)))
 
     pairs = ct.pair_counts(lf, spots, resolved, weight)
     uris = ct.uri_counts_from_pairs(pairs)
@@ -76,10 +82,26 @@ def write_stats(stats: dict[str, DataFrame], out: str, fmt: str = "tsv") -> None
         (sinks.write_tsv if fmt == "tsv" else sinks.write_parquet)(df, path)
 
 
-def run_stats(articles: DataFrame, out: str, fmt: str = "tsv", **options) -> None:
-    """W1/W2 as a whole: the four tables under ``out`` and nothing else left behind."""
-    with sess.scratch_tables(articles.sparkSession):
-        write_stats(build_stats(articles, **options), out, fmt)
+def run_stats(articles: DataFrame, out: str, fmt: str = "tsv", resume: str | None = None, source: str = "", **options) -> None:
+    """W1/W2 as a whole: the four tables under ``out`` and nothing else left behind.
+
+    With ``resume``, a shared folder, a run that failed is taken up by the next one with the
+    same ``source`` (the name and state of the input) and options behind its last written
+    step; the steps are deleted when the outputs are written.
+    """
+    spark = articles.sparkSession
+    stops = options.get("stop_words")
+    known = {k: v for k, v in options.items() if k != "stop_words"}
+    if stops is not None:  # the list's content, not its plan, tells jobs apart
+        known["stop_words"] = stops.agg(F.sum(F.xxhash64("word").cast("decimal(38,0)"))).first()[0]
+    steps = sess.Steps(spark, resume, repr((source, out, fmt, sorted(known.items())))) if resume else None
+    with sess.scratch_tables(spark):
+        stats = build_stats(articles, steps=steps, **options)
+        if steps:
+            stats = {name: steps.table(name, lambda df=df: df) for name, df in stats.items()}
+        write_stats(stats, out, fmt)
+    if steps:
+        steps.forget()
 
 
 def stats_from_xml(spark: SparkSession, dump: str, **options) -> dict[str, DataFrame]:

@@ -227,6 +227,15 @@ def queries() -> dict[str, str]:
     q["token_lookup"] = _q(["texts", "v_links"], [vocab, pieces_cte("tp", "texts")], """SELECT p.id AS wid,
         count(*)::BIGINT AS n_tokens, sum(CASE WHEN v.token_id IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_unknown
         FROM tp p LEFT JOIN vocab v ON v.token = p.piece WHERE p.is_word GROUP BY p.id""")
+    words_of = lambda src: f"""SELECT w AS token, count(*) AS count FROM (SELECT unnest(regexp_extract_all(sf, '{W}')) AS w
+        FROM (SELECT DISTINCT sf FROM {src} WHERE sf IS NOT NULL)) GROUP BY w"""
+    q["vocab_reverse_lookup"] = _q(["v_links", "v_titles"], [
+        f"old AS (SELECT *, row_number() OVER (ORDER BY token) AS id FROM ({words_of('v_titles')}))", f"more AS ({words_of('v_links')})",
+        """store AS (SELECT o.token, o.id, o.count + coalesce(m.count, 0) AS count FROM old o LEFT JOIN more m USING (token)
+            UNION ALL SELECT token, (SELECT max(id) FROM old) + row_number() OVER (ORDER BY token), count FROM more
+            WHERE token NOT IN (SELECT token FROM old))"""],
+        """SELECT p_partkey::BIGINT AS token_id, coalesce(token, '<UNKNOWN>') AS token, coalesce(count, 0)::BIGINT AS vocab_count
+        FROM part LEFT JOIN store ON id = p_partkey""")
     q["strip_markup"] = _q(["v_articles"], [], "SELECT wid, text, h1 FROM v_articles")
     q["tokenize_offsets"] = _q(["documents_t"], [pieces_cte("dp", "documents_t")], """SELECT id AS wid,
         (row_number() OVER (PARTITION BY id ORDER BY pos) - 1)::BIGINT AS tpos, piece AS token, "offset"
@@ -307,6 +316,13 @@ def queries() -> dict[str, str]:
         + [f"""SELECT DISTINCT lang, lower(w) AS token, lower(w) AS stem FROM (
             SELECT lang, unnest(regexp_extract_all(text, '{W}')) AS w FROM documents WHERE lang NOT IN ('en', 'de', 'fr', 'es') OR lang IS NULL)"""])
 
+    q["stop_list_file_vectors"] = q["context_vectors"]
+    q["context_vector_chunks"] = _q(CONTEXT, [PARA_SPOTS, UP, STOPS, PTC, TC], f"""
+        SELECT uri, chunk, string_agg('(' || stem || ',' || CAST(n AS VARCHAR) || ')', ',' ORDER BY rk) AS vector FROM (
+          SELECT *, (rk - 1) // 25 AS chunk FROM (SELECT uri, stem, n, row_number() OVER (PARTITION BY uri ORDER BY n DESC, stem) AS rk FROM tc))
+        GROUP BY uri, chunk
+        UNION ALL SELECT uri, 0, '' FROM (SELECT DISTINCT {wiki_url('uri')} AS uri FROM up) WHERE uri NOT IN (SELECT uri FROM tc)""")
+
     q["article_uri_paragraphs"] = _q(["bodies"], [LINKED_PARAGRAPHS], "SELECT uri, para_key FROM up")
     q["stats_job_token_counts"] = _q(["bodies"], [LINKED_PARAGRAPHS, STOPS, PTC, TC], vec(10 ** 12))
 
@@ -344,6 +360,19 @@ def queries() -> dict[str, str]:
         coalesce(sum(CASE WHEN substring(t.text, s."offset" + 1, length(s.sf)) <> s.sf THEN 1 ELSE 0 END), 0)::BIGINT AS n_violations
         FROM (SELECT id, sf, "offset" FROM anchor_spots UNION ALL SELECT id, sf, "offset" FROM title_spots) s
         JOIN texts t ON t.wid = s.id""")
+    q["quarantined_rows"] = """SELECT line, count(*)::BIGINT AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+        WHERE trim(line, ' ' || chr(9) || chr(13)) <> '' AND NOT (json_valid(line) AND ltrim(line) LIKE '{%') GROUP BY line"""
+    wiki = """wiki AS (SELECT a.wid, 'Page ' || a.wid || chr(10) || chr(10) || 'Page' || chr(9) || 'Heading' || chr(10) || a.wid || chr(9) || a.h1 || '.'
+        || chr(10) || chr(10) || coalesce(l.items, '') || chr(10) AS text, coalesce(l.n, 0)::BIGINT AS n_links FROM v_articles a LEFT JOIN (
+          SELECT wid, string_agg(sf || ' more', chr(10) ORDER BY pos) AS items, count(*) AS n FROM v_links GROUP BY wid) l USING (wid))"""
+    q["xml_article_text"] = _q(["v_articles", "v_links"], [wiki], "SELECT wid, text, n_links FROM wiki")
+    q["xml_links"] = _q(["v_links"], [], "SELECT wid, pos, sf, uri, sf AS covered FROM v_links")
+    q["xml_redirect_edges"] = q["redirect_edges"]
+    q["xml_export_link_facts"] = _q(["v_links"], [], "SELECT wid, sf, uri FROM v_links")
+    q["xml_job_pair_counts"] = _q(["v_articles", "v_links", "redirect_edges_u"], [
+        wiki, "link_facts AS (SELECT wid, sf, uri FROM v_links)", spots_cte("anchor_spots", "wiki", "SELECT sf FROM v_links"), RESOLVED, COUNTS],
+        "SELECT sf, uri, n FROM pairs")
+    q["annotated_corpus_table"] = q["rewrite_text"]
     q["stats_job_pair_counts"] = q["pair_counts"]
     q["stats_job_uri_counts"] = q["uri_counts"]
     q["stats_job_total_sf_counts"] = q["total_sf_counts"]

@@ -20,6 +20,7 @@ from linkstats.operators import redirects as rd
 from linkstats.operators import rewrite as rw
 from linkstats.operators import spotting as sp
 from linkstats.operators import tokens as tk
+from linkstats.operators.vocabulary_store import VocabularyStore
 from linkstats.plans import jobs
 from linkstats.sources import articles as src_articles
 from linkstats.sources import pages as pg
@@ -176,6 +177,16 @@ def token_lookup(t: Tables) -> DataFrame:
                                      F.sum(F.when(F.col("token_id") == 0, 1).otherwise(0)).cast("long").alias("n_unknown"))
 
 
+def vocab_reverse_lookup(t: Tables) -> DataFrame:
+    """P11, id -> token: a stored vocabulary of the headings, reopened to add the anchors'
+    tokens, asked for the ids of all parts (many of them unknown)."""
+    path = scratch_path(t.spark, "vocabulary")
+    for forms in (t.titles().select("sf").distinct(), ex.surface_forms(t.typed())):
+        VocabularyStore(t.spark, path).add(tk.vocabulary(forms).select("token", "count"))
+    ids = t.table("part").select(F.col("p_partkey").cast("long").alias("token_id"))
+    return VocabularyStore(t.spark, path).tokens_of(ids)
+
+
 def strip_markup(t: Tables) -> DataFrame:
     return t.articles()
 
@@ -319,6 +330,19 @@ def context_vectors(t: Tables) -> DataFrame:
     return cx.context_vectors(t.uri_paragraphs(), t.paragraphs(), sw.default_stop_words(t.spark))
 
 
+def context_vector_chunks(t: Tables) -> DataFrame:
+    """The context vectors in chunks of 25 entries."""
+    return cx.context_vector_chunks(t.uri_paragraphs(), t.paragraphs(), sw.default_stop_words(t.spark), size=25)
+
+
+def stop_list_file_vectors(t: Tables) -> DataFrame:
+    """The context vectors with a stop list written as a text file and read back."""
+    path = scratch_path(t.spark, "stop_words")
+    words = sw.default_stop_words(t.spark)
+    words.select(F.concat(F.lit(" "), "word", F.lit(" ")).alias("word")).union(words).write.text(path)
+    return cx.context_vectors(t.uri_paragraphs(), t.paragraphs(), sw.read_stop_words(t.spark, path))
+
+
 def context_vectors_topk(t: Tables) -> DataFrame:
     return cx.context_vectors(t.uri_paragraphs(), t.paragraphs(), sw.default_stop_words(t.spark),
                               top_k=CONTEXT_TOP_K)
@@ -384,6 +408,61 @@ def _exported(t: Tables) -> str:
     return path
 
 
+def quarantined_rows(t: Tables) -> DataFrame:
+    """S3: the exported corpus with every line of the documents among its lines, split into
+    good rows and quarantined lines; returns the latter with their numbers."""
+    path = scratch_path(t.spark, "corpus_with_bad_lines")
+    lines = t.table("documents").select(F.explode(F.split("text", "\n")).alias("value"))
+    t.spark.read.text(_exported(t)).union(lines).write.text(path)
+    good, bad = src_articles.split_corrupt(src_articles.read_json_articles(t.spark, path))
+    return bad.groupBy(F.col("_corrupt_record").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _dump(t: Tables) -> str:
+    """The pages as an XML dump of wiki markup, with a redirect page for each redirect."""
+    path = scratch_path(t.spark, "dump_xml")
+    pg.wiki_dump(t.pt, t.redirects()).write.format("xml").option("rootTag", "mediawiki").option("rowTag", "page").save(path)
+    return path
+
+
+def xml_article_text(t: Tables) -> DataFrame:
+    """Text and number of links of the articles of the dump."""
+    a = ex.article_pages(src_articles.read_xml_articles(t.spark, _dump(t)))
+    return a.select("wid", F.col("wikiText").alias("text"), F.size("links").cast("long").alias("n_links"))
+
+
+def xml_links(t: Tables) -> DataFrame:
+    """The links of the dump's articles and the text that their spans cover."""
+    a = src_articles.read_xml_articles(t.spark, _dump(t))
+    links = ex.page_links(a).join(a.select("wid", "wikiText"), "wid")
+    covered = F.substring("wikiText", F.col("start").cast("int") + 1, (F.col("end") - F.col("start")).cast("int"))
+    return links.select("wid", "pos", "sf", "uri", covered.alias("covered"))
+
+
+def xml_redirect_edges(t: Tables) -> DataFrame:
+    """P2 over the dump."""
+    return ex.redirect_edges(src_articles.read_xml_articles(t.spark, _dump(t)))
+
+
+def xml_job_pair_counts(t: Tables) -> DataFrame:
+    """W1 over the dump."""
+    return jobs.stats_from_xml(t.spark, _dump(t))["pair_counts"]
+
+
+def xml_export_link_facts(t: Tables) -> DataFrame:
+    """The dump exported as JSON lines and read back."""
+    path = scratch_path(t.spark, "corpus_json")
+    jobs.export_corpus(t.spark, _dump(t), path)
+    return ex.link_facts(src_articles.good_articles(src_articles.read_json_articles(t.spark, path)))
+
+
+def annotated_corpus_table(t: Tables) -> DataFrame:
+    """The annotated corpus written as Parquet and read back."""
+    path = scratch_path(t.spark, "annotated")
+    sinks.write_parquet(jobs.annotate_corpus(t.typed()), path)
+    return t.spark.read.parquet(path)
+
+
 def json_export_link_facts(t: Tables) -> DataFrame:
     """S4, then S2: link facts of the corpus exported as JSON lines and read back."""
     return ex.link_facts(src_articles.good_articles(src_articles.read_json_articles(t.spark, _exported(t))))
@@ -436,17 +515,18 @@ def dq_spot_offsets(t: Tables) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f) for f in [
     article_filter, redirect_edges, article_text, extract_links, link_facts, surface_forms,
-    sf_vocabulary, vocab_stats, token_lookup, strip_markup, tokenize_offsets,
+    sf_vocabulary, vocab_stats, token_lookup, vocab_reverse_lookup, strip_markup, tokenize_offsets,
     tokenize_long_texts, spot_single, spot_multi, spot_linked, spot_long_texts, spot_with_links, spot_beside_links, spot_headings_apart,
     link_spot_join, pair_link_counts, uri_link_counts, pair_counts, uri_counts,
     sf_annotated_counts, sf_spotted_counts, total_sf_counts, lowercase_phantoms,
     resolve_redirects, resolved_redirect_map, resolve_link_targets, resolve_redirects_cyclic,
     resolve_redirects_doubling,
     uri_paragraphs, stem_vocabulary, stem_vocabulary_porter, stem_vocabulary_by_language, token_counts, context_vectors,
-    context_vectors_topk, context_vectors_porter,
+    context_vectors_topk, context_vector_chunks, stop_list_file_vectors, context_vectors_porter,
     rewrite_text, uri_normalize, quarantine_corrupt, stats_job_pair_counts,
     stats_job_uri_counts, stats_job_total_sf_counts, stats_job_token_counts,
     stats_job_token_counts_porter, article_uri_paragraphs, annotate_job, json_export_link_facts,
-    json_job_pair_counts, tsv_uri_counts, stream_pair_link_counts,
+    json_job_pair_counts, tsv_uri_counts, quarantined_rows, xml_article_text, xml_links, xml_redirect_edges, xml_job_pair_counts,
+    xml_export_link_facts, annotated_corpus_table, stream_pair_link_counts,
     dq_empty_sf, dq_redirect_count, dq_redirect_terminal, dq_annotated_total, dq_spot_offsets,
 ]}

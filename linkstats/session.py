@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,30 +62,84 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_SCOPES: list[list[str]] = []
+class Scratch:
+    """The written tables of one scope, deleted when it ends but for the kept ones."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written as a table that outlives this scope (not the scopes around it)."""
+        path = scratch_path(df.sparkSession, name)
+        df.write.mode("overwrite").parquet(path)
+        self.paths.remove(path)
+        return df.sparkSession.read.parquet(path)
+
+
+_SCOPES: list[Scratch] = []
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote, through the file system it was written with."""
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name for intermediate data under the shared checkpoint folder."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    for paths in _SCOPES:
-        paths.append(path)
+    for scope in _SCOPES:
+        scope.paths.append(path)
     return path
 
 
 @contextmanager
-def scratch_tables(spark: SparkSession) -> Iterator[None]:
-    """Deletes the intermediate tables written inside when it ends: for jobs whose outputs
-    are written, too, before that (C1). Frames built inside are not readable afterwards."""
-    paths: list[str] = []
-    _SCOPES.append(paths)
+def scratch_tables(spark: SparkSession) -> Iterator[Scratch]:
+    """Deletes the intermediate tables written inside when it ends (C1): for jobs whose outputs
+    are written, too, before that, or kept by ``Scratch.keep``. Other frames built inside are
+    not readable afterwards. Scopes nest: the disk of a job falls back step by step."""
+    scope = Scratch()
+    _SCOPES.append(scope)
     try:
-        yield
+        yield scope
     finally:
-        _SCOPES.pop()
-        for path in paths:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _SCOPES.remove(scope)
+        for path in scope.paths:
+            delete_path(spark, path)
+
+
+class Steps:
+    """The written steps of one job, so that a job that failed goes on behind its last one.
+
+    A step is a Parquet table under ``folder/key``; it is done when Spark has committed it (its
+    ``_SUCCESS`` file). ``key`` names the input and the options: other ones are another job.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, key: str):
+        self.spark, self.path = spark, f"{folder.rstrip('/')}/{hashlib.sha256(key.encode()).hexdigest()[:24]}"
+        self.done: list[str] = []
+
+    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The step's table, built only where no earlier run finished it."""
+        path = f"{self.path}/{name}"
+        if path_exists(self.spark, f"{path}/_SUCCESS"):
+            self.done.append(name)
+        else:
+            build().write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def forget(self) -> None:
+        delete_path(self.spark, self.path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

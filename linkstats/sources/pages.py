@@ -144,6 +144,35 @@ def paragraphs(pt: DataFrame) -> DataFrame:
     return para.distinct().select(F.sha2("para", 256).alias("para_key"), "para")
 
 
+# Characters of plain text that wiki markup would read as its own.
+_MARKUP_CHARACTERS = "&<>[]{}|'="
+
+
+def _as_plain(c) -> F.Column:
+    for ch in _MARKUP_CHARACTERS:  # the ampersand first
+        c = F.replace(c, F.lit(ch), F.lit(f"&#{ord(ch)};"))
+    return c
+
+
+def wiki_dump(pt: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows of an XML dump (ns, id, title, redirect, revision): every page as an article in
+    wiki markup (heading, table, list of its links, reference and category), every redirect
+    edge as a redirect page. An adapter: only gives input in the dump's schema."""
+    def item(link):
+        return F.concat(F.lit("* [["), _as_plain(link["id"]), F.lit("|"), _as_plain(link["description"]), F.lit("]] [http://x.org/a more]"))
+    wid = F.col("wid").cast("string")
+    markup = F.concat(
+        F.lit("== Page "), wid, F.lit(" ==\n{| class=\"infobox\"\n|-\n! Page !! Heading\n|-\n| "), wid,
+        F.lit(" || style=\"x\" | '''"), _as_plain(F.col("h1")), F.lit(".'''\n|}\n"),
+        F.array_join(F.transform("links", item), "\n"), F.lit("\n<ref>{{cite|[[gone]]}}</ref>[[Category:All]]"))
+    redirect = "struct<_title: string>"
+    pages = pt.select(F.lit(0).cast("long").alias("ns"), F.col("wid").alias("id"), F.concat(F.lit("Page "), wid).alias("title"),
+                      F.lit(None).cast(redirect).alias("redirect"), F.struct(markup.alias("text")).alias("revision"))
+    moved = edges.select(F.lit(0).cast("long").alias("ns"), F.lit(None).cast("long").alias("id"), F.col("src").alias("title"),
+                         F.struct(F.col("dst").alias("_title")).alias("redirect"), F.struct(F.lit("#REDIRECT").alias("text")).alias("revision"))
+    return pages.unionByName(moved)
+
+
 def article_rows(pt: DataFrame) -> DataFrame:
     """Every page as an ARTICLE row of the article schema (narrow; works on streams)."""
     none = F.lit(None).cast(S.ARTICLE["paragraphsLink"].dataType)
