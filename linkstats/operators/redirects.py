@@ -30,7 +30,9 @@ def resolve(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     Give every terminal title a self-loop, so every walk ends on a cycle. Doubling the
     successor pointer until the image of p^(2^k) stops shrinking yields exactly the cycle
     and terminal nodes; a second doubling jumps each node to the first such node on its
-    walk. A title resolves to that node for its direct target, which is the walk rule.
+    walk. A title resolves to that node for its direct target, which is the walk rule. Where
+    the first doubling comes to rest at titles without a target, there is no cycle and the
+    second is not needed.
     Each round is one self-join over all nodes, written as a table.
     """
     e = sess.materialize(unique_edges(edges), "redirect_edges")
@@ -43,16 +45,30 @@ def resolve(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         return sess.materialize(t.join(b, t[col] == b["_b"]).select("v", F.col("_next").alias(col), F.col(col).alias("_old")),
                                 "redirect_round").select("v", col, "_old")
 
+    def state(t: DataFrame, old) -> tuple[int, int]:
+        """(how many pointers moved in the last round, how many nodes are pointed to)."""
+        r = t.agg(F.coalesce(F.sum((F.col("j") != old).cast("int")), F.lit(0)), F.countDistinct("j")).first()
+        return r[0], r[1]
+
     jump = succ.select("v", F.col("p").alias("j"))
-    size = jump.select("j").distinct().count()
+    moved, size = state(jump, F.col("v"))
     for _ in range(max_rounds):
-        nxt = square(jump, "j").select("v", "j")
-        nxt_size = nxt.select("j").distinct().count()
-        if nxt_size == size:
+        if not moved:
+            break
+        nxt = square(jump, "j")
+        moved, nxt_size = state(nxt, F.col("_old"))
+        if nxt_size == size and moved:  # only the places on cycles change any more
             break
-        jump, size = nxt, nxt_size
+        jump, size = nxt.select("v", "j"), nxt_size
     else:
         raise RuntimeError(f"no fixpoint after {max_rounds} doubling rounds")
+
+    def finals(ends: DataFrame) -> DataFrame:
+        return e.join(ends.toDF("dst", "final"), "dst").select(F.col("src").alias("title"), "final")
+
+    # Pointers at rest stand at titles without a target, unless a cycle's length divides the step.
+    if not moved and jump.join(e.select(F.col("src").alias("j")), "j", "left_semi").isEmpty():
+        return finals(jump)
     stops = jump.select(F.col("j").alias("v")).distinct().withColumn("_stop", F.lit(True))
 
     first = sess.materialize(succ.join(stops, "v", "left")
@@ -64,8 +80,7 @@ def resolve(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
             break
     else:
         raise RuntimeError(f"no fixpoint after {max_rounds} doubling rounds")
-    return (e.join(first.select(F.col("v").alias("dst"), F.col("t").alias("final")), "dst")
-            .select(F.col("src").alias("title"), "final"))
+    return finals(first)
 
 
 def resolve_final_first(edges: DataFrame) -> DataFrame:

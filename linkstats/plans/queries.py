@@ -41,8 +41,8 @@ class Tables:
     that read them.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, sf_dir: str, with_text: bool = True):
+        self.spark, self.with_text = spark, with_text
         self.sf_dir = sf_dir.rstrip("/")
         self._pt: DataFrame | None = None
         self._paras: DataFrame | None = None
@@ -55,7 +55,8 @@ class Tables:
     @property
     def pt(self) -> DataFrame:
         if self._pt is None:
-            self._pt = materialize(pg.page_table(self.table("pages"), with_paragraphs=False), "page_table")
+            self._pt = materialize(pg.page_table(self.table("pages"), with_paragraphs=False, with_text=self.with_text,
+                                                 with_links=True), "page_table")
         return self._pt
 
     @property
@@ -121,9 +122,17 @@ class Tables:
         return s.join(titles, "key").select("uri", "para_key").distinct()
 
 
+# Queries that read no page text: their page table is written without it.
+LINK_ONLY = {"redirect_edges", "extract_links", "link_facts", "surface_forms", "sf_vocabulary", "vocab_stats", "vocab_reverse_lookup",
+             "pair_link_counts", "uri_link_counts", "sf_annotated_counts", "resolve_redirects", "resolved_redirect_map",
+             "resolve_link_targets", "uri_normalize", "tsv_uri_counts", "json_export_link_facts", "quarantined_rows", "xml_article_text",
+             "xml_links", "xml_redirect_edges", "xml_job_pair_counts", "xml_export_link_facts", "dq_empty_sf", "dq_redirect_count",
+             "dq_redirect_terminal"}
+
+
 def _q(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Tables(spark, sf_dir))
+        return fn(Tables(spark, sf_dir, with_text=fn.__name__ not in LINK_ONLY))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run

@@ -38,23 +38,22 @@ def _marked_text(body) -> F.Column:
     return F.replace(marked, F.lit(f"{OPEN}{CLOSE} "), F.lit(OPEN + CLOSE))
 
 
-def _link_array(body) -> F.Column:
-    """Links with their true spans in the page text (code points); ``end - start`` is the
-    length the anchor has there, after blank runs collapsed."""
-    uris = F.regexp_extract_all(body, tx.lit_re(tx.ANCHOR_PATTERN), 1)
-    sfs = F.regexp_extract_all(body, tx.lit_re(tx.ANCHOR_PATTERN), 2)
-    parts = F.split(_marked_text(body), OPEN)
-    before = F.transform(parts, lambda p: F.length(F.replace(p, F.lit(CLOSE), F.lit(""))))
-    inside = F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.length(F.substring_index(p, CLOSE, 1)))
-
-    def to_link(x, i, lengths):
-        sf = tx.decode_entities(x["sfs"])
-        start = F.aggregate(F.slice(lengths, F.lit(1), i + 1), F.lit(0).cast("long"), lambda acc, n: acc + n)
-        return F.struct(sf.alias("description"), (start + x["inside"]).alias("end"), x["uris"].alias("id"), start.alias("start"))
-
-    zipped = F.arrays_zip(uris.alias("uris"), sfs.alias("sfs"), inside.alias("inside"))
-    # The lengths are bound by a lambda, so they are computed once for a page.
-    return F.flatten(F.transform(F.array(before), lambda lengths: F.transform(zipped, lambda x, i: to_link(x, i, lengths))))
+def _with_links(b: DataFrame) -> DataFrame:
+    """Adds ``links`` with their true spans in the page text (code points) to rows with a
+    ``body``; ``end - start`` is the length the anchor has there, after blank runs collapsed.
+    The starts are one running sum over the lengths of a page's pieces."""
+    b = b.withColumn("_uris", F.regexp_extract_all("body", tx.lit_re(tx.ANCHOR_PATTERN), 1))
+    b = b.withColumn("_sfs", F.regexp_extract_all("body", tx.lit_re(tx.ANCHOR_PATTERN), 2))
+    b = b.withColumn("_parts", F.split(_marked_text(F.col("body")), OPEN))
+    b = b.withColumn("_before", F.transform("_parts", lambda p: F.length(F.replace(p, F.lit(CLOSE), F.lit("")))))
+    b = b.withColumn("_at", tx.sums_before(F.col("_before")))
+    inside = F.transform(F.slice("_parts", 2, F.size("_parts")), lambda p: F.length(F.substring_index(p, CLOSE, 1)))
+    zipped = F.arrays_zip(F.col("_uris").alias("uris"), F.col("_sfs").alias("sfs"), inside.alias("inside"),
+                          F.slice("_at", 2, F.size("_at")).alias("start"))
+    b = b.withColumn("links", F.transform(zipped, lambda x: F.struct(
+        tx.decode_entities(x["sfs"]).alias("description"), (x["start"] + x["inside"]).alias("end"),
+        x["uris"].alias("id"), x["start"].alias("start"))))
+    return b.withColumn("links", F.coalesce("links", F.array().cast(S.ARTICLE["links"].dataType)))
 
 
 def _raw_paragraphs(body) -> F.Column:
@@ -79,17 +78,20 @@ def _paragraph_links(body) -> F.Column:
 
 
 def page_table(pages: DataFrame, with_paragraphs: bool = True, with_text: bool = True,
-               with_paragraph_links: bool = False) -> DataFrame:
+               with_paragraph_links: bool = False, with_links: bool | None = None) -> DataFrame:
     """Everything the jobs need from a page, from one pass over its html (narrow):
-    (wid, url, h1[, text, links array<description, end, id, start>][, paras array<string>]
-    [, paragraphsLink])."""
+    (wid, url, h1[, text][, links array<description, end, id, start>][, paras array<string>]
+    [, paragraphsLink]). Links come with the text unless ``with_links`` says otherwise."""
     b = page_bodies(pages)
     cols = [
         F.col("wid").cast("long").alias("wid"), "url",
         tx.markup_to_text(F.regexp_extract("body", tx.H1_PATTERN, 1)).alias("h1"),
     ]
     if with_text:
-        cols += [tx.markup_to_text(F.col("body")).alias("text"), _link_array(F.col("body")).alias("links")]
+        cols.append(tx.markup_to_text(F.col("body")).alias("text"))
+    if with_text if with_links is None else with_links:
+        b = _with_links(b)
+        cols.append("links")
     if with_paragraphs:
         cols.append(_paragraph_array(F.col("body")).alias("paras"))
     if with_paragraph_links:
@@ -181,7 +183,7 @@ def article_rows(pt: DataFrame) -> DataFrame:
         F.col("h1").alias("wikiTitle"),
         F.lit(S.ARTICLE_TYPE).alias("type"),
         F.lit(None).cast("string").alias("redirect"),
-        F.col("text").alias("wikiText"),
+        (F.col("text") if "text" in pt.columns else F.lit(None).cast("string")).alias("wikiText"),
         "links",
         (F.col("paragraphsLink") if "paragraphsLink" in pt.columns else none).alias("paragraphsLink"),
     )
