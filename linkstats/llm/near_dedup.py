@@ -6,8 +6,11 @@ Documents with the same set are one class, represented by the smallest doc_id. A
 itself under (coordinate, value) pairs of its ``COORDINATES`` MinHash coordinates:
 
 * prefix: two signatures that agree in at least ``MATCHES`` coordinates share one of the
-  COORDINATES - MATCHES + 1 rarest pairs of either; only those are posted, rarest first, so
-  pairs that are common in the corpus are skipped wherever a signature has rarer ones;
+  PREFIX rarest of either; only those are posted, rarest first, so values that are common in
+  the corpus are skipped wherever a signature has rarer ones. A posted key is two
+  coordinates with both their values (of 26 coordinates that differ, each spoils one of 32
+  keys, so 6 keys are equal at least), which unrelated documents share by chance far less often
+  than one value, and the less the larger the corpus;
 * merge: a list is first merged as a star: its smallest member against all others. Members
   that are connected then need no comparison any more, so a large group of near copies costs
   a pass over it instead of its square. Lists that still hold several components form
@@ -40,10 +43,12 @@ from pyspark.sql import functions as F
 from linkstats.llm import wordhash as wh
 from linkstats.llm.common import map_arrow, same, table
 from linkstats.llm.components import components
-from linkstats.session import checked_broadcast, materialize
+from linkstats.session import checked_broadcast, materialize, scratch_tables
 
 COORDINATES, MATCHES, PERCENT, BLOCK = 64, 38, 80, 1 << 20
-PREFIX = COORDINATES - MATCHES + 1
+KEYS = COORDINATES // 2
+COMMON = KEYS - (COORDINATES - MATCHES)  # equal keys of two signatures that agree in MATCHES coordinates
+PREFIX = KEYS - COMMON + 1
 _RNG = np.random.default_rng(4711)
 _A = (_RNG.integers(0, 1 << 31, COORDINATES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 _B = _RNG.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)[:, None]
@@ -111,15 +116,15 @@ def shingle_set(text: str, k: int) -> np.ndarray:
 
 
 def _postings(nodes: DataFrame) -> DataFrame:
-    """(token, node, n_shingles): each class under those of its PREFIX rarest pairs that
-    another class has too. A pair that no other class has takes its place in the prefix but
+    """(token, node, n_shingles): each class under those of its PREFIX rarest keys that
+    another class has too. A key that no other class has takes its place in the prefix but
     needs no posting."""
-    token = F.shiftleft(F.col("i").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-    tokens = nodes.select("node", "f1", "n_shingles", F.posexplode("sig").alias("i", "v")).select("node", "f1", "n_shingles", token.alias("token"))
+    keys = F.array(*[F.xxhash64(F.lit(i), F.get("sig", F.lit(2 * i)), F.get("sig", F.lit(2 * i + 1))) for i in range(KEYS)])
+    tokens = nodes.select("node", "f1", "n_shingles", F.explode(keys).alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
     own = (tokens.hint("merge").join(shared, "token")
            .groupBy("node", "f1", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own")))
-    taken = F.slice("own", F.lit(1), F.greatest(F.lit(PREFIX - COORDINATES) + F.size("own"), F.lit(0)))
+    taken = F.slice("own", F.lit(1), F.greatest(F.lit(PREFIX - KEYS) + F.size("own"), F.lit(0)))
     return own.select("node", "n_shingles", F.explode(taken).alias("t")).select("t.token", "node", "n_shingles").distinct()
 
 
@@ -235,7 +240,9 @@ def near_components(docs: DataFrame, k: int = 5, percent: int = PERCENT, id_col:
              .agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")))
     nodes = materialize(nodes, "near_nodes")
     rows = signed.select("doc_id", "n_shingles", "f1", "f2")
-    classes = (nodes.select("f1", "f2", "n_shingles", "node").join(_links(docs, nodes, k, percent), "node", "left")
+    with scratch_tables(docs.sparkSession) as scope:  # postings, texts and rounds go when the links are known
+        linked = scope.keep(_links(docs, nodes, k, percent), "near_linked")
+    classes = (nodes.select("f1", "f2", "n_shingles", "node").join(linked, "node", "left")
                .select("f1", "f2", "n_shingles", F.coalesce("component", "node").alias("component")))
     classes = materialize(classes, "near_classes")
     out = rows.join(classes.hint("merge"), ["f1", "f2", "n_shingles"], "left")
