@@ -9,7 +9,9 @@ the next anchor. Suffixes of one host with equal beginnings are one range of the
 range is repeated if at least ``MIN_PAGES`` distinct pages and at least ``SHARE`` of the host's
 distinct pages lie in it. Neighbouring ranges overlap, so they chain up to the maximal
 repeats, and a block that repeated ranges cover from end to end is boilerplate; unique runs
-stay. A page with blocks left or removed inside ``article`` or ``main`` gives those left
+stay. All spans of such a block are repeated, so its least one is: the least spans of all
+blocks are counted first, and of the others only those that stand in a block whose least span
+is repeated, wherever they stand. A page with blocks left or removed inside ``article`` or ``main`` gives those left
 there, any other page what is left of its blocks.
 
 Pages are distinct if the ``KIND`` least fingerprints of their word pairs differ: equal pages
@@ -233,9 +235,9 @@ def span_marks(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return text, wh.span_hashes(_sums(words), first, end)
 
 
-PARSED = "page_id long, url string, row long, host long, blocks array<string>, content array<boolean>, kind long, marks array<long>"
+PARSED = "page_id long, url string, row long, host long, blocks array<string>, content array<boolean>, kind long, least array<long>"
 _PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("row", pa.int64()), ("host", pa.int64()), ("blocks", pa.list_(pa.string())),
-                     ("content", pa.list_(pa.bool_())), ("kind", pa.int64()), ("marks", pa.list_(pa.int64()))])
+                     ("content", pa.list_(pa.bool_())), ("kind", pa.int64()), ("least", pa.list_(pa.int64()))])
 
 
 def _of_host(marks: np.ndarray, host: int) -> np.ndarray:
@@ -256,6 +258,29 @@ def _signed(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def least_marks(texts: list[str], host: int) -> np.ndarray:
+    """The least span of every text."""
+    text, marks = span_marks(texts)
+    return np.minimum.reduceat(_of_host(marks, host), np.searchsorted(text, np.arange(len(texts)))) if len(text) else marks.view(np.int64)
+
+
+def _spans_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, mark) of the spans of the blocks of (row, host, blocks, chosen): of those whose
+    least span is among ``chosen``, of all where that is null; each once for a page."""
+    for batch in batches:
+        rows, found = [], []
+        for row, host, blocks, chosen in zip(*(c.to_pylist() for c in batch.columns)):
+            text, marks = span_marks(blocks)
+            marks = _of_host(marks, host)
+            if chosen is not None and len(marks):
+                marks = marks[np.isin(least_marks(blocks, host), np.array(chosen, dtype=np.int64))[text]]
+            marks = np.unique(marks)
+            rows.append(np.full(len(marks), row, dtype=np.int64))
+            found.append(marks)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), pa.array(np.concatenate(found), pa.int64())], names=["row", "mark"])
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
@@ -264,8 +289,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 host = _signed(re.sub(r"(?s)^.*?://([^/?#]*).*$", r"\1", url).lower() if "://" in (url or "") else "")
                 blocks = [(t, content) for t, content, skip in page_blocks(html or "") if not skip]
                 texts = [t for t, _ in blocks]
-                marks = np.unique(_of_host(span_marks(texts)[1], host))
-                rows.append((page_id, url, row, host, texts, [c for _, c in blocks], _kind(texts), marks.tolist()))
+                rows.append((page_id, url, row, host, texts, [c for _, c in blocks], _kind(texts), least_marks(texts, host).tolist()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PARSED)], schema=_PARSED)
 
 
@@ -292,18 +316,37 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _TEXTS)], schema=_TEXTS)
 
 
-def _repeated(parsed: DataFrame) -> DataFrame:
-    """(host, mark): the ranges that enough distinct pages of their host share."""
+def _repeated(spans: DataFrame, one: DataFrame) -> DataFrame:
+    """(mark): the ranges that enough distinct pages of their host share; ``spans`` are (row,
+    mark), ``one`` (row, equal, need) the page that stands for each kind, how many equal rows
+    it has (they count as one) and how many pages its host asks for."""
+    counted = (spans.join(checked_broadcast(one), "row").groupBy("mark")
+               .agg(F.round(F.sum(1 / F.col("equal"))).alias("n"), F.min("need").alias("need")))
+    return counted.where(F.col("n") >= F.col("need")).select("mark")
+
+
+def _found(parsed: DataFrame) -> DataFrame:
+    """(row, marks): the repeated spans in the blocks that may go."""
     rows = parsed.groupBy("host", "kind", "row").agg(F.count(F.lit(1)).alias("equal"))
     kinds = rows.groupBy("host", "kind").agg(F.min(F.struct("row", "equal")).alias("r")).select("host", "r.row", "r.equal")
     kinds = materialize(kinds, "html_kinds")
-    sizes = kinds.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= MIN_PAGES)
-    one = kinds.join(sizes.select("host"), "host", "left_semi").select("row", "equal")
-    # equal rows have one row number, and count as one page together
-    counted = (parsed.select("host", "row", "marks").join(checked_broadcast(one), "row")
-               .select("host", "equal", F.explode("marks").alias("mark"))
-               .groupBy("mark").agg(F.round(F.sum(1 / F.col("equal"))).alias("n"), F.min("host").alias("host")).where(F.col("n") >= MIN_PAGES))
-    return counted.join(checked_broadcast(sizes), "host").where(F.col("n") >= SHARE * F.col("pages")).select("host", "mark")
+    sizes = kinds.groupBy("host").agg(F.greatest(F.lit(MIN_PAGES), SHARE * F.count(F.lit(1))).alias("need"), F.count(F.lit(1)).alias("pages"))
+    one = kinds.join(sizes.where(F.col("pages") >= MIN_PAGES).select("host", "need"), "host").select("row", "equal", "need")
+    one = materialize(one, "html_one")
+    least = parsed.select("row", F.explode(F.array_distinct("least")).alias("mark"))
+    chosen = materialize(_repeated(least, one), "html_least")
+    touched = (least.join(checked_broadcast(chosen), "mark", "left_semi").groupBy("row").agg(F.collect_set("mark").alias("chosen")))
+    touched = materialize(touched, "html_touched")
+    blocks = parsed.join(checked_broadcast(touched), "row").select("row", "host", "blocks", "chosen")
+    spans = materialize(map_arrow(blocks, _spans_of, "row long, mark long"), "html_spans")
+    marks = materialize(spans.select("mark").distinct(), "html_candidates")
+    hosts = blocks.select("host").distinct()
+    everywhere = map_arrow(parsed.join(checked_broadcast(hosts), "host", "left_semi").select(
+        "row", "host", "blocks", F.lit(None).cast("array<bigint>").alias("chosen")), _spans_of, "row long, mark long")
+    everywhere = everywhere.join(checked_broadcast(marks), "mark", "left_semi")
+    repeated = materialize(_repeated(everywhere, one), "html_repeated")
+    return (spans.join(checked_broadcast(repeated), "mark", "left_semi").distinct()
+            .groupBy("row").agg(F.collect_set("mark").alias("marks")))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -313,13 +356,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = rows.select("page_id", "url", F.xxhash64("page_id", "url", "html").alias("row"), "html")
     parsed = materialize(map_arrow(rows, _parse, PARSED), "html_parsed")
     with scratch_tables(pages.sparkSession) as scope:
-        repeated = materialize(_repeated(parsed), "html_repeated")
-        wanted = (parsed.join(checked_broadcast(repeated.select("host").distinct()), "host", "left_semi")
-                  .select("row", F.explode("marks").alias("mark")))
-        found = (wanted.join(checked_broadcast(repeated.select("mark")), "mark", "left_semi")
-                 .groupBy("row").agg(F.collect_set("mark").alias("marks")))
-        found = scope.keep(found, "html_found")
-    joined = parsed.drop("marks").join(checked_broadcast(found), "row", "left")
+        found = scope.keep(_found(parsed), "html_found")
+    joined = parsed.drop("least").join(checked_broadcast(found), "row", "left")
     return map_arrow(joined.select("page_id", "url", "host", "blocks", "content", "marks"), _assemble,
                      "page_id long, url string, text string")
 
