@@ -180,35 +180,30 @@ def _hits(seeds: Seeds, column: pa.Array, bits: np.ndarray) -> dict[int, dict[in
     return out
 
 
-_SCHEMA = "doc_id long, row long, item_ids array<long>, longest long"
+_SCHEMA = "doc_id long, text string, item_ids array<long>, longest long"
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: doc_id, contaminated, item_ids (sorted), longest (overlap in words)."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
-
-    def matched(seeds: Seeds) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document: doc_id, contaminated, item_ids (sorted), longest (overlap in words).
+    The rows pass the blocks of the benchmark one after the other, each adding what it finds,
+    so a row is read once and stays one row however many blocks there are."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       F.array().cast("array<bigint>").alias("item_ids"), F.lit(0).cast("bigint").alias("longest"))
+    for seeds in seed_blocks(benchmark, block_words=block_words):
+        def run(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
             bits = seeds.filter()
             for batch in batches:
                 found = _hits(seeds, batch.column("text"), bits)
-                ids = [sorted({seeds.items[k][0] for k in found[i] if seeds.items[k][0] is not None}) if i in found else []
-                       for i in range(batch.num_rows)]
+                ids, longest = batch.column("item_ids").to_pylist(), batch.column("longest").to_pylist()
+                for i, own in found.items():
+                    ids[i] = sorted({*ids[i], *(seeds.items[k][0] for k in own if seeds.items[k][0] is not None)})
+                    longest[i] = max(longest[i], *own.values())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("row"), pa.array(ids, pa.list_(pa.int64())),
-                     pa.array([max(found[i].values()) if i in found else 0 for i in range(batch.num_rows)], pa.int64())],
-                    names=["doc_id", "row", "item_ids", "longest"])
-        return map_arrow(rows, run, _SCHEMA)
-
-    parts = [matched(s) for s in seed_blocks(benchmark, block_words=block_words)] or [matched(Seeds([]))]
-    out = parts[0]
-    if len(parts) > 1:
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        out = (out.groupBy("doc_id", "row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-                                                F.max("longest").alias("longest")))
-    return out.select("doc_id", (F.col("longest") > 0).alias("contaminated"), "item_ids", "longest")
+                    [batch.column("doc_id"), batch.column("text"), pa.array(ids, pa.list_(pa.int64())), pa.array(longest, pa.int64())],
+                    names=["doc_id", "text", "item_ids", "longest"])
+        rows = map_arrow(rows, run, _SCHEMA)
+    return rows.select("doc_id", (F.col("longest") > 0).alias("contaminated"), "item_ids", "longest")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:

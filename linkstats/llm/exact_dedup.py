@@ -5,8 +5,8 @@ space. The index holds one row (digest, doc_id) for every text seen so far. A ba
 reduced to its distinct digests, anti-joined with the index by a sort-merge join that reads
 the buckets as they lie, and what is left is appended.
 
-Defined results: a null text counts as empty; rows that repeat both doc_id and text are one
-document; a null doc_id stays only where no row of its group has an id; other columns are
+Defined results: a null text counts as empty; every row counts and gives a row, also one that
+repeats both doc_id and text; a null doc_id stays only where no row of its group has an id; other columns are
 ignored, whatever their names; an empty table gives no rows and leaves the index as it was.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkstats.llm.common import SPACE_RUN, same, shuffle_width, table, text_of
-from linkstats.session import ensure_checkpoint_dir, materialize
+from linkstats.session import ensure_checkpoint_dir, materialize, path_exists
 
 
 def digest(col: str = "text"):
@@ -28,13 +28,19 @@ def digest(col: str = "text"):
 
 
 class DigestIndex:
-    """An external bucketed table at ``path``; reopened with the same path and buckets it
-    goes on where it stopped. A failed append leaves no rows (Spark commits whole jobs)."""
+    """An external bucketed table at ``path``; reopened, in any session, it goes on where it
+    stopped, with the bucket number stored beside it (another one is refused). A failed append
+    leaves no rows (Spark commits whole jobs)."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/digest-index-{uuid.uuid4().hex}"
-        self.buckets = buckets or shuffle_width(spark)
+        stored = f"{self.path}/_buckets"  # an underscore hides it from readers of the table
+        if not path_exists(spark, stored):
+            spark.range(1).select(F.lit(buckets or shuffle_width(spark)).alias("n")).write.parquet(stored)
+        self.buckets = spark.read.parquet(stored).first()[0]
+        if buckets not in (None, self.buckets):
+            raise ValueError(f"the index at {self.path} has {self.buckets} buckets, not {buckets}")
         self.name = f"digest_index_{hashlib.md5(self.path.encode()).hexdigest()}"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (digest STRING, doc_id BIGINT) USING parquet "
                   f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
@@ -55,11 +61,9 @@ def dedupe(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     ``keep_id`` is the row the index holds for the text: the smallest doc_id of the first
-    batch that had it. ``group_size`` counts the documents of this batch with that text.
+    batch that had it. ``group_size`` counts the rows of this batch with that text.
     """
-    digests = materialize(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), digest(text_col).alias("digest")),
-                          "digests")
-    rows = materialize(digests.distinct(), "digest_rows")
+    rows = materialize(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), digest(text_col).alias("digest")), "digests")
     groups = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("group_size"))
     groups = materialize(groups, "digest_groups")
     index.append_new(groups)
@@ -74,11 +78,14 @@ def keep_first(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text
     """The rows of ``docs`` that stay, with their columns; of rows that repeat both id and
     text one stays. Texts move by (digest, id), so a hot digest is spread."""
     kept = dedupe(docs, index, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"))
-    tagged = docs.withColumn("__digest", digest(text_col))
-    joined = tagged.join(kept, same(tagged["__digest"], kept["__digest"])
+        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__kept"))
+    mark = "__digest"
+    while mark in docs.columns:
+        mark += "_"
+    tagged = docs.withColumn(mark, digest(text_col))
+    joined = tagged.join(kept, same(tagged[mark], kept["__kept"])
                          & same(tagged[id_col].cast("bigint"), kept["__id"]), "left_semi")
-    return joined.dropDuplicates([id_col, "__digest"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return joined.dropDuplicates([id_col, mark]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

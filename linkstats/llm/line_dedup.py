@@ -71,12 +71,13 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     rows = _rows(docs, id_col, text_col)
     b = bitmaps.select(F.col("doc_id").alias("b_id"), F.col("row").alias("b_row"), "words")
     joined = rows.join(b, same(rows["doc_id"], b["b_id"]) & (rows["row"] == b["b_row"]), "left")
-    dense = F.expr("transform(sequence(0, (size(lines) - 1) div 64), "
-                   "w -> coalesce(map_from_entries(words)[cast(w as int)], -1L))")
+    # The map and the dense bitmap are bound by lambdas, so each is built once for a text.
+    dense = F.expr("get(transform(array(map_from_entries(words)), m -> transform(sequence(0, (size(lines) - 1) div 64), "
+                   "w -> coalesce(m[cast(w as int)], -1L))), 0)")
     out = joined.select("doc_id", "text", "words", F.split("text", "\n", -1).alias("lines"))
     out = out.withColumn("keep", F.when(F.col("words").isNotNull(), dense))
-    kept = F.expr("array_join(filter(lines, (x, i) -> "
-                  "(shiftrightunsigned(keep[cast(i div 64 as int)], cast(i % 64 as int)) & 1L) = 1L), '\n')")
+    kept = F.expr("get(transform(array(keep), k -> array_join(filter(lines, (x, i) -> "
+                  "(shiftrightunsigned(k[cast(i div 64 as int)], cast(i % 64 as int)) & 1L) = 1L), '\n')), 0)")
     return out.select("doc_id", F.size("lines").cast("long").alias("n_lines"),
                       F.expr("coalesce(aggregate(words, 0L, (s, w) -> s + bit_count(~w.keep)), 0L)").alias("n_dropped"),
                       F.when(F.col("words").isNull(), F.col("text")).otherwise(kept).alias("kept"))

@@ -21,6 +21,7 @@ score alike; other columns are ignored, whatever their names; an empty table giv
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,7 @@ IDENTITY = ["african", "american", "arab", "asian", "atheist", "black", "blind",
             "disabled", "elderly", "european", "female", "gay", "heterosexual", "hindu", "homosexual", "immigrant", "jewish",
             "latino", "lesbian", "male", "mexican", "muslim", "old", "protestant", "queer", "refugee", "straight", "trans",
             "transgender", "white", "young"]
+MENTION = "They live next to {} people."
 _IDENTITY = re.compile(r"(?<![a-z])(" + "|".join(IDENTITY) + r")(?![a-z])", re.I)
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 
@@ -70,14 +72,20 @@ def features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
 
 
 def swapped(text: str, swaps: int = SWAPS) -> list[tuple[str, str]]:
-    """(sentence, the sentence with other identity terms) pairs of a text."""
+    """(sentence, the sentence with other identity terms) pairs of a text. A text that names
+    no group gets a neutral mention of one beside one of its sentences (both chosen by its
+    checksum), so that every text has pairs."""
+    sentences = _SENTENCE.findall(text)
+    named = [s for s in sentences if _IDENTITY.search(s)]
+    if not named and sentences:
+        pick = zlib.crc32(text.encode())
+        named = [f"{sentences[pick % len(sentences)]} {MENTION.format(IDENTITY[pick % len(IDENTITY)])}"]
     out = []
-    for sentence in _SENTENCE.findall(text):
-        if _IDENTITY.search(sentence):
-            for k in range(1, swaps + 1):
-                out.append((sentence, _IDENTITY.sub(
-                    lambda m, k=k: IDENTITY[(IDENTITY.index(m[0].lower()) + k * (len(IDENTITY) // (swaps + 1))) % len(IDENTITY)],
-                    sentence)))
+    for sentence in named:
+        for k in range(1, swaps + 1):
+            out.append((sentence, _IDENTITY.sub(
+                lambda m, k=k: IDENTITY[(IDENTITY.index(m[0].lower()) + k * (len(IDENTITY) // (swaps + 1))) % len(IDENTITY)],
+                sentence)))
     return out
 
 
@@ -110,12 +118,14 @@ def _vectors(chosen: np.ndarray):
                                            pa.array([r[1] for r in rows], pa.list_(pa.float64()))], schema=_VECTORS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = 0  # pairs are numbered over all batches of a partition
         for batch in batches:
             n = batch.num_rows
             yield one(batch.column("text"), batch.column("label").to_pylist(), [0] * n, [None] * n)
             pairs = [p for t in batch.column("text").to_pylist() for p in swapped(t)]
             if pairs:
-                number = list(range(len(pairs)))
+                number = list(range(done, done + len(pairs)))
+                done += len(pairs)
                 yield one(pa.array([p[0] for p in pairs] + [p[1] for p in pairs]), [None] * 2 * len(pairs),
                           [-1] * len(pairs) + [1] * len(pairs), number * 2)
     return run
@@ -199,7 +209,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .orderBy(F.xxhash64("__id"), "__id").limit(max_labelled))
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # The broadcast side has max_labelled rows of two numbers at most.
-    sample = materialize(texts.join(F.broadcast(chosen), "__id").select("text", "label"), "toxicity_sample")
+    # Of rows that share an id one is taken, so the sample has no more rows than ids.
+    sample = (texts.join(F.broadcast(chosen), "__id").groupBy("__id").agg(F.min("text").alias("text"), F.max("label").alias("label")))
+    sample = materialize(sample.select("text", "label"), "toxicity_sample")
     n, ones = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not n:
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), None)

@@ -291,3 +291,78 @@ def test_op13_digests(spark):
         want = (len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
                 sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)), sha(brute_collapse(words, runs)))
         assert tuple(got[doc_id])[1:] == want, doc_id
+
+
+# ---- earlier operators: findings of the last verdict ----
+
+def test_exact_dedup_counts_every_row_and_reopens_with_its_buckets(spark, tmp_path):
+    from linkstats.llm import exact_dedup
+    df = spark.createDataFrame([(1, "a  b"), (1, "a  b"), (2, "a b"), (3, "c")], "doc_id long, text string")
+    got = sorted(tuple(r)[:4] for r in exact_dedup.dedupe(df, exact_dedup.DigestIndex(spark)).collect())
+    assert got == [(1, 1, 3, True), (1, 1, 3, True), (2, 1, 3, False), (3, 3, 1, True)]
+    named = df.withColumn("__digest", F.lit("mine"))
+    assert sorted(map(tuple, exact_dedup.keep_first(named, exact_dedup.DigestIndex(spark)).collect())) == [(1, "a  b", "mine"), (3, "c", "mine")]
+    path = str(tmp_path / "index")
+    texts = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    assert exact_dedup.keep_first(texts, exact_dedup.DigestIndex(spark, path, 4)).count() == 200
+    for r in spark.sql("SHOW TABLES LIKE 'digest_index_*'").collect():
+        spark.sql(f"DROP TABLE {r['tableName']}")  # as in a new session
+    more = texts.withColumn("doc_id", F.col("doc_id") + 1000)
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert exact_dedup.keep_first(more, exact_dedup.DigestIndex(spark, path)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, path, 8)
+
+
+def test_overlaps_are_the_same_with_one_block_and_with_several(spark):
+    from linkstats.llm import decontaminate
+    items = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(6)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(1, items[2]), (1, items[2]), (1, f"{items[0]} and {items[5]}"), (None, items[1]), (4, "clean text"), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one, several = (sorted(map(repr, decontaminate.overlaps(df, bench, block_words=n).collect())) for n in (500_000, 30))
+    assert one == several and len(one) == 6
+    assert decontaminate.overlaps(df.limit(0), bench).count() == 0
+
+
+def test_line_dedup_of_long_documents(spark):
+    import time
+
+    from linkstats.llm import line_dedup
+    n = 20_000
+    lines = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.concat(
+        F.lit("a line that is long enough "), F.when(i % 3 == 0, i).otherwise(i + 1_000_000 * F.col("id")).cast("string")))
+    df = spark.range(1, 4).select(F.col("id").alias("doc_id"), F.array_join(lines, "\n").alias("text"))
+    t = time.perf_counter()
+    bitmaps = line_dedup.keep_bitmaps(df)
+    got = sorted((r.doc_id, r.n_lines, r.n_dropped, r.kept.count("\n") + 1) for r in line_dedup.apply_bitmaps(df, bitmaps).collect())
+    shared = len(range(0, n, 3))
+    assert got == [(1, n, shared, n - shared), (2, n, shared, n - shared), (3, n, 0, n)]
+    assert time.perf_counter() - t < 60
+
+
+def test_every_labelled_text_has_swap_pairs():
+    from linkstats.llm import toxicity
+    for text in ("A plain sentence. Another one!", "The old man sings. So be it."):
+        pairs = toxicity.swapped(text)
+        assert len(pairs) == toxicity.SWAPS
+        for a, b in pairs:
+            changed = [(x, y) for x, y in zip(re.findall(r"\w+", a), re.findall(r"\w+", b)) if x != y]
+            assert changed and all(x.lower() in toxicity.IDENTITY and y in toxicity.IDENTITY for x, y in changed)
+        assert toxicity.swapped(text) == pairs
+    assert toxicity.swapped("") == []
+
+
+def test_the_labelled_sample_is_bounded_where_ids_repeat(spark, monkeypatch):
+    from linkstats.llm import toxicity
+    docs = spark.range(40).select((F.col("id") % 20).alias("doc_id"), F.concat(F.lit("some text "), "id").alias("text"))
+    labels = spark.range(20).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    seen = {}
+    keep = toxicity.materialize
+    monkeypatch.setattr(toxicity, "materialize", lambda df, name: seen.setdefault(name, keep(df, name)))
+    toxicity.fit(docs, labels, max_labelled=5)
+    assert seen["toxicity_sample"].count() == 5
