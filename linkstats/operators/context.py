@@ -82,6 +82,8 @@ def blocked(pairs: DataFrame, counts: DataFrame, block: int = BLOCK) -> tuple[Da
     in ``block`` pairs; their table is broadcast only when measured under the limit."""
     hot = pairs.groupBy("para_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block)
     hot = sess.materialize(hot.select("para_key", F.ceil(F.col("_n") / block).cast("int").alias("_blocks")), "hot_paragraphs")
+    if hot.isEmpty():
+        return pairs.withColumn("_block", F.lit(0)), counts.withColumn("_block", F.lit(0))
     side = sess.checked_broadcast(hot)
     n = F.coalesce("_blocks", F.lit(1))
     left = pairs.join(side, "para_key", "left").withColumn("_block", F.pmod(F.xxhash64("uri"), n).cast("int")).drop("_blocks")
