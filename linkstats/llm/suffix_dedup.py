@@ -6,15 +6,20 @@ fingerprint of their first ``GRAM`` bytes (``core``), then by that of the whole
 that share the anchor (``run``), equal runs counted as one class. A new batch is merge-scanned
 against every level of the index: a core found on both sides, or twice in the batch, is a
 possible long match. Then it becomes a level of its own, and as long as two levels have the
-same rank they merge into one of the next rank, so there are at most log2(batches) levels and
-each row is rewritten that often.
+same rank they merge, bucket by bucket and without a shuffle, into one of the next rank, so
+there are at most log2(batches) levels and each row is rewritten that often. Levels are
+bucketed by core and run together: a core that a third of all documents hold, each with
+another run, spreads over all buckets.
+
+An index with a path of its own is kept, with the texts of its batches beside the levels, so a
+later batch, in any session, also finds the passages that only older texts share in part.
 
 A class with two or more members repeats as a whole. Classes that share a core but not the
 run differ somewhere in their context: their representatives alone are cut into stretches of
 ``STEPS`` windows, with the bytes common to a stretch as the new core, and compared again; the
 last step compares single windows. So the result is exact up to 64-bit collisions, no pairs
 are made, and a passage held by a third of all documents is one class after the partial
-aggregates.
+aggregates. Windows become byte spans where they are found, before they meet by document.
 
 Defined results: a null text is empty; texts are UTF-8 bytes; matches never cross documents
 and may lie in one document; rows that repeat both doc_id and text count as two places;
@@ -35,11 +40,12 @@ from pyspark.sql import functions as F
 from linkstats.llm import suffix_anchors as sa
 from linkstats.llm import wordhash as wh
 from linkstats.llm.common import map_arrow, release, shuffle_width, table, text_of
-from linkstats.session import checked_broadcast, ensure_checkpoint_dir, materialize
+from linkstats.session import checked_broadcast, ensure_checkpoint_dir, materialize, path_exists, scratch_tables
 
 LENGTH, GRAM, STEPS, BATCHES = sa.LENGTH, sa.GRAM, (34, 1), 2
 _ROWS = pa.schema([("core", pa.int64()), ("run", pa.int64()), ("rid", pa.int64()), ("pos", pa.int64())])
 ROWS = "core long, run long, rid long, pos long"
+MANIFEST = "version bigint, buckets int, level int, name string"
 
 
 def pack(first: np.ndarray, last: np.ndarray, anchor: np.ndarray) -> np.ndarray:
@@ -107,65 +113,123 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["core", "run", "n", "rid", "pos"])
 
 
-def _classes(rows: DataFrame, buckets: int | None = None) -> DataFrame:
-    """(core, run, n, rid, pos): equal runs as one class with a representative place; with
-    ``buckets`` the classes lie by core in so many partitions."""
-    rows = rows if "n" in rows.columns else rows.withColumn("n", F.lit(1).cast("long"))
-    rows = rows.repartition(buckets, "core") if buckets else rows
+def _classes(rows: DataFrame) -> DataFrame:
+    """(core, run, n, rid, pos): equal runs as one class with a representative place."""
     return rows.groupBy("core", "run").agg(F.sum("n").alias("n"), F.first("rid").alias("rid"), F.first("pos").alias("pos"))
 
 
+def _place_classes(cut: DataFrame) -> DataFrame:
+    """Classes of stretches, which may be listed more than once: n is 2 for several places."""
+    places = cut.groupBy("core", "run").agg(F.min(F.struct("rid", "pos")).alias("a"), F.max(F.struct("rid", "pos")).alias("b"))
+    return places.select("core", "run", F.when(F.col("a") == F.col("b"), 1).otherwise(2).alias("n"), "a.rid", "a.pos")
+
+
+def union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 class SuffixIndex:
-    """Levels of rank 0, 1, 2, ...: tables bucketed by core and sorted by (core, run)."""
+    """Levels of rank 0, 1, 2, ...: tables bucketed and sorted by (core, run).
+
+    With a ``path`` the index is kept there: ``commit`` appends its levels, its bucket number and
+    its text tables to a manifest, and an index opened at the path goes on from the last committed
+    version (another bucket number is refused). A batch whose job died before the commit is not in
+    it and can be added again; one that is added twice counts as copies. Without a path the index
+    lives as long as the object.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
-        self.spark, self.buckets = spark, buckets or shuffle_width(spark)
-        self.path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/suffix-index-{uuid.uuid4().hex}"
+        self.spark, self.kept, self.version = spark, path is not None, 0
+        self.path = (path or f"{ensure_checkpoint_dir(spark)}/tables/suffix-index-{uuid.uuid4().hex}").rstrip("/")
         self.levels: dict[int, str] = {}
-
-    def _write(self, rows: DataFrame) -> str:
+        self.batches: list[str] = []
+        self._stale: list[str] = []
+        stored = None
+        if self.kept and path_exists(spark, f"{self.path}/manifest"):
+            rows = spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest")
+            self.version = rows.agg(F.max("version")).first()[0]
+            for row in rows.where(F.col("version") == self.version).collect():  # one row for each level and batch
+                stored = row.buckets
+                if row.level is None:
+                    self.batches.append(row.name)
+                else:
+                    self.levels[row.level] = row.name
+        self.buckets = stored or buckets or shuffle_width(spark)
+        if buckets not in (None, self.buckets):
+            raise ValueError(f"the index at {self.path} has {self.buckets} buckets, not {buckets}")
+
+    def _level(self, name: str) -> DataFrame:
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (core BIGINT, run BIGINT, n BIGINT, rid BIGINT, pos BIGINT) USING parquet "
+                       f"CLUSTERED BY (core, run) SORTED BY (core, run) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{name}'")
+        return self.spark.table(name)
+
+    def _write(self, classes: DataFrame) -> str:
         name = f"suffix_level_{uuid.uuid4().hex}"
-        (_classes(rows, self.buckets).select("core", "run", "n", "rid", "pos")
-         .write.format("parquet").bucketBy(self.buckets, "core").sortBy("core", "run")
+        (classes.select("core", "run", "n", "rid", "pos")
+         .write.format("parquet").bucketBy(self.buckets, "core", "run").sortBy("core", "run")
          .option("path", f"{self.path}/{name}").saveAsTable(name))
         return name
 
     def _drop(self, name: str) -> None:
-        self.spark.sql(f"DROP TABLE {name}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         release(self.spark, f"{self.path}/{name}")
 
     def add(self, rows: DataFrame) -> DataFrame:
         """Adds a batch; returns the cores (core) that repeat in it or in an older level."""
-        name = self._write(map_arrow(rows, _combine, "core long, run long, n long, rid long, pos long"))
-        batch = self.spark.table(name)
-        cores = batch.groupBy("core").agg(F.sum("n").alias("n"))
-        matches = cores.where("n > 1").select("core")
+        rows = map_arrow(rows, _combine, "core long, run long, n long, rid long, pos long")
+        name = self._write(_classes(rows.repartition(self.buckets, "core", "run")))
+        cores = self._level(name).groupBy("core").agg((F.sum("n") > 1).alias("repeats"))
         for older in self.levels.values():
-            matches = matches.unionByName(cores.select("core").hint("merge").join(self.spark.table(older).select("core"), "core", "left_semi"))
-        matches = materialize(matches.distinct(), "suffix_matches")
+            known = self._level(older).select("core").distinct().withColumn("known", F.lit(True))
+            cores = (cores.hint("merge").join(known, "core", "left")
+                     .select("core", (F.col("repeats") | F.col("known").isNotNull()).alias("repeats")))
+        matches = materialize(cores.where("repeats").select("core"), "suffix_matches")
         rank = 0
         while rank in self.levels:
             older = self.levels.pop(rank)
-            merged = self._write(self.spark.table(older).unionByName(self.spark.table(name)))
-            self._drop(older)
-            self._drop(name)
+            merged = self._write(_classes(self._level(older).unionByName(self._level(name))))
+            self._stale += [older, name]
+            if not self.kept:
+                self._forget()
             name, rank = merged, rank + 1
         self.levels[rank] = name
         return matches
 
+    def add_texts(self, texts: DataFrame) -> None:
+        """Keeps the texts (rid, text) of a batch."""
+        name = f"texts_{uuid.uuid4().hex}"
+        texts.write.parquet(f"{self.path}/{name}")
+        self.batches.append(name)
+
+    def texts(self) -> DataFrame:
+        return union([self.spark.read.parquet(f"{self.path}/{b}") for b in self.batches])
+
     def classes(self) -> DataFrame:
-        parts = [self.spark.table(n) for n in self.levels.values()]
-        if len(parts) == 1:
-            return parts[0]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return _classes(out)
+        parts = [self._level(n) for n in self.levels.values()]
+        return parts[0] if len(parts) == 1 else _classes(union(parts))
+
+    def commit(self) -> None:
+        """Makes the batches added since the last commit part of the kept index."""
+        entries = [*self.levels.items(), *((None, b) for b in self.batches)]
+        rows = [(self.version + 1, self.buckets, level, name) for level, name in entries]
+        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+        self.version += 1
+        self._forget()
+
+    def _forget(self) -> None:
+        for name in self._stale:
+            self._drop(name)
+        self._stale = []
 
     def close(self) -> None:
-        for name in self.levels.values():
-            self._drop(name)
-        self.levels = {}
+        """Deletes an index that is not kept."""
+        if not self.kept:
+            self._stale += self.levels.values()
+            self._forget()
+            release(self.spark, self.path)
 
 
 def _open(classes: DataFrame) -> DataFrame:
@@ -174,13 +238,33 @@ def _open(classes: DataFrame) -> DataFrame:
     return classes.join(several, "core").groupBy("rid").agg(F.collect_list("pos").alias("places"))
 
 
+SPAN_BITS = 31  # a text is shorter than 2 GiB
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of each batch of (rid, pos) as byte spans, merged by text: (rid, span),
+    where span packs start and length."""
+    for batch in batches:
+        rid, (first, last, _) = batch.column("rid").to_numpy(), unpack(batch.column("pos").to_numpy())
+        ids, row = np.unique(rid, return_inverse=True)
+        base = row.astype(np.int64) << (SPAN_BITS + 1)  # texts end to end, far apart
+        order = np.argsort(base + first, kind="stable")
+        start, end = (base + first)[order], (base + last + LENGTH)[order]
+        reach = np.maximum.accumulate(end)
+        at = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]])[:len(start)])
+        length = reach[np.append(at[1:], len(start)) - 1] - start[at] if len(at) else at
+        inner = start[at] & ((1 << (SPAN_BITS + 1)) - 1)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[start[at] >> (SPAN_BITS + 1)]), pa.array((inner << SPAN_BITS) | length)], names=["rid", "span"])
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of each text, as (first, last) pairs packed in places, to removed byte spans."""
+    """The spans of each text, which may overlap, to the removed byte spans."""
     for batch in batches:
         starts, ends = [], []
-        for places in batch.column("places"):
-            first, last, _ = unpack(np.unique(np.asarray(places.values)))
-            reach = np.maximum.accumulate(last + LENGTH)
+        for spans in batch.column("spans"):
+            spans = np.sort(np.asarray(spans.values))
+            first = spans >> SPAN_BITS
+            reach = np.maximum.accumulate(first + (spans & ((1 << SPAN_BITS) - 1)))
             new = np.concatenate([[True], first[1:] > reach[:-1]])
             starts.append(first[new])
             ends.append(reach[np.append(np.flatnonzero(new)[1:], len(first)) - 1])
@@ -194,34 +278,42 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES,
                    index: SuffixIndex | None = None) -> DataFrame:
-    """(rid, starts, ends): the byte spans to remove; rid is the xxhash64 of (doc_id, text).
+    """(rid, starts, ends): the byte spans of ``docs`` to remove, those found in the older batches
+    of ``index`` included; rid is the xxhash64 of (doc_id, text).
 
-    ``docs`` is added to ``index`` (a new one by default) in ``batches`` batches.
+    ``docs`` is added to ``index`` (a new one by default) in ``batches`` batches and committed
+    there when the result is written. Spans of older documents are not returned.
     """
+    spark, kept = docs.sparkSession, index is not None and index.kept
     own = index is None
-    index = index or SuffixIndex(docs.sparkSession)
-    texts = _texts(docs, id_col, text_col)
-    rows = materialize(map_arrow(texts.where(F.octet_length("text") >= LENGTH).select("rid", "text"), _suffixes, ROWS), "suffix_rows")
-    matches = None
-    for i in range(batches):
-        found = index.add(rows.where(F.pmod("rid", F.lit(batches)) == i))
-        matches = found if matches is None else matches.unionByName(found)
-    classes = materialize(index.classes().join(matches.distinct(), "core", "left_semi"), "suffix_classes")
-    if own:
-        index.close()
-    whole = classes.where("n > 1").select("core", "run")
-    marks = [rows.join(checked_broadcast(whole), ["core", "run"]).select("rid", "pos")]
-    for step in STEPS:
-        open_ = materialize(_open(classes), "suffix_open")
-        picked = texts.select("rid", "text").join(checked_broadcast(open_), "rid").select("rid", "text", "places")
-        cut = materialize(map_arrow(picked, _stretches(step), ROWS).distinct(), "suffix_stretches")
-        classes = materialize(_classes(cut), "suffix_classes")
-        marks.append(cut.hint("merge").join(classes.where("n > 1").select("core", "run"), ["core", "run"]).select("rid", "pos"))
-    places = marks[0]
-    for m in marks[1:]:
-        places = places.unionByName(m)
-    places = places.groupBy("rid").agg(F.collect_set(F.col("pos").bitwiseAND(F.lit(~255))).alias("places"))
-    return map_arrow(places, _merge, "rid long, starts array<long>, ends array<long>")
+    index = index or SuffixIndex(spark)
+    with scratch_tables(spark) as scope:
+        texts = _texts(docs, id_col, text_col).where(F.octet_length("text") >= LENGTH).select("rid", "text")
+        rows = materialize(map_arrow(texts, _suffixes, ROWS), "suffix_rows")
+        found = [index.add(rows.where(F.pmod("rid", F.lit(batches)) == i)) for i in range(batches)]
+        if kept:
+            index.add_texts(texts)
+            texts = index.texts()
+        matches = union(found).distinct()
+        classes = materialize(index.classes().join(checked_broadcast(matches), "core", "left_semi"), "suffix_classes")
+        if own:
+            index.close()
+        whole = classes.where("n > 1").select("core", "run")
+        marks = [rows.join(checked_broadcast(whole), ["core", "run"])]
+        for step in STEPS:
+            open_ = materialize(_open(classes), "suffix_open")
+            picked = texts.join(checked_broadcast(open_), "rid").select("rid", "text", "places")
+            cut = materialize(map_arrow(picked, _stretches(step), ROWS), "suffix_stretches")
+            classes = materialize(_place_classes(cut), "suffix_classes")
+            marks.append(cut.join(checked_broadcast(classes.where("n > 1").select("core", "run")), ["core", "run"]))
+        spans = union([map_arrow(m.select("rid", "pos"), _spans, "rid long, span long") for m in marks])
+        spans = spans.groupBy("rid").agg(F.collect_set("span").alias("spans"))
+        if not own:
+            spans = spans.join(rows.select("rid").distinct(), "rid", "left_semi")
+        out = scope.keep(map_arrow(spans, _merge, "rid long, starts array<long>, ends array<long>"), "suffix_spans")
+        if kept:
+            index.commit()
+    return out
 
 
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
@@ -242,10 +334,11 @@ def _cut(with_text: bool):
     return run
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES, with_text: bool = True) -> DataFrame:
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES, with_text: bool = True,
+                index: SuffixIndex | None = None) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept (bytes that are cut
     inside a character are replaced), kept_sha256 (of the exact bytes)."""
-    spans = materialize(repeated_spans(docs, id_col, text_col, batches), "suffix_spans")
+    spans = repeated_spans(docs, id_col, text_col, batches, index)
     joined = _texts(docs, id_col, text_col).join(checked_broadcast(spans), "rid", "left").select("doc_id", "text", "starts", "ends")
     return map_arrow(joined, _cut(with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept string, kept_sha256 string")
 

@@ -109,6 +109,50 @@ def test_suffix_dedup(docs):
             assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(t), int(cover.sum()), spans, sha(kept))
 
 
+def test_suffix_index_reopened(spark, tmp_path):
+    """A later batch against the index of an older one, whose texts it shares only in part."""
+    r = random.Random(9)
+    shared = ["".join(r.choice("abcdefgh ") for _ in range(260)) for _ in range(8)]
+
+    def batch(first):
+        noise = lambda: "".join(r.choice("ijklmnop ") for _ in range(300))
+        return spark.createDataFrame([(first + i, noise() + s + noise()) for i, s in enumerate(shared)], "doc_id long, text string")
+
+    def removed(docs, **options):
+        return {x.doc_id: x.n_removed for x in suffix_dedup.cut_repeats(docs, batches=1, **options).collect()}
+    path = f"{tmp_path}/index"
+    older, later, last = batch(0), batch(100), batch(200)
+    assert set(removed(older, index=suffix_dedup.SuffixIndex(spark, path, buckets=3)).values()) == {0}
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        got = removed(later, index=suffix_dedup.SuffixIndex(spark, path))
+        both = removed(older.unionByName(later))
+        assert got == {i: both[i] for i in range(100, 108)} and sum(got.values()) >= 2080
+        with pytest.raises(ValueError):
+            suffix_dedup.SuffixIndex(spark, path, buckets=4)
+        died = suffix_dedup.SuffixIndex(spark, path)  # adds a batch and never commits
+        died.add(spark.createDataFrame([(1, 2, 3, 4 << 16)], suffix_dedup.ROWS))
+        third = suffix_dedup.SuffixIndex(spark, path)
+        assert third.version == 2 and third.buckets == 3
+        got = removed(last, index=third)
+        every = removed(older.unionByName(later).unionByName(last))
+        assert got == {i: every[i] for i in range(200, 208)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_suffix_dedup_odd_rows(spark):
+    """Repeated rows count as two places; null ids and a short line that many documents hold."""
+    r = random.Random(4)
+    line = "".join(r.choice("abc ") for _ in range(100))
+    rows = [(i, "".join(r.choice("defg ") for _ in range(150)) + line + "".join(r.choice("hijk ") for _ in range(150))) for i in range(60)]
+    twice = "".join(r.choice("lmno ") for _ in range(500))
+    rows += [(900, twice), (900, twice), (None, rows[0][1]), (None, None)]
+    got = sorted((x.doc_id or -1, x.n_bytes, x.n_removed) for x in suffix_dedup.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = [(-1, 0, 0), (-1, 400, 400), *((i or -1, 400, 400 if i == 0 else 0) for i in range(60)), (900, 500, 500), (900, 500, 500)]
+    assert got == sorted(want)
+
+
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_dedup(docs, k):
     def shingles(t):
