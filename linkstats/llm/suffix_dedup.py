@@ -295,17 +295,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             index.add_texts(texts)
             texts = index.texts()
         matches = union(found).distinct()
-        classes = materialize(index.classes().join(checked_broadcast(matches), "core", "left_semi"), "suffix_classes")
+        classes = materialize(index.classes().hint("merge").join(matches, "core", "left_semi"), "suffix_classes")
         if own:
             index.close()
         whole = classes.where("n > 1").select("core", "run")
-        marks = [rows.join(checked_broadcast(whole), ["core", "run"])]
+        marks = [rows.hint("merge").join(whole, ["core", "run"])]  # the classes grow with the corpus: no broadcast
         for step in STEPS:
             open_ = materialize(_open(classes), "suffix_open")
             picked = texts.join(checked_broadcast(open_), "rid").select("rid", "text", "places")
             cut = materialize(map_arrow(picked, _stretches(step), ROWS), "suffix_stretches")
             classes = materialize(_place_classes(cut), "suffix_classes")
-            marks.append(cut.join(checked_broadcast(classes.where("n > 1").select("core", "run")), ["core", "run"]))
+            marks.append(cut.hint("merge").join(classes.where("n > 1").select("core", "run"), ["core", "run"]))
         spans = union([map_arrow(m.select("rid", "pos"), _spans, "rid long, span long") for m in marks])
         spans = spans.groupBy("rid").agg(F.collect_set("span").alias("spans"))
         if not own:
