@@ -4,6 +4,8 @@ Features of a text are its distinct lower-cased words and word beginnings of 3 t
 each with log(1 + count). From at most ``max_labelled`` labelled rows (those with the
 smallest hash of the id) the ``max_features`` features that lean most to label 1 are chosen,
 and a logistic model with an L1 penalty is fitted to them by accelerated proximal gradient.
+The weight of that penalty is the one of ``L1_CHOICES`` with the least log loss over folds of
+those rows, features chosen anew in each; held-out rows have no part in it.
 
 Counterfactual part: every sentence of those labelled rows that holds an identity term is
 written again with each of ``swaps`` other terms, and the squared change of its score is
@@ -35,7 +37,9 @@ from linkstats.session import materialize
 
 MAX_LABELLED, MAX_FEATURES, MAX_SENTENCES, SWAPS = 8_000, 30_000, 20_000, 3
 LENGTHS = (0, 3, 4, 5, 6, 7, 8)  # 0: the whole word
-L1, COUNTERFACTUAL, STEPS = 2e-4, 1.0, 400
+L1_CHOICES, FOLDS, FOLD_STEPS = (5e-5, 2e-4, 8e-4), 3, 150
+L1, COUNTERFACTUAL, STEPS = 2e-4, 1.0, 400  # L1: where no fold has both classes
+MIN_TEXTS, MIN_LEAN = 3, 3.0
 # Identity terms, swapped for one another.
 IDENTITY = ["african", "american", "arab", "asian", "atheist", "black", "blind", "buddhist", "catholic", "christian", "deaf",
             "disabled", "elderly", "european", "female", "gay", "heterosexual", "hindu", "homosexual", "immigrant", "jewish",
@@ -178,6 +182,36 @@ def fit_weights(vectors: list, n_features: int, l1: float = L1, counterfactual:
     return w, float(bias)
 
 
+def choose_l1(vectors: list, n_features: int, choices=L1_CHOICES, counterfactual: float = COUNTERFACTUAL) -> float:
+    """The penalty weight with the least log loss on left-out folds of the labelled rows. Rows of
+    equal features share a fold, and the features of a fold are those that lean to label 1
+    in its other rows."""
+    texts, swaps = [v for v in vectors if v["sign"] == 0], [v for v in vectors if v["sign"] != 0]
+    fold = np.array([zlib.crc32(np.asarray(v["at"], dtype=np.int32).tobytes()) % FOLDS for v in texts])
+    label = np.array([v["label"] for v in texts], dtype=float)
+    loss, used = dict.fromkeys(sorted(choices, reverse=True), 0.0), False
+    for f in range(FOLDS):
+        own, rest = np.flatnonzero(fold == f), np.flatnonzero(fold != f)
+        rate = label[rest].mean() if len(rest) else 0.0
+        if not len(own) or not 0 < rate < 1:
+            continue
+        used = True
+        at = np.concatenate([np.asarray(texts[i]["at"], dtype=np.int64) for i in rest])
+        n = np.bincount(at, minlength=n_features)
+        ones = np.bincount(at, weights=np.repeat(label[rest], [len(texts[i]["at"]) for i in rest]), minlength=n_features)
+        kept = (n >= MIN_TEXTS) & (ones - n * rate > MIN_LEAN * np.sqrt(n * rate * (1 - rate) + 1e-9))
+
+        def narrowed(v):
+            a, x = np.asarray(v["at"], dtype=np.int64), np.asarray(v["value"], dtype=float)
+            return {"label": v["label"], "sign": v["sign"], "at": a[kept[a]], "value": x[kept[a]]}
+        train, left = [narrowed(texts[i]) for i in rest] + [narrowed(v) for v in swaps], [narrowed(texts[i]) for i in own]
+        for l1 in loss:
+            w, bias = fit_weights(train, n_features, l1, counterfactual, FOLD_STEPS)
+            z = bias + np.array([w[v["at"]] @ v["value"] for v in left])
+            loss[l1] += float(np.logaddexp(0, np.where(label[own] == 1, -z, z)).sum())
+    return min(loss, key=loss.get) if used else L1
+
+
 class ToxicityModel:
     """Non-zero weights by feature hash, and the bias; ``bias`` is None without labels."""
 
@@ -202,8 +236,9 @@ def held_out(id_col: str = "doc_id"):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        max_labelled: int = MAX_LABELLED, max_features: int = MAX_FEATURES, counterfactual: float = COUNTERFACTUAL) -> ToxicityModel:
-    """Fits on labelled rows that are not held out."""
+        max_labelled: int = MAX_LABELLED, max_features: int = MAX_FEATURES, counterfactual: float = COUNTERFACTUAL,
+        l1: float | None = None) -> ToxicityModel:
+    """Fits on labelled rows that are not held out; ``l1`` is chosen on them unless given."""
     chosen = (labels.where(~held_out(id_col) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("long").alias("label"))
               .orderBy(F.xxhash64("__id"), "__id").limit(max_labelled))
@@ -219,7 +254,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counts = (map_arrow(sample.select("text", "label"), _counts, "feature long, n long, ones long")
               .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")))
     lean = (F.col("ones") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate) + 1e-9)
-    best = (counts.where("n >= 3").withColumn("lean", lean).where("lean > 3")
+    best = (counts.where(F.col("n") >= MIN_TEXTS).withColumn("lean", lean).where(F.col("lean") > MIN_LEAN)
             .orderBy(F.desc("lean"), "feature").limit(max_features).select("feature").collect())
     names = np.sort(np.array([r[0] for r in best], dtype=np.int64).view(np.uint64))
     if not len(names):
@@ -231,7 +266,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     pairs = vectors.where("sign <> 0 and size(at) > 0").select("part", "pair").distinct().orderBy(F.xxhash64("part", "pair")).limit(MAX_SENTENCES)
     rows += (vectors.where("sign <> 0").join(F.broadcast(pairs), ["part", "pair"])
              .dropDuplicates(["part", "pair", "sign"]).orderBy("part", "pair", "sign").collect())
-    weight, bias = fit_weights(rows, len(names), counterfactual=counterfactual)
+    l1 = choose_l1(rows, len(names), counterfactual=counterfactual) if l1 is None else l1
+    weight, bias = fit_weights(rows, len(names), l1, counterfactual)
     used = weight != 0
     return ToxicityModel(names[used], weight[used], bias)
 
