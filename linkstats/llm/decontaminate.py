@@ -14,8 +14,9 @@ The test side is joined from memory in blocks of at most ``block_words`` words,
 whatever the benchmark's size; each block is matched against all documents, which are never
 shuffled. Items of fewer than ``MIN_WORDS`` words are hashed whole, with as many places ignored
 as may differ, and match where the whole item lies in the document and 80 % of its words, end
-words or others, match. Items of fewer than ``MIN_ITEM`` words are too common to be evidence
-and match nothing.
+words or others, match. Items of fewer than ``min_item`` words (``MIN_ITEM`` unless given) are too common
+to be evidence and match nothing; with ``min_item=1`` every item counts, and one of fewer than
+five words matches where it lies in the document word for word.
 
 Defined results: null or empty texts and items match nothing; repeated rows give repeated
 results; repeated items are matched alike; other columns are ignored, whatever their names;
@@ -66,7 +67,7 @@ def masks_of(n_words: int) -> tuple[str, ...]:
     """The masks for an item of so many words."""
     if n_words >= MIN_WORDS:
         return MASKS
-    return _whole_masks(n_words) if n_words >= MIN_ITEM else ()
+    return _whole_masks(n_words) if n_words else ()
 
 
 @lru_cache
@@ -154,12 +155,12 @@ def best_overlap(equal: np.ndarray, least: int) -> int:
 
 
 def seed_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
-                block_words: int = BLOCK_WORDS) -> Iterator[Seeds]:
-    """The benchmark as blocks of seeds, read row by row."""
+                block_words: int = BLOCK_WORDS, min_item: int = MIN_ITEM) -> Iterator[Seeds]:
+    """The benchmark's items of ``min_item`` words or more as blocks of seeds, read row by row."""
     items, n = [], 0
     for row in benchmark.select(F.col(id_col).cast("bigint"), F.coalesce(F.col(text_col), F.lit(""))).orderBy(id_col).toLocalIterator():
         _, _, words, _ = next(wh.plain_word_blocks(pc.utf8_lower(pa.array([row[1]]))))
-        if len(words) < MIN_ITEM:
+        if len(words) < max(min_item, 1):
             continue
         items.append((row[0], words))
         n += len(words)
@@ -184,13 +185,13 @@ _SCHEMA = "doc_id long, text string, item_ids array<long>, longest long"
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             block_words: int = BLOCK_WORDS) -> DataFrame:
+             block_words: int = BLOCK_WORDS, min_item: int = MIN_ITEM) -> DataFrame:
     """One row per document: doc_id, contaminated, item_ids (sorted), longest (overlap in words).
     The rows pass the blocks of the benchmark one after the other, each adding what it finds,
     so a row is read once and stays one row however many blocks there are."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.array().cast("array<bigint>").alias("item_ids"), F.lit(0).cast("bigint").alias("longest"))
-    for seeds in seed_blocks(benchmark, block_words=block_words):
+    for seeds in seed_blocks(benchmark, block_words=block_words, min_item=min_item):
         def run(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
             bits = seeds.filter()
             for batch in batches:
@@ -206,9 +207,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     return rows.select("doc_id", (F.col("longest") > 0).alias("contaminated"), "item_ids", "longest")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_words: int = BLOCK_WORDS,
+                      min_item: int = MIN_ITEM) -> DataFrame:
     """The rows of ``docs`` that overlap with no item, with their columns."""
-    for seeds in seed_blocks(benchmark, block_words=block_words):
+    for seeds in seed_blocks(benchmark, block_words=block_words, min_item=min_item):
         def run(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
             bits = seeds.filter()
             for batch in batches:
