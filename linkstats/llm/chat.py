@@ -10,7 +10,8 @@ backslashes and ``|`` get one backslash more, so no text holds ``<|``; unescapin
 away. Backslashes and newlines of roles are written ``\\\\`` and ``\\n``.
 
 Rows are hash-partitioned by conversation, sorted by turn and streamed: a task holds one
-conversation's formatted text at a time. Defined results: a null text or role is empty; rows
+conversation's formatted text at a time. Examples leave in that order, so reading them back
+beside the formatting needs no second shuffle of their text. Defined results: a null text or role is empty; rows
 that share a turn number stay, ordered by role and text; a null turn comes first; rows with a
 null conv_id are one conversation; other columns are ignored, whatever their names; an empty
 table gives no rows.
@@ -143,10 +144,12 @@ def chat_examples(turns: DataFrame) -> DataFrame:
     return map_arrow(rows, _expand, EXAMPLES)
 
 
-def chat_digests(examples: DataFrame) -> DataFrame:
-    """One row per conversation, read back from its examples."""
-    rows = examples.repartition("conv_id").sortWithinPartitions("conv_id", "example")
-    return map_arrow(rows, _digest, DIGESTS)
+def chat_digests(examples: DataFrame, in_order: bool = False) -> DataFrame:
+    """One row per conversation, read back from its examples. ``in_order`` says that they come
+    straight from ``chat_examples``; stored or changed ones are grouped and sorted again."""
+    if not in_order:
+        examples = examples.repartition("conv_id").sortWithinPartitions("conv_id", "example")
+    return map_arrow(examples, _digest, DIGESTS)
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,4 +159,4 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                   F.lit(odd).alias("text"))
-    return chat_digests(chat_examples(given.unionByName(extra)))
+    return chat_digests(chat_examples(given.unionByName(extra)), in_order=True)
