@@ -74,7 +74,7 @@ def lexical(urls: DataFrame, url_col: str = "url") -> DataFrame:
     """url, host, path, suffix, fold and the lexical features but for the suffix statistics.
     The distinct urls are spread over all tasks: few bytes, but much work each."""
     u = urls.select(F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url")).distinct()
-    u = u.repartition(shuffle_width(urls.sparkSession), "url")
+    u = u.repartition(shuffle_width(urls.sparkSession), F.xxhash64("url"))  # by "url" would be dropped beside distinct
     u = u.select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
                  F.regexp_extract("url", r"(?s)\?([^#]*)", 1).alias("query"))
     labels = F.split("host", r"\.")
