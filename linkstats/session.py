@@ -95,6 +95,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, sorted."""
+    p, fs = _hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+
+
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"could not move {path} to {to}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name for intermediate data under the shared checkpoint folder."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"

@@ -67,6 +67,34 @@ def current(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
     return changes.groupBy(*keys).agg(F.max_by("n", "epoch").cast("long").alias("n"))
 
 
+def compact(spark: SparkSession, out: str, keys: list[str]) -> int:
+    """Folds all change folders but the newest into one; returns how many are gone.
+
+    The newest may be replaced by a batch that runs again, so it is left alone. The folded rows
+    are written aside, moved into the last folder they cover, and only then are the older ones
+    deleted: a key's last change keeps its value under that later epoch, so ``current`` is right
+    after every step, and a call that died is made good by the next. One call at a time; a
+    reader that has listed the folders before may have to read again.
+    """
+    out = out.rstrip("/")
+    names = sess.child_names(spark, out)
+    for left in (n for n in names if n.startswith("_compact-")):
+        sess.delete_path(spark, f"{out}/{left}")
+    epochs = sorted(int(n.removeprefix("epoch=")) for n in names if n.startswith("epoch="))
+    if len(epochs) < 3:
+        return 0
+    last, aside = epochs[-2], f"{out}/_compact-{uuid.uuid4().hex}"
+    changes = spark.read.parquet(out).where(F.col("epoch") <= last)
+    changes.groupBy(*keys).agg(F.max_by("n", "epoch").cast("long").alias("n")).write.parquet(aside)
+    for part in sess.child_names(spark, aside):
+        if part.endswith(".parquet"):
+            sess.move_path(spark, f"{aside}/{part}", f"{out}/epoch={last}/{part}")
+    for epoch in epochs[:-2]:
+        sess.delete_path(spark, f"{out}/epoch={epoch}")
+    sess.delete_path(spark, aside)
+    return len(epochs) - 2
+
+
 def run_to_table(counts: DataFrame, name: str) -> DataFrame:
     """Drain everything available and return the final counts as a batch DataFrame. The
     executors write the changes under the checkpoint folder; the driver holds nothing."""
