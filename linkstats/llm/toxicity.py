@@ -40,6 +40,7 @@ LENGTHS = (0, 3, 4, 5, 6, 7, 8)  # 0: the whole word
 L1_CHOICES, FOLDS, FOLD_STEPS = (5e-5, 2e-4, 8e-4), 3, 150
 L1, COUNTERFACTUAL, STEPS = 2e-4, 1.0, 400  # L1: where no fold has both classes
 MIN_TEXTS, MIN_LEAN = 3, 3.0
+BLOCK_BYTES = 1 << 19  # working arrays take about a hundred times that
 # Identity terms, swapped for one another.
 IDENTITY = ["african", "american", "arab", "asian", "atheist", "black", "blind", "buddhist", "catholic", "christian", "deaf",
             "disabled", "elderly", "european", "female", "gay", "heterosexual", "hindu", "homosexual", "immigrant", "jewish",
@@ -53,7 +54,7 @@ _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 def features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Yields (first row, last row + 1, row, feature, log(1 + count)), distinct by row and feature."""
     data, offsets = wh.bytes_of(column)
-    for a, b in wh.blocks(offsets):
+    for a, b in wh.blocks(offsets, BLOCK_BYTES):
         part = offsets[a:b + 1] - offsets[a]
         block = data[offsets[a]:offsets[b]]
         if not len(block):
