@@ -72,15 +72,34 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, lit_re(PIECE_PATTERN), 0)
 
 
+# Numbers that one step of a running sum holds beside its input and result.
+SUM_BLOCK = 1 << 18
+
+
+def sums_in_rows(numbers: pa.Array) -> pa.Array:
+    """For a column of arrays of 32-bit numbers the sums before each element. Beside the input
+    there is one result as large and a block of rows: sums run over the rows' ends modulo
+    2**32, which the difference to the row's own beginning takes out again."""
+    bounds, first = np.asarray(numbers.offsets), numbers.offsets[0].as_py()
+    values = np.asarray(numbers.values)[first:bounds[-1]]
+    at = bounds - first
+    out = np.empty(len(values), dtype=np.int32)
+    np.cumsum(values, dtype=np.int32, out=out)
+    out -= values
+    heads = out[np.minimum(at[:-1], max(len(out) - 1, 0))] if len(out) else np.zeros(len(at) - 1, np.int32)
+    a = 0
+    while a < len(heads):
+        b = max(a + 1, int(np.searchsorted(at, at[a] + SUM_BLOCK, side="right")) - 1)
+        out[at[a]:at[b]] -= np.repeat(heads[a:b], np.diff(at[a:b + 1]))
+        a = b
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(out))
+
+
 def _starts_udf():
-    def run(lengths: pa.Array) -> pa.Array:
-        bounds = np.asarray(lengths.offsets)
-        at = np.concatenate([[0], np.cumsum(np.asarray(lengths.values, dtype=np.int64))])
-        first, last = bounds[0], bounds[-1]
-        sizes = np.diff(bounds)
-        out = at[first:last] - np.repeat(at[bounds[:-1]], sizes)
-        return pa.ListArray.from_arrays(pa.array(bounds - first, pa.int32()), pa.array(out, pa.int64()))
-    return F.arrow_udf(run, "array<bigint>")
+    def run(numbers: pa.Array) -> pa.Array:
+        pa.default_memory_pool().release_unused()  # what the batch before has left
+        return sums_in_rows(numbers)
+    return F.arrow_udf(run, "array<int>")
 
 
 def starts(parts: Column) -> Column:
@@ -91,8 +110,9 @@ def starts(parts: Column) -> Column:
 
 
 def sums_before(numbers: Column) -> Column:
-    """For every element of an array of numbers the sum of those before it (as ``starts``)."""
-    return _starts_udf()(numbers)
+    """For every element of an array of numbers the sum of those before it (as ``starts``);
+    the numbers and their sum are 32-bit, as lengths within one text are."""
+    return _starts_udf()(numbers.cast("array<int>")).cast("array<bigint>")
 
 
 def strip_url_query(url: Column) -> Column:
