@@ -99,7 +99,7 @@ def spot(texts: DataFrame, dictionary: Dictionary, id_col: str = "wid", text_col
     p = p.select("id", *keep, "pos", "offset", "look", F.explode(keys).alias("prefix")).where(F.col("prefix").isNotNull())
     sides = dictionary.entries.select(
         F.array_join(F.slice("toks", 1, c), " ").alias("prefix"), "n", F.when(F.col("n") <= c, F.col("key")).alias("key")).distinct()
-    m = p.join(sess.checked_broadcast(sides, dictionary.size_bytes), "prefix")
+    m = p.join(sess.checked_broadcast(sides), "prefix")  # measured itself: the entries are several times as large
     covered = F.array_join(F.slice("look", 1, F.col("n") * 2 - 1), "")
     short = F.col("n") <= c
     if dictionary.max_n <= c:

@@ -27,8 +27,8 @@ def _exploded(t: DataFrame, keep: list[str], look_words: int) -> DataFrame:
                     F.floor(F.col("pos") / 2).cast("long").alias("tpos"), *look)
 
 
-def _chunked(t: DataFrame, look_words: int, chunk_chars: int) -> DataFrame:
-    """Words of long texts (_row, text): (_row, pos, piece, offset, tpos[, look]).
+def _chunked(t: DataFrame, keep: list[str], look_words: int, chunk_chars: int) -> DataFrame:
+    """Words of long texts (keep, text): (keep, pos, piece, offset, tpos[, look]).
 
     A text is cut by one pattern at ends of pieces, and its chunks are spread over the tasks.
     What lies before a chunk (code points, pieces, words) is a sum over one row for each chunk
@@ -36,14 +36,15 @@ def _chunked(t: DataFrame, look_words: int, chunk_chars: int) -> DataFrame:
     chunks that follow.
     """
     pattern = rf"(?s).{{{chunk_chars}}}(?:{tx.WORD_PATTERN}+|{tx.NON_WORD_CHAR}++)?|.+"
-    chunks = t.select("_row", F.posexplode(F.regexp_extract_all("text", F.lit(pattern), 0)).alias("chunk", "text"))
+    chunks = t.withColumn("_row", F.monotonically_increasing_id())
+    chunks = chunks.select("_row", *keep, F.posexplode(F.regexp_extract_all("text", F.lit(pattern), 0)).alias("chunk", "text"))
     # written, so that the sums and the words see the same chunks; a long text is many files' rows
     chunks = materialize(chunks.repartition("_row", "chunk"), "text_chunks")
-    cut = chunks.select("_row", "chunk", F.length("text").alias("chars"), tx.starts_with_word(F.col("text")).alias("_w"),
-                        tx.pieces(F.col("text")).alias("ps"))
+    cut = [tx.starts_with_word(F.col("text")).alias("_w"), tx.pieces(F.col("text")).alias("ps")]
     n, heads = F.size("ps"), max(2 * look_words - 2, 0)
-    sizes = cut.select("_row", "chunk", "chars", n.alias("n"), F.floor((n + F.col("_w").cast("int")) / 2).alias("words"),
-                       F.slice("ps", 1, max(heads, 1)).alias("head"))
+    sizes = chunks.select("_row", "chunk", F.length("text").alias("chars"), *cut)
+    sizes = sizes.select("_row", "chunk", "chars", n.alias("n"), F.floor((n + F.col("_w").cast("int")) / 2).alias("words"),
+                         F.slice("ps", 1, max(heads, 1)).alias("head"))
     w = Window.partitionBy("_row").orderBy("chunk")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     none = F.array().cast("array<string>")
@@ -51,9 +52,11 @@ def _chunked(t: DataFrame, look_words: int, chunk_chars: int) -> DataFrame:
     sums = sizes.select("_row", "chunk", *[F.coalesce(F.sum(c).over(before), F.lit(0)).cast("long").alias(f"_{c}")
                                            for c in ("chars", "n", "words")],
                         (F.slice(F.concat(*following), 1, heads) if following else none).alias("_next"))
-    rows = cut.drop("chars").join(sums, ["_row", "chunk"])
-    out = _exploded(rows, ["_row", "_chars", "_n", "_words"], look_words)
-    return out.select("_row", (F.col("_n") + F.col("pos")).alias("pos"), "piece", (F.col("_chars") + F.col("offset")).alias("offset"),
+    # the chunks meet their sums as text: their pieces are many times as large
+    counts = ["_chars", "_n", "_words"]
+    rows = chunks.join(sums, ["_row", "chunk"]).select(*keep, *counts, "_next", *cut)
+    out = _exploded(rows, [*keep, *counts], look_words)
+    return out.select(*keep, (F.col("_n") + F.col("pos")).alias("pos"), "piece", (F.col("_chars") + F.col("offset")).alias("offset"),
                       (F.col("_words") + F.col("tpos")).alias("tpos"), *(["look"] if look_words else []))
 
 
@@ -76,9 +79,7 @@ def text_words(texts: DataFrame, id_col: str = "wid", text_col: str = "text", lo
     if not long_text:
         return out
     long = t.where(F.length("text") > long_text)
-    long = materialize(long.withColumn("_row", F.monotonically_increasing_id()), "long_texts")
-    words = _chunked(long.select("_row", "text"), look_words, long_text)
-    return out.unionByName(words.join(long.drop("text"), "_row").select(*columns))
+    return out.unionByName(_chunked(long, ["id", *keep], look_words, long_text).select(*columns))
 
 
 def tokenize_offsets(texts: DataFrame, id_col: str = "wid", text_col: str = "text", long_text: int | None = None) -> DataFrame:
