@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +64,26 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def _give_back() -> None:
+    """Returns the worker's freed memory to the system: a worker is kept for later tasks, and
+    what its allocators hold meanwhile counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass  # not glibc
+
+
+def releasing(function):
+    """``function`` of Arrow batches, which gives its task's memory back at its end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _give_back()
+    return run
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(releasing(function), schema)

@@ -20,7 +20,7 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * 2 + 1
 _BYTE_LOWER = _BYTE[_LOWER]
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20  # working arrays take about fifty times that
 
 
 def mix(x: np.ndarray) -> np.ndarray:
