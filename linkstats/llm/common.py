@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkstats.session import ship
+
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,24 +45,6 @@ def release(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Gives the executors' Python workers this package, as ``--py-files`` would: Spark
-    serves the archive from the driver. Once for each application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="linkstats-code-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    sc.addPyFile(str(archive))
-    _SHIPPED.add(sc.applicationId)
-
-
 def _give_back() -> None:
     """Returns the worker's freed memory to the system: a worker is kept for later tasks, and
     what its allocators hold meanwhile counts against the executor."""

@@ -60,6 +60,49 @@ def test_uris_with_one_key_are_counted_once(spark):
     assert uris.count() == 200 and uris.select("group").distinct().count() == 1
 
 
+def test_counts_leave_a_task_packed_in_a_row_for_each_owner(spark, monkeypatch):
+    monkeypatch.setattr(cx, "PART", 40)
+    keys = spark.createDataFrame([(f"U{i}", f"k{i % 3}") for i in range(9)], "uri string, key string")
+    places = spark.createDataFrame([(f"k{k}", f"p{i}") for k in range(3) for i in range(30 + 30 * k)], "key string, para_key string")
+    paragraphs = spark.createDataFrame([(f"p{i}", f"red green words{i} number{i % 7}") for i in range(100)], "para_key string, para string")
+    packed, _, uris = cx._summed(cx.KeyedParagraphs(keys, places), paragraphs, None, "porter", "en", True)
+    # one row for an owner, or one for each part of one with many paragraphs
+    assert sorted(r["parts"] for r in packed.collect()) == [1, 2, 2, 3, 3, 3]
+    flat = keys.join(places, "key").select("uri", "para_key")
+    counts = cx.token_counts(cx.KeyedParagraphs(keys, places), paragraphs, None, "porter")
+    text = {f"p{i}": ["red", "green", f"words{i}", f"number{i % 7}"] for i in range(100)}
+    want = {}
+    for uri, para in rows(flat):
+        for w in text[para]:
+            k = "http://en.wikipedia.org/wiki/" + uri, w
+            want[k] = want.get(k, 0) + 1
+    assert {(r["uri"], r["stem"]): r["n"] for r in counts.collect()} == want
+    vectors = {r["uri"]: r["vector"] for r in cx.context_vectors(cx.KeyedParagraphs(keys, places), paragraphs, None, top_k=2).collect()}
+    assert vectors["http://en.wikipedia.org/wiki/U2"] == "(green,90),(red,90)"
+
+
+def test_products_are_given_out_in_blocks(monkeypatch):
+    monkeypatch.setattr(cx, "WORDS", 7)
+    monkeypatch.setattr(cx, "PRODUCT", 3)
+    monkeypatch.setattr(cx, "ENTRIES", 4)
+    owners = [[("a", 1, 1), (None, 2, 1)], [("b", 1, 2)], [("a", -1, 1)], [("c", 1, 1)], None]
+    words = [["x", "y", "x"], ["y", "z", "w"] * 3, ["x"], None, ["x"]]
+    kind = pa.list_(pa.struct([("owner", pa.string()), ("w", pa.int64()), ("parts", pa.int32())]))
+    rows_in = pa.RecordBatch.from_arrays([pa.array([o and [dict(zip(("owner", "w", "parts"), x)) for x in o] for o in owners], kind),
+                                          pa.array(words, pa.list_(pa.string()))], names=["owners", "words"])
+    blocks = [b.rename_columns(["stem", "body"]) for b in cx._word_blocks(iter([rows_in]))]
+    assert len(blocks) > 1
+    got, seen = {}, set()
+    for b in cx._multiplied(iter([b.slice(i, 1) for b in blocks for i in range(b.num_rows)])):
+        for r in b.to_pylist():
+            seen.add((r["owner"], r["parts"]))
+            for e in filter(None, r["packed"].split(" ")):
+                stem, n = e.split(",")
+                got[r["owner"], stem] = got.get((r["owner"], stem), 0) + int(n)
+    assert got == {("a", "x"): 1, ("a", "y"): 1, (None, "x"): 4, (None, "y"): 2, ("b", "y"): 3, ("b", "z"): 3, ("b", "w"): 3}
+    assert seen == {("a", 1), (None, 1), ("b", 2), ("c", 1)}
+
+
 def test_running_sums_hold_one_result_and_a_block(monkeypatch):
     monkeypatch.setattr(tx, "SUM_BLOCK", 1 << 12)
     data = [[1, 2, 3], [], [4], [5, 6], []]
