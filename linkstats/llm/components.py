@@ -56,8 +56,18 @@ def _merged_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield out(a, b)
 
 
-def _local(edges: DataFrame) -> DataFrame:
-    return map_arrow(edges.select("a", "b"), _merged_in_task, "a long, b long")
+def _local(edges: DataFrame, n: int) -> DataFrame:
+    """The ``n`` edges merged by as many tasks as hold ``EDGES`` of them each: a node that stands
+    in the edges of several tasks comes out of each of them."""
+    return map_arrow(edges.select("a", "b").coalesce(-(-n // EDGES) or 1), _merged_in_task, "a long, b long")
+
+
+def _step(edges: DataFrame, name: str) -> tuple[DataFrame, int, bool]:
+    """The edges, each once, merged by their tasks; their number, and whether they are stars."""
+    edges = materialize(edges.distinct(), f"{name}_edges")
+    n = edges.count()
+    edges = materialize(_local(edges, n), name)
+    return (edges, n, True) if n <= EDGES else (edges, *_stars(edges))
 
 
 def _star(edges: DataFrame, large: bool, n: int) -> DataFrame:
@@ -89,15 +99,14 @@ def _stars(edges: DataFrame) -> tuple[int, bool]:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): every node of the edges (a, b) with the smallest node it reaches.
 
-    Each task first merges the edges it holds. Rounds are written tables; their number grows
+    Each task first merges the edges it holds; up to ``EDGES`` of them need no more. Rounds are
+    written tables, in which an edge that several tasks give out stays once; their number grows
     with the logarithm of the longest path, and the last one is known by its edges being stars.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    edges, large = materialize(_local(edges), "cc"), False
-    n, done = _stars(edges)
+    (edges, n, done), large = _step(edges, "cc"), False
     while not done:
-        edges = materialize(_star(_local(edges), large, n), "cc_large" if large else "cc_small")
-        n, done = _stars(edges)
+        edges, n, done = _step(_star(edges, large, n), "cc_large" if large else "cc_small")
         large = not large
     edges = materialize(edges.distinct(), "cc_stars")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(

@@ -59,3 +59,18 @@ def test_edges_of_one_task_need_no_round(spark, monkeypatch):
     assert {r["component"] for r in cc.components(path).collect()} == {0} and not rounds
     empty = cc.components(path.where("a < 0"))
     assert empty.count() == 0
+
+
+def test_a_node_in_the_edges_of_many_files_comes_out_once(spark, monkeypatch):
+    given, local = [], cc._local
+
+    def counted(*a):
+        given.append(local(*a))
+        return given[-1]
+    monkeypatch.setattr(cc, "_local", counted)
+    rng = np.random.default_rng(7)
+    orders = [rng.permutation(40) for _ in range(30)]  # each file links all nodes, in another order
+    edges = spark.createDataFrame([(f, int(a), int(b)) for f, o in enumerate(orders) for a, b in zip(o, o[1:])], "f int, a long, b long")
+    got = cc.components(edges.repartition(30, "f").select("a", "b")).collect()
+    assert sorted(r["node"] for r in got) == list(range(40)) and {r["component"] for r in got} == {0}
+    assert sum(x.count() for x in given) == 39
