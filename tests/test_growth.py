@@ -156,3 +156,25 @@ def test_a_task_gives_memory_back_at_its_end(monkeypatch):
     calls = []
     monkeypatch.setattr(common, "_give_back", lambda: calls.append(1))
     assert list(common.releasing(lambda batches: (b for b in batches))(iter([1, 2]))) == [1, 2] and calls == [1]
+
+
+def test_only_paragraphs_with_owners_are_shuffled(spark, monkeypatch):
+    given, blocked = [], cx.blocked
+
+    def counted(pairs, paragraphs, *a, **k):
+        given.append(paragraphs.count())
+        return blocked(pairs, paragraphs, *a, **k)
+    monkeypatch.setattr(cx, "blocked", counted)
+    paragraphs = spark.createDataFrame([(f"p{i}", f"red cars {i}") for i in range(50)] + [(None, "blue")], "para_key string, para string")
+    pairs = spark.createDataFrame([("u", "p1"), ("u", "p2"), ("v", "p2"), ("w", "gone"), ("x", None)], "uri string, para_key string")
+    want = {("u", "red", 2), ("u", "car", 2), ("v", "red", 1), ("v", "car", 1)}
+    for limit, least in (("", 2), ("0", 51)):  # hashes too many to broadcast: the same counts of all paragraphs
+        if limit:
+            spark.conf.set("linkstats.broadcast.maxBytes", limit)
+        try:
+            got = cx.token_counts(pairs, paragraphs, encode=False).collect()
+        finally:
+            spark.conf.unset("linkstats.broadcast.maxBytes")
+        assert {(r["uri"], r["stem"], r["n"]) for r in got if r["stem"].isalpha()} == want
+        assert given[0] in (least, least + 1)  # and one without a key
+        given.clear()
