@@ -118,10 +118,10 @@ def _classes(rows: DataFrame) -> DataFrame:
     return rows.groupBy("core", "run").agg(F.sum("n").alias("n"), F.first("rid").alias("rid"), F.first("pos").alias("pos"))
 
 
-def _place_classes(cut: DataFrame) -> DataFrame:
-    """Classes of stretches, which may be listed more than once: n is 2 for several places."""
-    places = cut.groupBy("core", "run").agg(F.min(F.struct("rid", "pos")).alias("a"), F.max(F.struct("rid", "pos")).alias("b"))
-    return places.select("core", "run", F.when(F.col("a") == F.col("b"), 1).otherwise(2).alias("n"), "a.rid", "a.pos")
+def _marked(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(rid, span): the windows of the rows whose class, named by the columns of ``repeated``,
+    is one of those. The classes grow with the corpus: no broadcast."""
+    return map_arrow(rows.hint("merge").join(repeated, repeated.columns).select("rid", "pos"), _spans, "rid long, span long")
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
@@ -177,6 +177,14 @@ class SuffixIndex:
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         release(self.spark, f"{self.path}/{name}")
 
+    def _merge(self, older: str, newer: str) -> str:
+        """Writes two levels as one, bucket by bucket. A join: Spark 4.1 gives the union of two
+        bucketed tables out as bucketed but sets their partitions side by side, so that a class
+        held by both would come out twice."""
+        both = self._level(older).alias("a").hint("merge").join(self._level(newer).alias("b"), ["core", "run"], "full")
+        n = F.coalesce("a.n", F.lit(0)) + F.coalesce("b.n", F.lit(0))
+        return self._write(both.select("core", "run", n.alias("n"), *(F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in ("rid", "pos"))))
+
     def add(self, rows: DataFrame) -> DataFrame:
         """Adds a batch; returns the cores (core) that repeat in it or in an older level."""
         rows = map_arrow(rows, _combine, "core long, run long, n long, rid long, pos long")
@@ -190,7 +198,7 @@ class SuffixIndex:
         rank = 0
         while rank in self.levels:
             older = self.levels.pop(rank)
-            merged = self._write(_classes(self._level(older).unionByName(self._level(name))))
+            merged = self._merge(older, name)
             self._stale += [older, name]
             if not self.kept:
                 self._forget()
@@ -208,8 +216,12 @@ class SuffixIndex:
         return union([self.spark.read.parquet(f"{self.path}/{b}") for b in self.batches])
 
     def classes(self) -> DataFrame:
-        parts = [self._level(n) for n in self.levels.values()]
-        return parts[0] if len(parts) == 1 else _classes(union(parts))
+        """The levels as one, written if there are several; the next commit or merge drops it."""
+        name, *older = (self.levels[rank] for rank in sorted(self.levels))
+        for level in older:
+            name = self._merge(level, name)
+            self._stale.append(name)
+        return self._level(name)
 
     def commit(self) -> None:
         """Makes the batches added since the last commit part of the kept index."""
@@ -233,7 +245,8 @@ class SuffixIndex:
 
 
 def _open(classes: DataFrame) -> DataFrame:
-    """(rid, places): the representatives of classes that share their core with another."""
+    """(rid, places): the representatives of classes (core, rid, pos) that share their core with
+    another."""
     several = classes.groupBy("core").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("core")
     return classes.join(several, "core").groupBy("rid").agg(F.collect_list("pos").alias("places"))
 
@@ -288,28 +301,37 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = index is None
     index = index or SuffixIndex(spark)
     with scratch_tables(spark) as scope:
-        texts = _texts(docs, id_col, text_col).where(F.octet_length("text") >= LENGTH).select("rid", "text")
-        rows = materialize(map_arrow(texts, _suffixes, ROWS), "suffix_rows")
-        found = [index.add(rows.where(F.pmod("rid", F.lit(batches)) == i)) for i in range(batches)]
-        if kept:
-            index.add_texts(texts)
-            texts = index.texts()
-        matches = union(found).distinct()
-        classes = materialize(index.classes().hint("merge").join(matches, "core", "left_semi"), "suffix_classes")
-        if own:
-            index.close()
-        whole = classes.where("n > 1").select("core", "run")
-        marks = [rows.hint("merge").join(whole, ["core", "run"])]  # the classes grow with the corpus: no broadcast
+        added = texts = _texts(docs, id_col, text_col).where(F.octet_length("text") >= LENGTH).select("rid", "text")
+        with scratch_tables(spark) as first:  # a step's tables go before the next one, but for its marks and what it leaves open
+            rows = materialize(map_arrow(texts, _suffixes, ROWS), "suffix_rows")
+            found = [index.add(rows.where(F.pmod("rid", F.lit(batches)) == i)) for i in range(batches)]
+            if kept:
+                index.add_texts(texts)
+                texts = index.texts()
+            classes, matches = index.classes(), union(found).distinct()
+            whole = materialize(classes.where("n > 1").select("core", "run"), "suffix_whole")
+            shared = materialize(classes.select("core", "rid", "pos").hint("merge").join(matches, "core", "left_semi"), "suffix_shared")
+            if own:
+                index.close()
+            open_ = first.keep(_open(shared), "suffix_open")
+            marks = [first.keep(_marked(rows, whole), "suffix_marks")]
         for step in STEPS:
-            open_ = materialize(_open(classes), "suffix_open")
-            picked = texts.join(checked_broadcast(open_), "rid").select("rid", "text", "places")
-            cut = materialize(map_arrow(picked, _stretches(step), ROWS), "suffix_stretches")
-            classes = materialize(_place_classes(cut), "suffix_classes")
-            marks.append(cut.hint("merge").join(classes.where("n > 1").select("core", "run"), ["core", "run"]))
-        spans = union([map_arrow(m.select("rid", "pos"), _spans, "rid long, span long") for m in marks])
-        spans = spans.groupBy("rid").agg(F.collect_set("span").alias("spans"))
+            with scratch_tables(spark) as stage:
+                picked = texts.join(checked_broadcast(open_), "rid").select("rid", "text", "places")
+                cut = map_arrow(picked, _stretches(step), ROWS)
+                if step > 1:  # a place is listed twice only if its whole row of the table repeats
+                    cut = materialize(cut, "suffix_stretches")
+                    classes = materialize(_classes(cut.withColumn("n", F.lit(1))), "suffix_classes")
+                    open_ = stage.keep(_open(classes), "suffix_open")
+                    repeated = classes.where("n > 1").select("core", "run")
+                else:  # a window is its own core, and none stays open
+                    cut = materialize(cut.select("run", "rid", "pos"), "suffix_windows")
+                    repeated = cut.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run")
+                    repeated = materialize(repeated, "suffix_repeated")
+                marks.append(stage.keep(_marked(cut, repeated), "suffix_marks"))
+        spans = union(marks).groupBy("rid").agg(F.collect_set("span").alias("spans"))
         if not own:
-            spans = spans.join(rows.select("rid").distinct(), "rid", "left_semi")
+            spans = spans.join(added.select("rid").distinct(), "rid", "left_semi")
         out = scope.keep(map_arrow(spans, _merge, "rid long, starts array<long>, ends array<long>"), "suffix_spans")
         if kept:
             index.commit()
