@@ -5,6 +5,7 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,60 @@ def test_products_are_given_out_in_blocks(monkeypatch):
     assert seen == {("a", 1), (None, 1), ("b", 2), ("c", 1)}
 
 
+def test_large_vectors_are_joined_from_pieces_of_their_text(spark, monkeypatch):
+    monkeypatch.setattr(cx, "CHUNK", 3)
+    monkeypatch.setattr(cx, "PART", 2)
+    text = {"p0": "red red blue", "p1": "green red", "p2": "a b c d e f g h", "p3": "", "p4": "blue"}
+    pairs = spark.createDataFrame([("U", p) for p in text] + [(None, p) for p in text] + [("V", "p4"), ("W", "p3")] + [("X", "p3")] * 2, "uri string, para_key string")
+    paragraphs = spark.createDataFrame(list(text.items()), "para_key string, para string")
+    vectors = cx.context_vectors(pairs, paragraphs)
+    counts = spark.createDataFrame([("U", "a", 1)], "uri string, stem string, n long")
+    plan = cx.render_vectors(counts)._jdf.queryExecution().optimizedPlan().toString()
+    collected = [line for line in plan.splitlines() if "collect_list(" in line]
+    assert collected and all("FLOOR" in line for line in collected)  # the entries of a piece, never those of a vector
+    all_of_them = "(red,3),(blue,2)," + ",".join(f"({x},1)" for x in ["a", "b", "c", "d", "e", "f", "g", "green", "h"])
+    wiki = "http://en.wikipedia.org/wiki/"
+    want = {wiki + "U": all_of_them, None: all_of_them, wiki + "V": "(blue,1)", wiki + "W": "", wiki + "X": ""}
+    got = [(r["uri"], r["vector"]) for r in vectors.collect()]
+    assert dict(got) == want and len(got) == len(want)
+    top = {r["uri"]: r["vector"] for r in cx.context_vectors(pairs, paragraphs, top_k=4).collect()}
+    assert top[wiki + "U"] == top[None] == "(red,3),(blue,2),(a,1),(b,1)"
+
+
+def test_a_task_holds_the_text_of_one_large_vector(monkeypatch):
+    monkeypatch.setattr(cx, "TEXT", 1 << 16)
+    piece, n, owners = "x" * 1000, 4_000, 3
+    chunks = (pa.RecordBatch.from_arrays([pa.array([f"U{i}"] * 100), pa.array([piece] * 100)], names=["uri", "vector"])
+              for i in range(owners) for _ in range(n // 100))
+    lengths = {}
+    tracemalloc.start()
+    for batch in cx._joined(chunks):
+        for i in range(batch.num_rows):
+            lengths[batch.column("uri")[i].as_py()] = pc.binary_length(batch.column("vector"))[i].as_py()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert lengths == {f"U{i}": n * 1001 - 1 for i in range(owners)}
+    assert peak < 3.5 * n * 1001  # not all of them
+    mixed = pa.RecordBatch.from_arrays([pa.array(["a", "a", None, None, "b"]), pa.array(["x", "y", "", "z", ""])], names=["uri", "vector"])
+    assert [r for b in cx._joined(iter([mixed])) for r in map(tuple, zip(*b.to_pydict().values()))] == [("a", "x,y"), (None, ",z"), ("b", "")]
+
+
+def test_sums_are_packed_in_batches(monkeypatch):
+    monkeypatch.setattr(cx, "PACK", 4)
+    sums = cx._Sums()
+    codes = [(sums.number(o, p) << 32) + sums.stems.setdefault(f"s{k}", len(sums.stems)) for o, p in (("a", 2), ("b", 1), ("c", 1)) for k in range(5)]
+    sums.number("bare", 1)
+    sums.add(np.array(codes * 2, np.int64), np.ones(30, np.int64))
+    batches = list(sums.rows())
+    assert len(batches) > 2
+    got = {}
+    for r in (r for b in batches for r in b.to_pylist()):
+        for e in filter(None, r["packed"].split(" ")):
+            got.setdefault(r["owner"], {})[e.split(",")[0]] = int(e.split(",")[1])
+        got.setdefault(r["owner"], {})
+    assert got == {**{o: {f"s{k}": 2 for k in range(5)} for o in "abc"}, "bare": {}}
+
+
 def test_running_sums_hold_one_result_and_a_block(monkeypatch):
     monkeypatch.setattr(tx, "SUM_BLOCK", 1 << 12)
     data = [[1, 2, 3], [], [4], [5, 6], []]
